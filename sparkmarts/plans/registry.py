@@ -23,17 +23,21 @@ class Marts(Mapping):
     """Lazy relations over given tables; anything already given (raw or materialised) is used as is."""
 
     def __init__(self, tables: Mapping[str, DataFrame]):
-        self._frames: dict[str, DataFrame] = dict(tables)
+        self._given = tables
+        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            if name not in RELATIONS:
+            if name in self._given:
+                self._frames[name] = self._given[name]
+            elif name in RELATIONS:
+                self._frames[name] = RELATIONS[name](*(self[parent] for parent in inputs_of(name)))
+            else:
                 raise KeyError(f"unknown relation: {name}")
-            self._frames[name] = RELATIONS[name](*(self[parent] for parent in inputs_of(name)))
         return self._frames[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter({**self._frames, **RELATIONS})
+        return iter({**dict.fromkeys(self._given), **dict.fromkeys(RELATIONS)})
 
     def __len__(self) -> int:
-        return len({**self._frames, **RELATIONS})
+        return sum(1 for _ in self)

@@ -6,6 +6,8 @@ so neither a global numbering nor a join is needed.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,12 +141,19 @@ _BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six raw tables over `<sf_dir>/{part,orders,events}.parquet`, typed as declared."""
-    inputs = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("part", "orders", "events")}
-    return {
-        table: build(inputs[source]).select(
-            *(F.col(field.name).cast(field.dataType) for field in RAW_SCHEMAS[table].fields)
-        )
-        for table, (source, build) in _BUILDERS.items()
-    }
+class RawTables(Mapping):
+    """The six raw tables over `<sf_dir>/{part,orders,events}.parquet`, typed as declared, opened on demand."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __getitem__(self, table: str) -> DataFrame:
+        source, build = _BUILDERS[table]
+        frame = build(self._spark.read.parquet(f"{self._sf_dir}/{source}.parquet"))
+        return frame.select(*(F.col(field.name).cast(field.dataType) for field in RAW_SCHEMAS[table].fields))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(_BUILDERS)
