@@ -396,7 +396,242 @@ _GOLD = {
     "gold_search_analytics": "SELECT * FROM g_search",
     "gold_user_os": "SELECT * FROM g_os",
 }
-QUERIES: dict[str, str] = {**_SILVER, **_GOLD}
+_BRONZE = {
+    "bronze_brand": "SELECT * FROM brand",
+    "bronze_cpu_model": "SELECT * FROM cpu_model",
+    "bronze_gpu_model": "SELECT * FROM gpu_model",
+    "bronze_laptop_model": """
+SELECT * REPLACE (CAST(screen_size AS DOUBLE) AS screen_size, CAST(laptop_weight AS DOUBLE) AS laptop_weight,
+  CAST(battery_capacity_whr AS DOUBLE) AS battery_capacity_whr) FROM laptop_model""",
+    "bronze_laptop_benchmark_result": """
+SELECT * REPLACE (CAST(office_battery_result_minutes AS DOUBLE) AS office_battery_result_minutes,
+  CAST(gaming_battery_result_minutes AS DOUBLE) AS gaming_battery_result_minutes) FROM laptop_benchmark_result""",
+    "bronze_user_event_tracking": "SELECT * FROM user_event_tracking",
+}
+
+_TS = "event_received_on_server_timestamp"
+BLOCKS["stored_ev"] = _PARSED.replace("{source}", "versions_target")
+BLOCKS["recent_raw"] = f"""
+SELECT l.* FROM versions_latest l
+WHERE l.{_TS} >= (SELECT max(t.{_TS}) - 7200 FROM versions_target t WHERE t.session_id IS NOT NULL AND t.event_name IS NOT NULL)"""
+BLOCKS["recent_ev"] = _PARSED.replace("{source}", "recent_raw")
+
+_INGESTION = {
+    "scan_snapshot": _BRONZE["bronze_laptop_model"],
+    "scan_range": f"SELECT * FROM user_event_tracking WHERE {_TS} BETWEEN 1705363200 AND 1705622399.5",
+    "scan_incremental": f"""
+SELECT e.* FROM user_event_tracking e, (SELECT max({_TS}) AS newest FROM versions_target) m
+WHERE e.{_TS} >= m.newest - 7200""",
+    "watermark": f"SELECT max({_TS}) AS watermark FROM user_event_tracking",
+    "batch_violations": """
+SELECT count(*) FILTER (session_id IS NULL) AS missing_key, count(*) FILTER (event_name IS NULL) AS bad_timestamp
+FROM user_event_tracking""",
+    "batch_latest": "SELECT * FROM versions_latest",
+    "batch_conflicts": """
+SELECT id FROM user_event_tracking WHERE event_name = 'search_for_device' AND event_data <> '{}'""",
+    "upsert_versions": f"""
+SELECT l.* FROM versions_latest l LEFT JOIN versions_target t ON t.id = l.id
+WHERE t.id IS NULL OR l.{_TS} >= t.{_TS}
+UNION ALL
+SELECT t.* FROM versions_target t LEFT JOIN versions_latest l ON t.id = l.id
+WHERE l.id IS NULL OR l.{_TS} < t.{_TS}""",
+    "upsert_counts": f"""
+SELECT (SELECT count(*) FROM versions_batch) AS source_rows, count(*) AS source_ids,
+  count(*) FILTER (t.{_TS} > l.{_TS}) AS older_ids_skipped,
+  count(*) - count(*) FILTER (t.{_TS} > l.{_TS}) AS written_ids
+FROM versions_latest l LEFT JOIN versions_target t ON t.id = l.id""",
+    "upsert_conflicts": f"""
+SELECT id FROM user_event_tracking WHERE event_name = 'click' AND {_TS} < 1705363200 AND event_data <> '{{}}'""",
+    "silver_incremental": """
+SELECT * FROM recent_ev UNION ALL SELECT * FROM stored_ev WHERE id NOT IN (SELECT id FROM recent_ev)""",
+    "stored_events": "SELECT * FROM user_event_tracking",
+    "built_daily_kpis": "SELECT * FROM g_daily",
+}
+
+_QUALITY = {
+    "dq_unique": "SELECT id AS value, count(*) AS n_rows FROM versions_batch GROUP BY id HAVING count(*) > 1",
+    "dq_not_null": "SELECT count(*) AS n_rows FROM user_event_tracking WHERE session_id IS NULL HAVING count(*) > 0",
+    "dq_relationships": """
+SELECT laptop_model_id AS value, count(*) AS n_rows FROM s_laptop
+WHERE laptop_model_id NOT IN (SELECT laptop_model_id FROM s_bench) GROUP BY laptop_model_id""",
+    "dq_accepted_values": """
+SELECT event_name AS value, count(*) AS n_rows FROM user_event_tracking
+WHERE event_name NOT IN ('pageview', 'click') GROUP BY event_name""",
+    "dq_freshness": f"""
+SELECT make_timestamp(CAST(newest * 1000000 AS BIGINT)) AS latest_at, age AS age_hours,
+  CASE WHEN age > 48 THEN 'error' WHEN age > 24 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT newest, (epoch(TIMESTAMP '2024-01-31 12:00:00') - newest) / 3600 AS age
+      FROM (SELECT max({_TS}) AS newest FROM user_event_tracking))""",
+    "json_valid": """
+SELECT id FROM (SELECT id, CASE WHEN session_id IS NULL THEN left(event_data, -1) ELSE event_data END AS event_data, device
+                FROM user_event_tracking)
+WHERE NOT json_valid(event_data) OR NOT json_valid(device)""",
+    "dq_raw_to_silver_stale": f"""
+SELECT coalesce(e.id, t.id) AS id
+FROM (SELECT * FROM user_event_tracking WHERE event_name IS NOT NULL AND session_id IS NOT NULL) e
+FULL JOIN (SELECT * FROM versions_target WHERE event_name IS NOT NULL AND session_id IS NOT NULL) t ON t.id = e.id
+WHERE e.id IS NULL OR t.id IS NULL OR e.{_TS} <> t.{_TS}""",
+    "dq_daily_event_counts": """
+SELECT event_date FROM (SELECT event_date, count(*) AS n FROM ev GROUP BY event_date)
+FULL JOIN g_daily USING (event_date) WHERE n IS DISTINCT FROM total_events""",
+    "dq_daily_rates": """
+SELECT * FROM g_daily WHERE total_sessions > total_events OR detail_rate_pct < 0 OR detail_rate_pct > 100
+  OR comparison_rate_pct < 0 OR comparison_rate_pct > 100
+  OR (detail_rate_pct IS NULL AND sessions_with_pageview <> 0)
+  OR (comparison_rate_pct IS NULL AND sessions_with_detail_view <> 0)""",
+    "dq_gold_definitions": """
+SELECT 'brand_rate' AS failure FROM g_brand WHERE comparison_rate_pct > 100 OR comparison_rate_pct < 0
+  OR view_sessions < detail_and_comparison_sessions
+UNION ALL SELECT 'brand_pair_direction' FROM g_pairs WHERE brand_b_id < brand_a_id
+UNION ALL SELECT 'funnel_daily_grain' FROM (SELECT event_date FROM g_funnel GROUP BY event_date HAVING count(*) <> 1)
+UNION ALL SELECT 'daily_timezone' FROM (SELECT session_id, event_date FROM s_day
+                                        EXCEPT SELECT session_id, event_date FROM ev)""",
+    "gold_totals": """
+SELECT 'daily_events' AS metric, (SELECT count(*) FROM ev) AS expected,
+  (SELECT CAST(sum(total_events) AS BIGINT) FROM g_daily) AS actual
+UNION ALL SELECT 'session_days', (SELECT count(*) FROM (SELECT DISTINCT session_id, event_date FROM ev)),
+  (SELECT CAST(sum(total_sessions) AS BIGINT) FROM g_daily)
+UNION ALL SELECT 'funnel_session_days', (SELECT count(*) FROM (SELECT DISTINCT session_id, event_date FROM ev)),
+  (SELECT CAST(sum(total_sessions) AS BIGINT) FROM g_funnel)
+UNION ALL SELECT 'os_sessions', (SELECT count(DISTINCT session_id) FROM ev),
+  (SELECT CAST(sum(sessions) AS BIGINT) FROM g_os)
+UNION ALL SELECT 'search_events',
+  (SELECT count(*) FROM ev WHERE event_name = 'search_for_device' AND trim(search_keyword) <> ''),
+  (SELECT CAST(sum(search_volume) AS BIGINT) FROM g_search)
+UNION ALL SELECT 'cpu_detail_views', (SELECT count(*) FROM views WHERE cpu_name <> ''),
+  (SELECT CAST(sum(total_views) AS BIGINT) FROM g_cpu)
+UNION ALL SELECT 'gpu_detail_views', (SELECT count(*) FROM views WHERE gpu_name <> ''),
+  (SELECT CAST(sum(total_views) AS BIGINT) FROM g_gpu)
+UNION ALL SELECT 'brand_detail_views', (SELECT count(*) FROM views), (SELECT CAST(sum(total_views) AS BIGINT) FROM g_brand)
+UNION ALL SELECT 'spec_detail_views', (SELECT count(*) FROM views WHERE cpu_name <> ''),
+  (SELECT CAST(sum(total_views) AS BIGINT) FROM g_spec)""",
+    "dq_raw_to_silver": f"""
+SELECT coalesce(r.id, s.id) AS id
+FROM (SELECT * FROM user_event_tracking WHERE event_name IS NOT NULL AND session_id IS NOT NULL) r
+FULL JOIN ev s ON s.id = r.id
+WHERE r.id IS NULL OR s.id IS NULL OR r.event_name <> s.event_name OR r.session_id <> s.session_id
+  OR r.event_data IS DISTINCT FROM s.event_data OR r.device IS DISTINCT FROM s.device
+  OR r.{_TS} <> epoch(s.server_timestamp)""",
+    "dq_source_taxonomy": """
+SELECT 'source_os_mapping' AS failure FROM user_event_tracking r JOIN ev s ON s.id = r.id
+WHERE ifnull(json_extract_string(r.device, '$.os'), json_extract_string(r.device, '$.os_name')) IS DISTINCT FROM s.user_os
+UNION ALL
+SELECT 'selection_reach' FROM (SELECT sum(step_3_select_compare) AS reported FROM g_funnel)
+WHERE reported <> (SELECT count(*) FROM s_day WHERE has_select_compare)
+UNION ALL
+SELECT 'comparison_bridge_duplicate' FROM (SELECT event_id, laptop_model_id FROM s_bridge GROUP BY ALL HAVING count(*) > 1)""",
+}
+_QUALITY["dq_gold_totals"] = f"SELECT * FROM ({_QUALITY['gold_totals']}) WHERE expected IS DISTINCT FROM actual"
+
+_RELATIONS = {
+    **{name: f"SELECT * FROM {name}" for name in (
+        "brand", "cpu_model", "gpu_model", "laptop_model", "laptop_benchmark_result", "user_event_tracking")},
+    **_BRONZE, **_SILVER, **_GOLD,
+}
+_RECONCILIATION = {
+    "row_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS relation, count(*) AS n_rows FROM ({query.strip()})" for name, query in _RELATIONS.items()
+    ),
+    "reconcile_duplicates": "SELECT count(*) - count(DISTINCT id) AS duplicate_raw_ids FROM versions_batch",
+    "reconcile_raw_silver": """
+SELECT count(*) FILTER (event_name IS NOT NULL AND session_id IS NOT NULL) AS expected_silver,
+  (SELECT count(*) FROM ev) AS silver_events FROM user_event_tracking""",
+    "reconcile_daily": """
+SELECT count(*) AS daily_metric_mismatches
+FROM (SELECT event_date, count(*) AS n, count(DISTINCT session_id) AS s FROM ev GROUP BY event_date)
+FULL JOIN g_daily USING (event_date) WHERE n IS DISTINCT FROM total_events OR s IS DISTINCT FROM total_sessions""",
+    "reconcile_totals": """
+SELECT (SELECT count(*) FROM user_event_tracking) AS raw_events, (SELECT count(*) FROM user_event_tracking) AS bronze_events,
+  (SELECT count(*) FROM ev) AS silver_events, (SELECT CAST(sum(total_events) AS BIGINT) FROM g_daily) AS gold_daily_events""",
+    "reconcile_report": """
+SELECT raw_events, raw_events AS bronze_events, silver_events, gold_daily_events, raw_events - ids AS duplicate_raw_ids,
+  expected_silver, wrong_days AS daily_metric_mismatches,
+  raw_events = ids AND wrong_days = 0 AND expected_silver = silver_events AND gold_daily_events = silver_events AS reconciled
+FROM (SELECT count(*) AS raw_events, count(DISTINCT id) AS ids,
+        count(*) FILTER (event_name IS NOT NULL AND session_id IS NOT NULL) AS expected_silver FROM user_event_tracking),
+  (SELECT count(*) AS silver_events FROM ev),
+  (SELECT CAST(sum(total_events) AS BIGINT) AS gold_daily_events FROM g_daily),
+  (SELECT count(*) AS wrong_days
+   FROM (SELECT event_date, count(*) AS n, count(DISTINCT session_id) AS s FROM ev GROUP BY event_date)
+   FULL JOIN g_daily USING (event_date) WHERE n IS DISTINCT FROM total_events OR s IS DISTINCT FROM total_sessions)""",
+    "independent_daily": f"""
+SELECT CAST(make_timestamp(CAST(({_TS} + 25200) * 1000000 AS BIGINT)) AS DATE) AS event_date, count(*) AS total_events,
+  count(DISTINCT session_id) AS total_sessions
+FROM user_event_tracking WHERE event_name IS NOT NULL AND session_id IS NOT NULL GROUP BY 1""",
+    "raw_range_snapshot": f"""
+SELECT count(*) AS events, max({_TS}) AS watermark,
+  count(*) FILTER ({_TS} >= 1705363200 AND {_TS} < 1705622400) AS events_in_range FROM user_event_tracking""",
+}
+
+_SERVING = {
+    "serve_period": "SELECT * FROM g_daily WHERE event_date = DATE '2024-01-28'",
+    "serve_filter_days": "SELECT * FROM g_daily WHERE event_date >= DATE '2024-01-22' AND event_date < DATE '2024-01-29'",
+    "serve_summarize_daily": """
+SELECT * , CASE WHEN sessions_with_pageview > 0 THEN 100 * CAST(pageview_and_detail AS DOUBLE) / sessions_with_pageview END
+    AS detail_reach_pct,
+  CASE WHEN sessions_with_detail_view > 0 THEN 100 * CAST(detail_and_comparison AS DOUBLE) / sessions_with_detail_view END
+    AS comparison_reach_pct
+FROM (SELECT CAST(coalesce(sum(total_events), 0) AS BIGINT) AS total_events,
+  CAST(coalesce(sum(total_sessions), 0) AS BIGINT) AS total_sessions,
+  CAST(coalesce(sum(total_pageviews), 0) AS BIGINT) AS total_pageviews,
+  CAST(coalesce(sum(detail_pageviews), 0) AS BIGINT) AS detail_pageviews,
+  CAST(coalesce(sum(comparison_pageviews), 0) AS BIGINT) AS comparison_pageviews,
+  CAST(coalesce(sum(sessions_with_pageview), 0) AS BIGINT) AS sessions_with_pageview,
+  CAST(coalesce(sum(sessions_with_detail_view), 0) AS BIGINT) AS sessions_with_detail_view,
+  CAST(coalesce(sum(pageview_and_detail), 0) AS BIGINT) AS pageview_and_detail,
+  CAST(coalesce(sum(detail_and_comparison), 0) AS BIGINT) AS detail_and_comparison
+  FROM g_daily WHERE event_date BETWEEN DATE '2024-01-22' AND DATE '2024-01-28')""",
+    "serve_recency": """
+SELECT latest_at, age AS age_hours, CASE WHEN age > 48 THEN 'error' WHEN age > 24 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT latest_at, (epoch(TIMESTAMP '2024-01-31 12:00:00') - epoch(latest_at)) / 3600 AS age
+      FROM (SELECT max(latest_event_at) AS latest_at FROM g_daily))""",
+    "top_brands": "SELECT * FROM g_brand QUALIFY row_number() OVER (ORDER BY total_views DESC, brand_name) <= 10",
+    "brand_share": """
+SELECT CASE WHEN place <= 6 THEN brand_name ELSE 'Other brands (remaining)' END AS brand_name,
+  CAST(sum(total_views) AS BIGINT) AS total_views
+FROM (SELECT *, row_number() OVER (ORDER BY total_views DESC, brand_name, brand_id) AS place FROM g_brand)
+GROUP BY CASE WHEN place <= 6 THEN place ELSE 7 END, 1""",
+    "top_component_trend": """
+SELECT month, gpu_name, CAST(sum(total_views) AS BIGINT) AS total_views FROM g_gpu
+WHERE gpu_name IN (SELECT gpu_name FROM g_gpu GROUP BY gpu_name ORDER BY sum(total_views) DESC, gpu_name LIMIT 5)
+GROUP BY month, gpu_name""",
+    "serve_pairs": "SELECT * FROM g_pairs",
+    "serve_specs": "SELECT * FROM g_spec",
+    "serve_funnel_totals": " UNION ALL ".join(
+        f"SELECT '{label}' AS step, CAST(coalesce(sum({column}), 0) AS BIGINT) AS session_days FROM g_funnel"
+        for label, column in (
+            ("Pageview", "step_1_pageview"), ("Product detail", "step_2_product_detail"),
+            ("Select for comparison", "step_3_select_compare"), ("Comparison page", "step_4_comparison_page"),
+            ("Sort action", "step_5_sort_action"))
+    ),
+    "top_searches": "SELECT * FROM g_search QUALIFY row_number() OVER (ORDER BY search_volume DESC, search_keyword) <= 25",
+    "serve_os_totals": "SELECT user_os, count(*) AS sessions FROM s_activity GROUP BY user_os",
+    "serve_benchmark_coverage": """
+SELECT count(*) AS models, count(office_battery_hours) AS battery_measurements,
+  round(avg(office_battery_hours), 4) AS mean_battery_hours, format('{:,.1f} h', avg(office_battery_hours)) AS mean_battery_label,
+  count(*) FILTER (office_battery_hours IS NOT NULL AND geekbench6_multi IS NOT NULL) AS measured_models FROM g_rank""",
+    "serve_measured": """
+SELECT laptop_name, brand_name, office_battery_hours, geekbench6_multi FROM g_rank
+WHERE office_battery_hours IS NOT NULL AND geekbench6_multi IS NOT NULL""",
+    "top_perf_per_kg": """
+SELECT * FROM g_eff WHERE performance_per_kg IS NOT NULL
+QUALIFY row_number() OVER (ORDER BY performance_per_kg DESC, laptop_model_id) <= 10""",
+    "serve_interest_points": """
+SELECT laptop_name, brand_name, office_battery_hours, total_views FROM g_battery WHERE office_battery_hours IS NOT NULL""",
+    "serve_catalog": """
+SELECT r.laptop_name, r.brand_name, r.cpu_name, r.gpu_name, r.screen_size, r.office_battery_hours, r.geekbench6_multi,
+  b.total_views
+FROM g_rank r JOIN g_battery b ON b.laptop_model_id = r.laptop_model_id
+WHERE r.brand_name = 'Brand#7' AND contains(lower(r.laptop_name), 'ring')""",
+    "serve_catalog_all": """
+SELECT r.laptop_name, r.brand_name, r.cpu_name, r.gpu_name, r.screen_size, r.office_battery_hours, r.geekbench6_multi,
+  b.total_views
+FROM g_rank r JOIN g_battery b ON b.laptop_model_id = r.laptop_model_id""",
+    "serve_brand_options": "SELECT DISTINCT brand_name FROM g_rank WHERE brand_name IS NOT NULL",
+}
+QUERIES: dict[str, str] = {
+    **_BRONZE, **_SILVER, **_GOLD, **_INGESTION, **_QUALITY, **_RECONCILIATION, **_SERVING,
+}
 
 
 def oracle_sql() -> dict[str, str]:

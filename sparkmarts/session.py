@@ -23,6 +23,7 @@ def local_session(cpus: int | str = "*", app: str = "sparkmarts", **conf: str) -
         **REQUIRED_CONF,
         **ENGINE_CONF,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         **conf,
