@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A code is split into digits of this many bits; a window below never sees more than 2**20 rows.
-DIGIT_BITS = 20
-# Below every 32-bit integer and every 18-digit decimal: missing values rank last.
-MISSING_CODE = -(1 << 61)
+# Codes are accumulated in buckets of 2**20 neighbouring codes: a window inside a bucket sees at most a
+# million rows, one over buckets 4096 for a 32-bit integer, or a million for decimals up to 2**40 units of
+# their last digit (a hundred million minutes at four places).
+BUCKET_BITS = 20
+MISSING_CODE = -(1 << 61)  # below every integer and every 18-digit decimal: missing values rank last
 
 
 def order_code(value: Column, dtype: T.DataType) -> Column:
@@ -19,55 +20,35 @@ def order_code(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DecimalType):
         if dtype.precision > 18:
             raise TypeError(f"cannot rank {dtype.simpleString()}: more than 18 digits")
-        value = value.cast("decimal(38,18)") * F.lit(10**dtype.scale).cast("decimal(19,0)")
+        value = value * F.lit(10**dtype.scale).cast("decimal(18,0)")
     elif not isinstance(dtype, T.IntegerType | T.ShortType | T.ByteType):
         raise TypeError(f"cannot rank {dtype.simpleString()}")
     return F.coalesce(value.cast("bigint"), F.lit(MISSING_CODE))
 
 
-def rows_ahead(histogram: DataFrame, by: Sequence[str], code: str = "code", n: str = "n") -> DataFrame:
-    """Per distinct (by, code) the number of rows with a greater code.
+def rows_ahead(histogram: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per histogram row (by..., code, n) the number of rows of its group with a greater code, as `ahead`.
 
-    A running total over a tree of code prefixes: totals of the coarse prefixes are accumulated first, then
-    within each prefix the finer ones. Equal values are one histogram row, so a frequent value costs nothing.
+    Bucket totals are accumulated first, then the codes within each bucket. Equal values are one histogram
+    row, so a frequent value or a large group costs no more than its distinct values.
     """
-    by = list(by)
-    levels = [histogram.select(*by, code, n)]
-    prefixes = [code]
-    for depth in (1, 2):
-        prefix = f"_p{depth}"
-        finer = levels[-1].withColumn(prefix, F.shiftright(F.col(prefixes[-1]), DIGIT_BITS))
-        levels[-1] = finer
-        levels.append(finer.groupBy(*by, prefix).agg(F.sum(n).alias(n)))
-        prefixes.append(prefix)
+    bucketed = histogram.withColumn("bucket", F.shiftright("code", BUCKET_BITS))
 
-    ahead = None
-    for depth in (2, 1, 0):
-        siblings = [*by, prefixes[depth + 1]] if depth < 2 else by
-        earlier = Window.partitionBy(*siblings).orderBy(F.col(prefixes[depth]).desc())
-        within = F.coalesce(F.sum(n).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        level = levels[depth].withColumn("_within", within)
-        if ahead is None:
-            level = level.withColumn("ahead", F.col("_within"))
-        else:
-            level = level.join(_null_safe(ahead, by, prefixes[depth + 1]), _matches(by, prefixes[depth + 1]))
-            level = level.withColumn("ahead", F.col("_within") + F.col("_before"))
-        keep = [*by, prefixes[depth], *([prefixes[depth + 1]] if depth < 2 else []), "ahead"]
-        ahead = level.select(*keep)
-    return ahead.select(*by, code, "ahead")
+    def before(column: str, *within: str) -> Column:
+        earlier = Window.partitionBy(*within).orderBy(F.desc(column)).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(earlier), F.lit(0))
 
-
-def _null_safe(ahead: DataFrame, by: Sequence[str], prefix: str) -> DataFrame:
-    return ahead.select(
-        *(F.col(c).alias(f"_by_{c}") for c in by), F.col(prefix).alias("_prefix"), F.col("ahead").alias("_before")
+    totals = bucketed.groupBy(*by, "bucket").agg(F.sum("n").alias("n"))
+    offsets = totals.select(
+        *(F.col(c).alias(f"_{c}") for c in (*by, "bucket")), before("bucket", *by).alias("buckets_ahead")
     )
-
-
-def _matches(by: Sequence[str], prefix: str) -> Column:
-    condition = F.col(prefix) == F.col("_prefix")
+    inside = bucketed.select(*by, "bucket", "code", before("code", *by, "bucket").alias("codes_ahead"))
+    same_bucket = F.col("bucket") == F.col("_bucket")
     for c in by:
-        condition &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    return condition
+        same_bucket &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return inside.join(offsets, same_bucket).select(
+        *by, "code", (F.col("buckets_ahead") + F.col("codes_ahead")).alias("ahead")
+    )
 
 
 def add_ranks(df: DataFrame, within: str, measures: dict[str, tuple[str, str]]) -> DataFrame:
@@ -76,31 +57,33 @@ def add_ranks(df: DataFrame, within: str, measures: dict[str, tuple[str, str]])
     `measures` maps a value column to the names of its (inner, overall) rank columns.
     """
     dtypes = {field.name: field.dataType for field in df.schema.fields}
-    codes = F.array(
+    entries = F.array(
         *(
-            F.struct(F.lit(name).alias("measure"), order_code(F.col(name), dtypes[name]).alias("code"))
+            F.struct(
+                F.lit(name).alias("measure"),
+                F.lit(inner).alias("inner"),
+                (F.col(within) if inner else F.lit(None).cast(dtypes[within])).alias("grp"),
+                order_code(F.col(name), dtypes[name]).alias("code"),
+            )
             for name in measures
+            for inner in (True, False)
         )
     )
-    # One pass and one shuffle give the value counts of all measures.
-    histogram = (
-        df.select(F.col(within).alias("grp"), F.inline(codes))
-        .groupBy("measure", "grp", "code")
-        .agg(F.count("*").alias("n"))
-    )
-    inner = rows_ahead(histogram, ["measure", "grp"])
-    overall = rows_ahead(histogram.groupBy("measure", "code").agg(F.sum("n").alias("n")), ["measure"])
-    ranks = inner.withColumnRenamed("ahead", "ahead_in_grp").join(overall, ["measure", "code"])
+    # One pass and one shuffle count the values of all measures, by group and overall.
+    histogram = df.select(F.inline(entries)).groupBy("measure", "inner", "grp", "code").agg(F.count("*").alias("n"))
+    ranks = rows_ahead(histogram, ["measure", "inner", "grp"]).withColumn("rank", F.col("ahead") + 1)
+    overall = ranks.filter(~F.col("inner")).select("measure", "code", F.col("rank").alias("overall"))
+    both = ranks.filter("inner").select("measure", "grp", "code", "rank").join(overall, ["measure", "code"])
 
     for name, (inner_rank, overall_rank) in measures.items():
-        ranked = ranks.filter(F.col("measure") == name).select(
+        places = both.filter(F.col("measure") == name).select(
             F.col("grp").alias("_grp"),
             F.col("code").alias("_code"),
-            (F.col("ahead_in_grp") + 1).alias(inner_rank),
-            (F.col("ahead") + 1).alias(overall_rank),
+            F.col("rank").alias(inner_rank),
+            F.col("overall").alias(overall_rank),
         )
         same_place = F.col(within).eqNullSafe(F.col("_grp")) & (
             order_code(F.col(name), dtypes[name]) == F.col("_code")
         )
-        df = df.join(ranked, same_place, "left").drop("_grp", "_code")
+        df = df.join(places, same_place, "left").drop("_grp", "_code")
     return df

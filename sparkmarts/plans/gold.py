@@ -97,6 +97,15 @@ def gold_user_os(silver_session_activity: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- product interest
 
 
+def _laptop_brands(bronze_laptop_model: DataFrame) -> DataFrame:
+    """Brand per laptop without the dimension joins of `silver_laptop_model`, which add nothing to it."""
+    return bronze_laptop_model.filter("id is not null").select(
+        F.col("id").cast("int").alias("laptop_model_id"),
+        F.col("brand_id").cast("int").alias("brand_id"),
+        F.col("is_active").cast("boolean").alias("is_active"),
+    )
+
+
 def _detail_views(events: DataFrame) -> DataFrame:
     return events.filter(tx.is_detail_view() & F.col("device_id").isNotNull()).select(
         "id", "session_id", "server_timestamp", laptop_id_number(F.col("device_id")).alias("laptop_model_id")
@@ -151,16 +160,17 @@ def gold_spec_popularity(silver_user_event_tracking: DataFrame, silver_laptop_mo
 def gold_brand_interest(
     silver_user_event_tracking: DataFrame,
     silver_comparison_event_device: DataFrame,
-    silver_laptop_model: DataFrame,
+    bronze_laptop_model: DataFrame,
     silver_brand: DataFrame,
 ) -> DataFrame:
     """Brands with at least one product; session counts are distinct over all time."""
+    laptops = _laptop_brands(bronze_laptop_model)
     # Detail views carry no event id, comparison rows do: one join to the catalog serves both.
     touches = _detail_views(silver_user_event_tracking).select(
         "laptop_model_id", "session_id", F.lit(None).cast("bigint").alias("event_id")
     ).unionByName(silver_comparison_event_device.select("laptop_model_id", "session_id", "event_id"))
     per_session = (
-        touches.join(silver_laptop_model.select("laptop_model_id", "brand_id"), "laptop_model_id")
+        touches.join(laptops.select("laptop_model_id", "brand_id"), "laptop_model_id")
         .groupBy("brand_id", "session_id")
         .agg(
             F.count_if(F.col("event_id").isNull()).alias("views"),
@@ -175,7 +185,7 @@ def gold_brand_interest(
         F.sum("comparisons").alias("total_comparisons"),
         F.count_if(viewed & compared).alias("detail_and_comparison_sessions"),
     )
-    products = silver_laptop_model.groupBy("brand_id").agg(
+    products = laptops.groupBy("brand_id").agg(
         F.count("*").alias("total_products"), F.count_if("is_active").alias("active_products")
     )
     measures = [c for c in interest.columns if c != "brand_id"]
@@ -200,7 +210,7 @@ def gold_brand_interest(
 
 @relation
 def gold_brand_comparison(
-    silver_comparison_session_device: DataFrame, silver_laptop_model: DataFrame, silver_brand: DataFrame
+    silver_comparison_session_device: DataFrame, bronze_laptop_model: DataFrame, silver_brand: DataFrame
 ) -> DataFrame:
     """Unordered brand pairs whose laptops were compared in the same session-day.
 
@@ -211,7 +221,7 @@ def gold_brand_comparison(
     group = ["session_id", "event_date"]
     per_brand = (
         silver_comparison_session_device.select(*group, "laptop_model_id")
-        .join(silver_laptop_model.select("laptop_model_id", "brand_id"), "laptop_model_id")
+        .join(_laptop_brands(bronze_laptop_model).select("laptop_model_id", "brand_id"), "laptop_model_id")
         .groupBy(*group, "brand_id")
         .agg(F.count("*").alias("n"))
     )

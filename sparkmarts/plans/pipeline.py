@@ -34,6 +34,9 @@ class StoredTables(Mapping):
             raise KeyError(name)
         return self._store.read(name)
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._names
+
     def __iter__(self):
         return iter(self._names)
 

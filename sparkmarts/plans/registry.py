@@ -36,6 +36,9 @@ class Marts(Mapping):
                 raise KeyError(f"unknown relation: {name}")
         return self._frames[name]
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._given or name in RELATIONS
+
     def __iter__(self) -> Iterator[str]:
         return iter({**dict.fromkeys(self._given), **dict.fromkeys(RELATIONS)})
 

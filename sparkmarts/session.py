@@ -25,6 +25,8 @@ def local_session(cpus: int | str = "*", app: str = "sparkmarts", **conf: str) -
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
+        # Call-site capture costs several driver round trips per Column.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.driver.memory": "8g",
         **conf,
     }

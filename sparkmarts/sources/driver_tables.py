@@ -8,127 +8,90 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import RAW_SCHEMAS
 
+BRAND_ID = "cast(substring(p_brand, 7) as int)"
+FIRST_WORD = "substring_index(p_name, ' ', 1)"
 
-def _name_id(name: Column) -> Column:
-    return F.conv(F.substring(F.md5(name), 1, 7), 16, 10).cast("int")
 
+def _name_id(name: str) -> str:
+    return f"cast(conv(substring(md5({name}), 1, 7), 16, 10) as int)"
 
-def _first_word(name: Column) -> Column:
-    return F.substring_index(name, " ", 1)
 
-
-def _brand_id() -> Column:
-    return F.expr("substring(p_brand, 7)").cast("int")
+def _names(df: DataFrame, name: str, identifier: str) -> DataFrame:
+    return df.selectExpr(f"{name} as name").distinct().selectExpr(f"{identifier} as id", "name")
 
 
 def brand(part: DataFrame) -> DataFrame:
-    return part.select("p_brand").distinct().select(_brand_id().alias("id"), F.col("p_brand").alias("name"))
+    return _names(part, "p_brand", "cast(substring(name, 7) as int)")
 
 
 def cpu_model(part: DataFrame) -> DataFrame:
-    return part.select(F.col("p_type").alias("name")).distinct().select(_name_id(F.col("name")).alias("id"), "name")
+    return _names(part, "p_type", _name_id("name"))
 
 
 def gpu_model(part: DataFrame) -> DataFrame:
-    names = part.select(_first_word(F.col("p_name")).alias("name")).distinct()
-    return names.select(_name_id(F.col("name")).alias("id"), "name")
+    return _names(part, FIRST_WORD, _name_id("name"))
 
 
 def laptop_model(part: DataFrame) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    return part.select(
-        (key + 1).cast("int").alias("id"),
-        F.concat(F.lit(" "), F.replace(F.col("p_name"), F.lit(" "), F.lit("  ")), F.lit(" ")).alias("name"),
-        _brand_id().alias("brand_id"),
-        F.when(key % 17 != 0, _name_id(F.col("p_type"))).alias("cpu_model_id"),
-        F.when(key % 19 != 0, _name_id(_first_word(F.col("p_name")))).alias("gpu_model_id"),
-        size.cast("decimal(18,4)").alias("screen_size"),
-        F.when(key % 13 != 0, (size % 4 + 1).cast("decimal(18,4)")).alias("laptop_weight"),
-        F.when(key % 11 != 0, (key % 90).cast("decimal(18,4)")).alias("battery_capacity_whr"),
-        (key % 10 != 0).alias("is_visible"),
-        (key % 7 != 0).alias("is_active"),
+    return part.selectExpr(
+        "p_partkey + 1 as id",
+        "concat(' ', replace(p_name, ' ', '  '), ' ') as name",
+        f"{BRAND_ID} as brand_id",
+        f"if(p_partkey % 17 = 0, null, {_name_id('p_type')}) as cpu_model_id",
+        f"if(p_partkey % 19 = 0, null, {_name_id(FIRST_WORD)}) as gpu_model_id",
+        "p_size as screen_size",
+        "if(p_partkey % 13 = 0, null, p_size % 4 + 1) as laptop_weight",
+        "if(p_partkey % 11 = 0, null, p_partkey % 90) as battery_capacity_whr",
+        "p_partkey % 10 <> 0 as is_visible",
+        "p_partkey % 7 <> 0 as is_active",
     )
 
 
 def laptop_benchmark_result(orders: DataFrame) -> DataFrame:
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
-    return orders.select(
-        key.alias("id"),
-        F.when(key % 41 != 0, (F.col("o_custkey") + 1).cast("int")).alias("laptop_model_id"),
-        F.floor(price / 1000).cast("decimal(18,4)").alias("office_battery_result_minutes"),
-        F.floor(price / 3000).cast("decimal(18,4)").alias("gaming_battery_result_minutes"),
-        (key % 2500 + 500).cast("int").alias("geekbench_6_cpu_single_core_plugged_in"),
-        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.floor(price / 30).cast("int")).alias(
-            "geekbench_6_cpu_multi_core_plugged_in"
-        ),
-        F.when(F.col("o_orderstatus") != "P", F.floor(price / 40).cast("int")).alias(
-            "geekbench_6_cpu_multi_core_battery"
-        ),
+    return orders.selectExpr(
+        "o_orderkey as id",
+        "if(o_orderkey % 41 = 0, null, o_custkey + 1) as laptop_model_id",
+        "floor(o_totalprice / 1000) as office_battery_result_minutes",
+        "floor(o_totalprice / 3000) as gaming_battery_result_minutes",
+        "o_orderkey % 2500 + 500 as geekbench_6_cpu_single_core_plugged_in",
+        "if(o_orderpriority = '4-NOT SPECIFIED', null, floor(o_totalprice / 30)) as geekbench_6_cpu_multi_core_plugged_in",
+        "if(o_orderstatus = 'P', null, floor(o_totalprice / 40)) as geekbench_6_cpu_multi_core_battery",
     )
 
 
+_PAGE = """case when k % 6 = 0 then '"page_name":"Home",' when k % 6 in (1, 2) then '"page_name":"DeviceDetail",'
+  when k % 6 = 3 then '"page_name":"DeviceComparison",' when k % 6 = 4 then '"page_name":"CompareDevice",' else '' end"""
+_CHART_SORT = """if(event_type = 'error',
+  concat('"device_ids":["', event_id % 150 + 1, '","', event_id % 149 + 1, '","', event_id % 150 + 1,
+         '"],"sort_by":"', if(k % 3 = 0, ' ', 'performance'), '","sort_direction":"desc",'), '')"""
+_KEYWORD = """if(event_type = 'signup',
+  concat('"keyword":"', if(k % 20 = 7, ' ', concat(' Key ', k % 20, ' ')), '",'), '')"""
+_OWN_DEVICE = "if(k % 10 = 9, '99999999999', cast(event_id % 150 + 1 as string))"
+_OS = """case when user_id % 4 = 0 then '"os":"Windows",' when user_id % 4 = 1 then '"os_name":"macOS",'
+  when k % 4 = 2 then '"os_name":" ",' when k % 4 = 3 then '"os":"Linux",' else '' end"""
+
+
 def user_event_tracking(events: DataFrame) -> DataFrame:
-    kind, number, user = F.col("event_type"), F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    text = lambda value: value.cast("string")
-    seconds = F.unix_seconds(F.col("ts").cast("timestamp")).cast("double")
-
-    page = (
-        F.when(k % 6 == 0, '"page_name":"Home",')
-        .when((k % 6).isin(1, 2), '"page_name":"DeviceDetail",')
-        .when(k % 6 == 3, '"page_name":"DeviceComparison",')
-        .when(k % 6 == 4, '"page_name":"CompareDevice",')
-        .otherwise("")
-    )
-    first, second = text(number % 150 + 1), text(number % 149 + 1)
-    chart_sort = F.when(
-        kind == "error",
-        F.concat(
-            F.lit('"device_ids":["'), first, F.lit('","'), second, F.lit('","'), first, F.lit('"],"sort_by":"'),
-            F.when(k % 3 == 0, " ").otherwise("performance"), F.lit('","sort_direction":"desc",'),
-        ),
-    ).otherwise("")
-    keyword = F.when(
-        kind == "signup",
-        F.concat(
-            F.lit('"keyword":"'),
-            F.when(k % 20 == 7, " ").otherwise(F.concat(F.lit(" Key "), text(k % 20), F.lit(" "))),
-            F.lit('",'),
-        ),
-    ).otherwise("")
-    own_device = F.when(k % 10 == 9, "99999999999").otherwise(first)
-    os_member = (
-        F.when(user % 4 == 0, '"os":"Windows",')
-        .when(user % 4 == 1, '"os_name":"macOS",')
-        .when(k % 4 == 2, '"os_name":" ",')
-        .when(k % 4 == 3, '"os":"Linux",')
-        .otherwise("")
-    )
-    device_type = F.when(k % 2 == 0, "Desktop").otherwise("Mobile")
-    return events.select(
-        number.alias("id"),
-        F.when(number % 50 != 0, F.concat(F.lit("s"), text(user))).alias("session_id"),
-        F.when(number % 333 == 0, None)
-        .when(kind == "view", "pageview")
-        .when(kind == "click", "click")
-        .when(kind == "purchase", "select_device_for_comparison")
-        .when(kind == "signup", "search_for_device")
-        .otherwise("comparison_chart_sort_selection")
-        .alias("event_name"),
-        (seconds - 10).alias("event_local_timestamp"),
-        seconds.alias("event_received_on_server_timestamp"),
-        F.concat(
-            F.lit("{"), page, chart_sort, keyword, F.lit('"device_id":"'), own_device, F.lit('"}')
-        ).alias("event_data"),
-        F.when(user % 13 == 5, "{}")
-        .otherwise(F.concat(F.lit("{"), os_member, F.lit('"device_type":"'), device_type, F.lit('"}')))
-        .alias("device"),
-    )
+    return events.selectExpr(
+        "event_id", "user_id", "event_type",
+        "cast(get_json_object(props, '$.k') as int) as k",
+        "cast(unix_seconds(cast(ts as timestamp)) as double) as seconds",
+    ).selectExpr(
+        "event_id as id",
+        "if(event_id % 50 = 0, null, concat('s', user_id)) as session_id",
+        """case when event_id % 333 = 0 then null when event_type = 'view' then 'pageview'
+             when event_type = 'click' then 'click' when event_type = 'purchase' then 'select_device_for_comparison'
+             when event_type = 'signup' then 'search_for_device' else 'comparison_chart_sort_selection' end as event_name""",
+        "seconds - 10 as event_local_timestamp",
+        "seconds as event_received_on_server_timestamp",
+        f"""concat('{{', {_PAGE}, {_CHART_SORT}, {_KEYWORD}, '"device_id":"', {_OWN_DEVICE}, '"}}') as event_data""",
+        f"""if(user_id % 13 = 5, '{{}}',
+             concat('{{', {_OS}, '"device_type":"', if(k % 2 = 0, 'Desktop', 'Mobile'), '"}}')) as device""",
+    )
 
 
 _BUILDERS = {
@@ -146,11 +109,20 @@ class RawTables(Mapping):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._sf_dir = spark, sf_dir
+        self._inputs: dict[str, DataFrame] = {}
+
+    def _input(self, source: str) -> DataFrame:
+        if source not in self._inputs:
+            self._inputs[source] = self._spark.read.parquet(f"{self._sf_dir}/{source}.parquet")
+        return self._inputs[source]
 
     def __getitem__(self, table: str) -> DataFrame:
         source, build = _BUILDERS[table]
-        frame = build(self._spark.read.parquet(f"{self._sf_dir}/{source}.parquet"))
-        return frame.select(*(F.col(field.name).cast(field.dataType) for field in RAW_SCHEMAS[table].fields))
+        typed = (f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in RAW_SCHEMAS[table].fields)
+        return build(self._input(source)).selectExpr(*typed)
+
+    def __contains__(self, table: object) -> bool:
+        return table in _BUILDERS
 
     def __iter__(self) -> Iterator[str]:
         return iter(_BUILDERS)
