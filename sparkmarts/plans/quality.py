@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, business_date, epoch_to_timestamp, laptop_id_number
@@ -221,7 +221,7 @@ class DataTest:
     violations: Callable[[Tables], DataFrame]
     # Tests of single rows name their table and a bad-row condition: one scan then serves all of a table.
     table: str | None = None
-    bad_row: Column | None = None
+    bad_row: str | None = None
 
 
 def _unique(layer: str, table: str, column: str) -> DataTest:
@@ -234,7 +234,7 @@ def _not_null(layer: str, table: str, column: str) -> DataTest:
         layer,
         lambda t: checks.dq_not_null(t[table], column),
         table,
-        F.col(column).isNull(),
+        f"{column} is null",
     )
 
 
@@ -252,7 +252,7 @@ def _boolean(table: str, column: str) -> DataTest:
         "silver",
         lambda t: checks.dq_accepted_values(t[table], column, [True, False]),
         table,
-        ~F.col(column).isin(True, False),
+        f"{column} not in (true, false)",
     )
 
 
@@ -327,7 +327,7 @@ def run_tests(t: Tables, layer: str, extra: Iterable[DataTest] = ()) -> dict[str
         if test.bad_row is not None:
             by_table.setdefault(test.table, []).append(test)
     counts = [
-        _as_rows(t[table].agg(*(F.count_if(test.bad_row).alias(test.name) for test in group)), "violations")
+        _as_rows(t[table].agg(*(F.count_if(F.expr(test.bad_row)).alias(test.name) for test in group)), "violations")
         for table, group in by_table.items()
     ]
     counts += [

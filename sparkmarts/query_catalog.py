@@ -172,7 +172,6 @@ def _ingestion() -> dict[str, Query]:
 
 
 def _quality() -> dict[str, Query]:
-    arrived = epoch_to_timestamp(F.col(EVENT_TS))
     generic = {
         "dq_unique": _over_events(lambda e: checks.dq_unique(versions_batch(e), "id")),
         "dq_not_null": _over_events(lambda e: checks.dq_not_null(e, "session_id")),
@@ -182,7 +181,7 @@ def _quality() -> dict[str, Query]:
             )
         ),
         "dq_accepted_values": _over_events(lambda e: checks.dq_accepted_values(e, "event_name", ["pageview", "click"])),
-        "dq_freshness": _over_events(lambda e: checks.dq_freshness(e, arrived, AS_OF)),
+        "dq_freshness": _over_events(lambda e: checks.dq_freshness(e, epoch_to_timestamp(F.col(EVENT_TS)), AS_OF)),
         "json_valid": _over_events(lambda e: quality.json_valid({EVENTS: cut_short(e)})),
         # Stored half a month ago: everything later is missing, pageviews and searches carry other instants.
         "dq_raw_to_silver_stale": _over_events(
