@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..operators.versions import merge_by_key
 
-DAY, WRITE = "_day", "_write"  # partition folders: business day, then the write that produced the files
+WRITE, DAY = "_write", "_day"  # partition folders: the write that produced the files, then the business day
 COMMIT_ATTEMPTS = 5
 
 
@@ -130,7 +130,7 @@ class TableStore:
         schema = T.StructType([*version.schema.fields, T.StructField(DAY, T.StringType())])
         if not chosen:
             return self.spark.createDataFrame([], schema)
-        paths = [f"{data}/{DAY}={day}/{WRITE}={write}" for day, write in chosen.items()]
+        paths = [f"{data}/{WRITE}={write}/{DAY}={day}" for day, write in chosen.items()]
         partitions = T.StructType([*schema.fields, T.StructField(WRITE, T.StringType())])
         return reader.schema(partitions).option("basePath", data).parquet(*paths).drop(WRITE)
 
@@ -138,16 +138,13 @@ class TableStore:
 
     def _write_files(self, name: str, df: DataFrame, by_day: bool) -> tuple[str, list[str]]:
         write = uuid.uuid4().hex
-        data = f"{self.root}/{name}/data"
+        folder = f"{self.root}/{name}/data/{WRITE}={write}"  # a folder of its own: writers never share one
         if not by_day:
-            df.write.parquet(f"{data}/{WRITE}={write}")
+            df.write.parquet(folder)
             return write, []
         # Rebalancing keeps a day's files together, and splits a day that holds a large share of the rows.
-        spread = df.withColumn(WRITE, F.lit(write)).hint("rebalance", F.col(DAY))
-        spread.write.mode("append").partitionBy(DAY, WRITE).parquet(data)
-        pattern = self._path(name, "data", f"{DAY}=*", f"{WRITE}={write}")
-        found = self._fs().globStatus(pattern) or []
-        days = [status.getPath().getParent().getName().removeprefix(f"{DAY}=") for status in found]
+        df.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(folder)
+        days = [n.removeprefix(f"{DAY}=") for n in self._names(name, "data", f"{WRITE}={write}") if n.startswith(DAY)]
         return write, days
 
     def overwrite(self, name: str, df: DataFrame, day: Column | None = None) -> int:

@@ -58,3 +58,8 @@ def differences(frame, connection, sql: str) -> str:
         f"{sorted(frame.columns)}\n{sum(got.values())} vs {sum(expected.values())} rows\n"
         f"only spark: {list(only_spark)[:3]}\nonly duckdb: {list(only_duck)[:3]}"
     )
+
+
+def plan_text(df) -> str:
+    jvm = df.sparkSession._jvm
+    return jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
