@@ -67,6 +67,14 @@ def numeric_label(value: Column, suffix: str = "", decimals: int = 1) -> Column:
     return F.coalesce(F.concat(F.format_number(number, decimals), F.lit(suffix)), F.lit("N/A"))
 
 
+def fingerprint(*columns: Column) -> Column:
+    """64 bits over the values, to compare two versions of one row without moving them.
+
+    NULL flags are hashed too: the hash skips NULLs, so without them values could trade places unseen.
+    """
+    return F.xxhash64(*(part for column in columns for part in (column, column.isNull())))
+
+
 def contains_literal(text: Column, query: str) -> Column:
     """Case-insensitive substring test; the query is plain text, NULL never matches."""
     return F.coalesce(F.contains(F.lower(text), F.lower(F.lit(query))), F.lit(False))

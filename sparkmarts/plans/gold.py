@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, business_month, laptop_id_number, percent, safe_divide
@@ -225,25 +225,23 @@ def gold_brand_comparison(
         .groupBy(*group, "brand_id")
         .agg(F.count("*").alias("n"))
     )
-    left = per_brand.select(*group, F.col("brand_id").alias("brand_a_id"), F.col("n").alias("n_a"))
-    right = per_brand.select(*group, F.col("brand_id").alias("brand_b_id"), F.col("n").alias("n_b"))
-    a, b = F.col("brand_a_id"), F.col("brand_b_id")
-    n_a, n_b = F.col("n_a"), F.col("n_b")
-    pairs = (
-        left.filter(a.isNotNull())
-        .join(right, group)
-        .filter((b >= a) | b.isNull())
-        .select(
-            *group,
-            a,
-            F.coalesce(b, a).alias("brand_b_id"),
-            F.when(a == b, F.expr("n_a * (n_a - 1) div 2")).otherwise(n_a * n_b).alias("pairs"),
-        )
-        .filter("pairs > 0")
+    # The window and the join below it share one partitioning and sort by session-day.
+    unbranded = F.sum(F.when(F.col("brand_id").isNull(), F.col("n"))).over(Window.partitionBy(*group))
+    branded = per_brand.withColumn("n_unbranded", F.coalesce(unbranded, F.lit(0))).filter("brand_id is not null")
+    side = lambda s: branded.select(
+        *group, F.col("brand_id").alias(f"brand_{s}_id"), F.col("n").alias(f"n_{s}"), F.col("n_unbranded").alias(f"n0_{s}")
     )
+    a, b = F.col("brand_a_id"), F.col("brand_b_id")
+    # Both sides read the same columns, so the shuffles below the join are done once for the two.
+    pairs = F.when(a == b, F.expr("(n_a * (n_b - 1) + n_a * n0_b + n_b * n0_a) div 2")).otherwise(F.expr("n_a * n_b"))
     counted = (
-        pairs.groupBy("brand_a_id", "brand_b_id", "session_id")
-        .agg(F.count_distinct("event_date").alias("days"), F.sum("pairs").alias("pairs"))
+        side("a")
+        .join(side("b"), group)
+        .filter(a <= b)
+        .select("brand_a_id", "brand_b_id", "session_id", pairs.alias("pairs"))
+        .filter("pairs > 0")
+        .groupBy("brand_a_id", "brand_b_id", "session_id")  # one row per day of a session
+        .agg(F.count("*").alias("days"), F.sum("pairs").alias("pairs"))
         .groupBy("brand_a_id", "brand_b_id")
         .agg(
             F.count("*").alias("comparison_sessions"),

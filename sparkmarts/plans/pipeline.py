@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
+from functools import partial
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import read_lookback_seconds
 from ..functions import business_date, epoch_to_timestamp
+from ..operators.versions import merge_by_key
 from ..schemas import EVENT_KEY, EVENT_TS, EVENTS, GOLD_NAMES, RAW_SCHEMAS
 from ..session import pin_utc
 from ..sources.store import TableStore
@@ -19,7 +23,7 @@ from .quality import run_tests
 from .registry import Marts
 
 SILVER_EVENTS = "silver_user_event_tracking"
-# Read by several marts each, so kept for the length of a build; lost blocks are recomputed.
+# Read by several marts and tests each, so written to scratch for the length of a build.
 SHARED = ("silver_session_day", "silver_comparison_event_device", "silver_laptop_model")
 
 
@@ -59,8 +63,6 @@ def recent_events(raw: DataFrame, stored: DataFrame, lookback_seconds: int) -> D
 
 def silver_incremental(raw: DataFrame, stored: DataFrame, lookback_seconds: int) -> DataFrame:
     """The silver event table after an incremental run, as one relation."""
-    from ..operators.versions import merge_by_key
-
     fresh = silver.silver_event_table(recent_events(raw, stored, lookback_seconds))
     return merge_by_key(stored, fresh, EVENT_KEY)
 
@@ -87,6 +89,13 @@ def build_events(
     return version
 
 
+def _in_threads(spark, threads: int, jobs) -> list:
+    """Runs independent Spark jobs from a few driver threads, so that small ones do not wait for large ones."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return [done.result() for done in [pool.submit(inherit(job)) for job in jobs]]
+
+
 def build(
     store: TableStore,
     full_refresh: bool = False,
@@ -96,35 +105,26 @@ def build(
 ) -> Marts:
     """Raw tests, silver events, silver tests, gold tables, gold tests; a failing test stops what follows.
 
-    Bronze and the other silver relations stay lazy. Independent gold tables are written by a few driver
-    threads, so that small ones do not wait for large ones.
+    Bronze and most silver relations stay lazy; the few that several marts and tests read are staged once.
     """
     pin_utc(store.spark)
     if test:
-        run_tests(Marts(StoredTables(store, hide=GOLD_NAMES)), "raw")
+        run_tests(Marts(StoredTables(store)), "raw")
     build_events(store, full_refresh, lookback_seconds)
-    marts = Marts(StoredTables(store, hide=GOLD_NAMES))
-    shared = [marts[name].persist(StorageLevel.MEMORY_AND_DISK) for name in SHARED]
-    try:
+    stored = StoredTables(store, hide=GOLD_NAMES)
+    source = Marts(stored)
+    with ExitStack() as stack:
+        frames = [source[name] for name in SHARED]
+        staged = _in_threads(store.spark, threads, [partial(store.stage, frame) for frame in frames])
+        shared = {name: stack.enter_context(table) for name, table in zip(SHARED, staged)}
+        marts = Marts(ChainMap(shared, stored))
         if test:
             run_tests(marts, "silver")
-
-        @inheritable_thread_target(store.spark)
-        def write(name: str) -> None:
-            store.overwrite(name, marts[name])
-
-        frames = [marts[name] for name in GOLD_NAMES]  # resolved here, the threads only write
-        assert len(frames) == len(GOLD_NAMES)
-        with ThreadPoolExecutor(max_workers=threads) as pool:
-            for done in [pool.submit(write, name) for name in GOLD_NAMES]:
-                done.result()
-        built = Marts(StoredTables(store))
+        gold_frames = {name: marts[name] for name in GOLD_NAMES}
+        _in_threads(store.spark, threads, [partial(store.overwrite, *item) for item in gold_frames.items()])
         if test:
-            run_tests(built, "gold")
-    finally:
-        for frame in shared:
-            frame.unpersist()
-    return built
+            run_tests(Marts(ChainMap(shared, StoredTables(store))), "gold")
+    return Marts(StoredTables(store))
 
 
 def load_gold(store: TableStore, name: str) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import blank_to_null, business_date, epoch_to_timestamp, laptop_id_number
+from ..functions import blank_to_null, business_date, epoch_to_timestamp, fingerprint, laptop_id_number
 from ..operators import checks
 from ..schemas import EVENT_TS
 from . import taxonomy as tx
@@ -137,46 +137,49 @@ def dq_gold_totals(t: Tables) -> DataFrame:
     return gold_totals(t).filter(~F.col("expected").eqNullSafe(F.col("actual")))
 
 
-def dq_raw_to_silver(t: Tables) -> DataFrame:
-    """Ids missing on either side, or stored in silver with another instant, name, session or payload.
+def _compare_by_id(left: DataFrame, right: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Per id: rows on either side, and whether all of them carry the same values.
 
-    Texts are compared through SHA-256 digests, so the shuffle moves no JSON. An outer join one way and an
-    anti join the other (instead of a full join) leave Spark free to split a frequent id.
+    Both sides are stacked and grouped, so ids and 8-byte fingerprints are all that moves, once, and the
+    rows of a repeated id collapse before they do.
     """
-    digest = lambda column: F.unhex(F.sha2(F.col(column), 256))
-    sent = t["user_event_tracking"].filter("event_name is not null and session_id is not null")
-    sent = sent.select(
-        "id",
-        F.struct(
-            epoch_to_timestamp(F.col(EVENT_TS)).alias("at"), "event_name", "session_id",
-            digest("event_data").alias("event_data"), digest("device").alias("device"),
-        ).alias("sent"),
-    )
-    kept = t["silver_user_event_tracking"].select(
-        F.col("id").alias("kept_id"),
-        F.struct(
-            F.col("server_timestamp").alias("at"), "event_name", "session_id",
-            digest("event_data").alias("event_data"), digest("device").alias("device"),
-        ).alias("kept"),
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("id", F.lit(name).alias("side"), fingerprint(*(F.col(v) for v in values)).alias("mark"))
+
+    return (
+        side(left, "left")
+        .unionByName(side(right, "right"))
+        .groupBy("id")
+        .agg(
+            F.count_if(F.col("side") == "left").alias("n_left"),
+            F.count_if(F.col("side") == "right").alias("n_right"),
+            (F.min("mark") == F.max("mark")).alias("same"),
+        )
     )
-    changed = sent.join(kept, F.col("id") == F.col("kept_id"), "left").filter(
-        F.col("kept_id").isNull() | ~F.col("sent").eqNullSafe(F.col("kept"))
+
+
+def dq_raw_to_silver(t: Tables) -> DataFrame:
+    """Ids missing on either side, or stored in silver with another instant, name, session or payload."""
+    values = ["at", "event_name", "session_id", "event_data", "device"]
+    sent = t["user_event_tracking"].filter("event_name is not null and session_id is not null")
+    compared = _compare_by_id(
+        sent.withColumn("at", epoch_to_timestamp(F.col(EVENT_TS))),
+        t["silver_user_event_tracking"].withColumn("at", F.col("server_timestamp")),
+        values,
     )
-    invented = kept.select(F.col("kept_id").alias("id")).join(sent.select("id"), "id", "left_anti")
-    return changed.select("id").unionByName(invented)
+    return compared.filter("n_left = 0 or n_right = 0 or not same").select("id")
 
 
 def dq_source_taxonomy(t: Tables) -> DataFrame:
     """OS mapping, selection reach against the funnel, and repeats in the comparison bridge."""
     events = t["silver_user_event_tracking"]
-    named_os = t["user_event_tracking"].select(
-        "id",
-        F.coalesce(F.get_json_object("device", "$.os"), F.get_json_object("device", "$.os_name")).alias("sent_os"),
+    sent_os = F.coalesce(F.get_json_object("device", "$.os"), F.get_json_object("device", "$.os_name"))
+    compared = _compare_by_id(
+        t["user_event_tracking"].withColumn("os", sent_os), events.withColumn("os", F.col("user_os")), ["os"]
     )
-    os_mapping = (
-        named_os.join(events.select("id", "user_os"), "id")
-        .filter(~F.col("sent_os").eqNullSafe(F.col("user_os")))
-        .select(F.lit("source_os_mapping").alias("failure"))
+    os_mapping = compared.filter("n_left > 0 and n_right > 0 and not same").select(
+        F.lit("source_os_mapping").alias("failure")
     )
     reached = (
         events.filter(tx.is_selection())

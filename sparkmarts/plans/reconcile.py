@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import business_date
+from ..functions import business_date, fingerprint
 from ..schemas import EVENT_TS, LAYERS
 
 Tables = Mapping[str, DataFrame]
@@ -142,7 +142,7 @@ def layer_snapshot(t: Tables) -> DataFrame:
     # The hashes are added as 38-digit decimals, so that no number of rows overflows.
     prints = (
         t[name]
-        .select(F.xxhash64(*columns).cast("decimal(38,0)").alias("h"))
+        .select(fingerprint(*(F.col(c) for c in columns)).cast("decimal(38,0)").alias("h"))
         .agg(F.count("*").alias("n_rows"), F.sum("h").alias("total"))
         .select(F.lit(name).alias("relation"), "n_rows", F.col("total").cast("string").alias("fingerprint"))
         for name, columns in FINGERPRINT.items()
