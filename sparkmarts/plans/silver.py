@@ -204,29 +204,45 @@ def silver_session_funnel(silver_session_day: DataFrame) -> DataFrame:
 
 @relation
 def silver_session_activity(silver_user_event_tracking: DataFrame) -> DataFrame:
-    """One row per session over all time, with its first non-blank OS and device type."""
-    arrival = F.struct("server_timestamp", "id")
+    """One row per session over all time, with its first non-blank OS and device type.
 
-    def first_given(column: str):
-        # min_by skips nothing by itself: a NULL ordering key leaves blank values out.
-        given = blank_to_null(F.col(column))
-        return F.coalesce(F.min_by(given, F.when(given.isNotNull(), arrival)), F.lit(tx.UNKNOWN)).alias(column)
+    Events are first reduced to the few combinations of event name, OS and device type of a session, in a
+    hash aggregation with fixed-width states; the string-valued "first by arrival" then sees those alone.
+    """
 
     def ever(condition):
-        return F.max(F.when(condition, 1).otherwise(0)).cast("boolean")
+        return F.max(F.when(condition, 1).otherwise(0))
 
     compared = tx.is_compare_view() | F.col("event_name").isin(*tx.SELECT_EVENTS, tx.CHART_SORT)
-    return silver_user_event_tracking.groupBy("session_id").agg(
-        F.min("server_timestamp").alias("session_start"),
-        business_date(F.min("server_timestamp")).alias("session_start_date"),
-        F.max("server_timestamp").alias("session_end"),
-        F.count("*").alias("event_count"),
+    flags = {
+        "has_pageview": tx.is_pageview(),
+        "has_product_detail_view": tx.is_detail_view(),
+        "has_comparison": compared,
+    }
+    # Order of (server time, id) in one fixed-width number: micros first, then room for any 64-bit id.
+    arrival = F.unix_micros("server_timestamp").cast("decimal(17,0)") * F.lit("1" + "0" * 20).cast(
+        "decimal(21,0)"
+    ) + F.col("id").cast("decimal(19,0)")
+    first_given = ("user_os", "user_device_type")
+    combinations = silver_user_event_tracking.groupBy(
+        "session_id", "event_name", *(blank_to_null(F.col(c)).alias(c) for c in first_given)
+    ).agg(
+        F.min("server_timestamp").alias("started"),
+        F.max("server_timestamp").alias("ended"),
+        F.count("*").alias("n"),
+        F.min(arrival).alias("arrival"),
+        *(ever(condition).alias(flag) for flag, condition in flags.items()),
+    )
+    # min_by ignores rows whose ordering is NULL: combinations without a value take no part.
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("arrival")))
+    return combinations.groupBy("session_id").agg(
+        F.min("started").alias("session_start"),
+        business_date(F.min("started")).alias("session_start_date"),
+        F.max("ended").alias("session_end"),
+        F.sum("n").alias("event_count"),
         F.count_distinct("event_name").alias("distinct_event_types"),
-        ever(tx.is_pageview()).alias("has_pageview"),
-        ever(tx.is_detail_view()).alias("has_product_detail_view"),
-        ever(compared).alias("has_comparison"),
-        first_given("user_os"),
-        first_given("user_device_type"),
+        *(F.max(flag).cast("boolean").alias(flag) for flag in flags),
+        *(F.coalesce(first(c), F.lit(tx.UNKNOWN)).alias(c) for c in first_given),
     )
 
 
@@ -243,9 +259,9 @@ def silver_comparison_event_device(silver_user_event_tracking: DataFrame) -> Dat
     eligible = silver_user_event_tracking.filter(
         F.col("event_name").isin(*tx.SELECT_EVENTS, *tx.CHART_EVENTS) | tx.is_compare_view()
     )
+    # NULL for anything but a JSON array.
     listed = F.coalesce(F.from_json("device_ids_raw", "array<string>"), F.array().cast("array<string>"))
-    is_list = F.json_array_length("device_ids_raw").isNotNull()
-    candidates = F.concat(F.array("device_id"), F.when(is_list, listed).otherwise(F.array().cast("array<string>")))
+    candidates = F.concat(F.array("device_id"), listed)
     laptop_ids = F.array_distinct(
         F.transform(candidates, lambda text: laptop_id_number(valid_laptop_id(text)))
     )

@@ -132,9 +132,14 @@ def test_the_bridge_is_distinct_without_a_shuffle(spark):
     """Over stored events the bridge is a projection: repeats are removed inside each row."""
     events = spark.createDataFrame(
         [(1, "s", "add_to_comparison", "Home", "7", '["7","8","8","x",null,"0","2147483648","12\\n"]'),
-         (2, "s", "click", "Home", "7", None), (3, "s", "pageview", "CompareDevice", None, "not json")],
+         (2, "s", "click", "Home", "7", None), (3, "s", "pageview", "CompareDevice", None, "not json"),
+         (4, "s", "add_to_comparison", None, None, '{"a": "7"}'), (5, "s", "add_to_comparison", None, "9", "7"),
+         (6, "s", "add_to_comparison", None, None, '"7"'), (7, "s", "add_to_comparison", None, None, "[5, [6], {}]"),
+         (8, "s", "add_to_comparison", None, "5", '["005", "5"]')],
         "id bigint, session_id string, event_name string, page_name string, device_id string, device_ids_raw string",
     ).withColumn("server_timestamp", F.timestamp_seconds(F.lit(1_700_000_000)))
     bridge = Marts({"silver_user_event_tracking": events})["silver_comparison_event_device"]
     assert "Exchange" not in harness.plan_text(bridge)
-    assert sorted((r["event_id"], r["laptop_model_id"]) for r in bridge.collect()) == [(1, 7), (1, 8)]
+    assert sorted((r["event_id"], r["laptop_model_id"]) for r in bridge.collect()) == [
+        (1, 7), (1, 8), (5, 9), (7, 5), (8, 5),
+    ]
