@@ -171,9 +171,12 @@ def compare_versions(latest: DataFrame, target: DataFrame, key: str = EVENT_KEY,
 
 
 def merge_by_key(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Delete-and-insert: stored rows with a key in `rows` give way; column sets are aligned."""
+    """Delete-and-insert: stored rows with a key in `rows` give way.
+
+    The columns follow `rows`: stored rows get NULL in a new column and lose one that is gone.
+    """
     kept = target.join(rows.select(key), key, "left_anti")
-    return kept.unionByName(rows, allowMissingColumns=True)
+    return kept.unionByName(rows, allowMissingColumns=True).select(*rows.columns)
 
 
 def upsert_versions(latest: DataFrame, target: DataFrame, key: str = EVENT_KEY, ts: str = EVENT_TS) -> DataFrame:

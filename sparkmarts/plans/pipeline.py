@@ -127,6 +127,21 @@ def build(
     return Marts(StoredTables(store))
 
 
+def materialize(store: TableStore, name: str, df: DataFrame) -> None:
+    """Keeps a relation the way its layer is kept: gold as a stored table, bronze and silver as a view."""
+    if name in GOLD_NAMES:
+        store.overwrite(name, df)
+    else:
+        df.createOrReplaceTempView(name)
+
+
+def publish_views(marts: Marts) -> list[str]:
+    """Registers every relation as a temporary view, for use from SQL."""
+    for name in marts:
+        marts[name].createOrReplaceTempView(name)
+    return list(marts)
+
+
 def load_gold(store: TableStore, name: str) -> DataFrame:
     if name not in GOLD_NAMES:
         raise ValueError(f"not a gold relation: {name}")

@@ -86,16 +86,8 @@ class TableStore:
     # ------------------------------------------------------------ versions
 
     def _latest(self, name: str) -> Version | None:
-        files = [f for f in self._names(name, "commits") if f.endswith(".json") and not f.startswith(".")]
-        if not files:
-            return None
-        stream = self._fs().open(self._path(name, "commits", files[-1]))
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        body = json.loads(text)
-        return Version(body["number"], T.StructType.fromJson(body["schema"]), body["days"], body["write"])
+        files = self._commits(name)
+        return self._version(name, files[-1]) if files else None
 
     def _commit(self, name: str, base: Version | None, schema: T.StructType, days, write) -> Version:
         version = Version((base.number if base else 0) + 1, schema, days, write)
@@ -113,6 +105,39 @@ class TableStore:
         latest = self._latest(name)
         return latest.number if latest else 0
 
+    def _version(self, name: str, file: str) -> Version:
+        stream = self._fs().open(self._path(name, "commits", file))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        body = json.loads(text)
+        return Version(body["number"], T.StructType.fromJson(body["schema"]), body["days"], body["write"])
+
+    def _commits(self, name: str) -> list[str]:
+        return [f for f in self._names(name, "commits") if f.endswith(".json") and not f.startswith(".")]
+
+    def expire(self, name: str, keep: int = 2) -> int:
+        """Deletes versions but the newest `keep`, and the files only they name; returns the versions deleted.
+
+        Files of a write that is not committed yet belong to no version and are left alone.
+        """
+        files = self._commits(name)
+        old, kept = files[: max(0, len(files) - max(keep, 1))], files[max(0, len(files) - max(keep, 1)) :]
+
+        def folders(version: Version) -> set[tuple[str, ...]]:
+            if version.days is None:
+                return {(f"{WRITE}={version.write}",)}
+            return {(f"{WRITE}={write}", f"{DAY}={day}") for day, write in version.days.items()}
+
+        alive = set().union(*(folders(self._version(name, file)) for file in kept))
+        fs = self._fs()
+        for file in old:
+            for folder in folders(self._version(name, file)) - alive:
+                fs.delete(self._path(name, "data", *folder), True)
+            fs.delete(self._path(name, "commits", file), False)
+        return len(old)
+
     # ------------------------------------------------------------ reading
 
     def read(self, name: str) -> DataFrame:

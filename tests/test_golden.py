@@ -188,3 +188,15 @@ def test_unknown_pages_make_null_flags_and_null_funnel_sums(spark):
     assert (funnel["step_1_pageview"], funnel["step_2_product_detail"]) == (2, None)
     assert marts["gold_daily_site_kpis"].first()["sessions_with_detail_view"] == 0
     assert silver.EVENT_COLUMNS == tuple(marts["silver_user_event_tracking"].columns)
+
+
+def test_relations_can_be_queried_with_sql(spark, marts, store):
+    from sparkmarts.plans import pipeline
+
+    assert len(pipeline.publish_views(marts)) == 6 + 6 + 13 + 12
+    rows = spark.sql("select brand_name, total_views from gold_brand_interest order by total_views").collect()
+    assert [tuple(r) for r in rows] == [("Boreal", 1), ("Aster", 4)]
+    pipeline.materialize(store, "gold_user_os", marts["gold_user_os"])
+    pipeline.materialize(store, "silver_brand", marts["silver_brand"])
+    assert store.names() == ["gold_user_os"] and pipeline.load_gold(store, "gold_user_os").count() == 1
+    assert spark.table("silver_brand").count() == 2

@@ -1,6 +1,7 @@
 """Loading into the store: replacement, upsert, rollback, concurrency, ranges and lookback."""
 
 import threading
+from datetime import date
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -98,6 +99,30 @@ def test_merge_rewrites_touched_days_only(spark, store):
     assert len(before) == len(after) == 4 and len(changed) == 1
 
 
+def test_expired_versions_leave_the_kept_ones_readable(spark, store):
+    for shift in range(4):
+        ingest.upsert_events(store, events(spark, view(1, BASE + shift), view(2, BASE + 86400 * (shift + 1))))
+        ingest.replace_snapshot(store, "brand", brand(spark, [(shift, "x")]))
+    current, previous = stored(store), store._version(EVENTS, store._commits(EVENTS)[-2])
+    assert store.expire(EVENTS, keep=2) == 2 and store.expire(EVENTS, keep=2) == 0
+    assert store.expire("brand", keep=1) == 3
+    assert stored(store) == current and names(store.read("brand")) == [(3, "x")]
+    assert store._frame(EVENTS, previous).count() == 2
+    assert len([n for n in store._names("brand", "data")]) == 1
+    ingest.upsert_events(store, events(spark, view(3, BASE)))
+    assert store.read(EVENTS).count() == 3
+
+
+def test_merge_follows_the_columns_of_the_new_rows(spark, store):
+    day = F.col("d")
+    old = spark.createDataFrame([(1, date(2026, 1, 1), "a"), (2, date(2026, 1, 2), "b")], "id int, d date, gone string")
+    new = spark.createDataFrame([(2, date(2026, 1, 2), 7.0)], "id int, d date, fresh double")
+    store.overwrite("t", old, day=day)
+    store.merge("t", new, "id", day)
+    assert store.read("t").columns == ["id", "d", "fresh"]
+    assert sorted((r["id"], r["fresh"]) for r in store.read("t").collect()) == [(1, None), (2, 7.0)]
+
+
 def test_empty_batch_writes_nothing(spark, store):
     counts = ingest.upsert_events(store, events(spark))
     assert counts == {"source_rows": 0, "source_ids": 0, "older_ids_skipped": 0, "written_ids": 0}
