@@ -20,7 +20,7 @@ from ..operators.versions import (
 )
 from ..schemas import EVENT_KEY, EVENT_TS, EVENTS, SNAPSHOT_TABLES
 from ..sources.scan import scan_events, scan_snapshot, validate_range
-from ..sources.store import TableStore
+from ..sources.store import CommitConflict, TableStore
 
 _MARKS = ("_rows", "_bad_rows", "_conflict")
 
@@ -63,8 +63,11 @@ def upsert_events(store: TableStore, df: DataFrame, name: str = EVENTS) -> dict[
             return counts
         latest = staged.drop(*_MARKS)
         if not store.exists(name):
-            store.overwrite(name, latest, day=event_day(ts))
-            return counts
+            try:
+                store.overwrite(name, latest, day=event_day(ts), new=True)
+                return counts
+            except CommitConflict:
+                pass  # somebody else created the table meanwhile: merge onto it
         target = store.read(name)
         assert_same_columns(target.columns, latest.columns)
         latest = latest.select(*(F.col(f.name).cast(f.dataType) for f in target.schema.fields))
@@ -98,6 +101,7 @@ def run_ingest(
     lookback = read_lookback_seconds() if lookback_seconds is None else lookback_seconds
     for name in SNAPSHOT_TABLES:
         replace_snapshot(store, name, scan_snapshot(source, name))
-    target = store.read(EVENTS) if store.exists(EVENTS) else None
+    # Days follow the timestamp, so the newest day alone holds the watermark.
+    target = store.read(EVENTS, from_day=store.last_day(EVENTS)) if store.exists(EVENTS) else None
     batch = scan_events(source, target, lookback, start, end)
     return {"lookback_seconds": lookback, "events": {EVENTS: upsert_events(store, batch)}}

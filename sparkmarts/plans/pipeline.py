@@ -6,14 +6,16 @@ from collections import ChainMap
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
+from datetime import datetime, timedelta, timezone
 from functools import partial
+from zoneinfo import ZoneInfo
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import read_lookback_seconds
-from ..functions import business_date, epoch_to_timestamp
+from ..functions import BUSINESS_TZ, business_date, epoch_to_timestamp
 from ..operators.versions import merge_by_key
 from ..schemas import EVENT_KEY, EVENT_TS, EVENTS, GOLD_NAMES, RAW_SCHEMAS
 from ..session import pin_utc
@@ -48,22 +50,37 @@ class StoredTables(Mapping):
         return len(self._names)
 
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+def business_day(at: datetime) -> str:
+    """The day folder of an instant."""
+    return at.astimezone(ZoneInfo(BUSINESS_TZ)).date().isoformat()
+
+
 def _server_day():
     return business_date(F.col("server_timestamp"))
 
 
-def recent_events(raw: DataFrame, stored: DataFrame, lookback_seconds: int) -> DataFrame:
+def recent_events(raw: DataFrame, newest: datetime | None, lookback_seconds: int) -> DataFrame:
     """Raw events at or after the silver table's own newest instant minus the lookback."""
-    newest = stored.agg(F.max("server_timestamp").alias("at")).first()["at"]
     if newest is None:
         return raw
-    since = F.lit(newest) - F.make_dt_interval(secs=F.lit(lookback_seconds))
-    return raw.filter(epoch_to_timestamp(F.col(EVENT_TS)) >= since)
+    since = newest - timedelta(seconds=lookback_seconds)
+    # The plain comparison (a second wider) reaches the Parquet statistics, the exact one decides.
+    return raw.filter(
+        (F.col(EVENT_TS) >= since.timestamp() - 1) & (epoch_to_timestamp(F.col(EVENT_TS)) >= F.lit(since))
+    )
+
+
+def newest_instant(stored: DataFrame) -> datetime | None:
+    micros = stored.agg(F.unix_micros(F.max("server_timestamp")).alias("at")).first()["at"]
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
 
 def silver_incremental(raw: DataFrame, stored: DataFrame, lookback_seconds: int) -> DataFrame:
     """The silver event table after an incremental run, as one relation."""
-    fresh = silver.silver_event_table(recent_events(raw, stored, lookback_seconds))
+    fresh = silver.silver_event_table(recent_events(raw, newest_instant(stored), lookback_seconds))
     return merge_by_key(stored, fresh, EVENT_KEY)
 
 
@@ -75,12 +92,13 @@ def build_events(
     With `invalidate`, ids whose newest raw version lost its session or name also leave the table, which by
     default takes a full refresh.
     """
-    raw = store.read(EVENTS)
     if full_refresh or not store.exists(SILVER_EVENTS):
-        return store.overwrite(SILVER_EVENTS, silver.silver_event_table(raw), day=_server_day())
+        return store.overwrite(SILVER_EVENTS, silver.silver_event_table(store.read(EVENTS)), day=_server_day())
     lookback = read_lookback_seconds() if lookback_seconds is None else lookback_seconds
-    stored = store.read(SILVER_EVENTS)
-    recent = recent_events(raw, stored, lookback)
+    # Both tables keep their events by business day of arrival: only the days in reach are opened.
+    newest = newest_instant(store.read(SILVER_EVENTS, from_day=store.last_day(SILVER_EVENTS)))
+    first_day = None if newest is None else business_day(newest - timedelta(seconds=lookback))
+    recent = recent_events(store.read(EVENTS, from_day=first_day), newest, lookback)
     rejected = recent.filter("event_name is null or session_id is null") if invalidate else None
     with store.stage(silver.silver_event_table(recent)) as fresh:
         version = store.merge(SILVER_EVENTS, fresh, EVENT_KEY, _server_day())

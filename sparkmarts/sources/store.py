@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..operators.versions import merge_by_key
 
 WRITE, DAY = "_write", "_day"  # partition folders: the write that produced the files, then the business day
+NO_DAY = "none"
 COMMIT_ATTEMPTS = 5
 
 
@@ -140,11 +141,21 @@ class TableStore:
 
     # ------------------------------------------------------------ reading
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, from_day: str | None = None) -> DataFrame:
+        """The newest version; with `from_day` only the folders of that day and later are opened."""
         latest = self._latest(name)
         if latest is None:
             raise MissingTable(name)
-        return self._frame(name, latest).drop(DAY)
+        days = None
+        if from_day is not None and latest.days is not None:
+            days = [day for day in latest.days if day >= from_day]  # rows without a day sort last
+        return self._frame(name, latest, days).drop(DAY)
+
+    def last_day(self, name: str) -> str | None:
+        """Newest day folder; the maximum of the column the days are taken from lies in it."""
+        latest = self._latest(name)
+        days = [day for day in (latest.days or {}) if day != NO_DAY] if latest else []
+        return max(days, default=None)
 
     def _frame(self, name: str, version: Version, days: list[str] | None = None) -> DataFrame:
         data = f"{self.root}/{name}/data"
@@ -172,9 +183,12 @@ class TableStore:
         days = [n.removeprefix(f"{DAY}=") for n in self._names(name, "data", f"{WRITE}={write}") if n.startswith(DAY)]
         return write, days
 
-    def overwrite(self, name: str, df: DataFrame, day: Column | None = None) -> int:
-        """Replaces the whole table; readers see the old rows until the commit."""
-        base = self._latest(name)
+    def overwrite(self, name: str, df: DataFrame, day: Column | None = None, new: bool = False) -> int:
+        """Replaces the whole table; readers see the old rows until the commit.
+
+        With `new` the table must not exist: of two writers creating it, the second gets a CommitConflict.
+        """
+        base = None if new else self._latest(name)
         frame = df if day is None else df.withColumn(DAY, _day_text(day))
         write, days = self._write_files(name, frame, day is not None)
         by_day = None if day is None else dict.fromkeys(days, write)
@@ -275,4 +289,4 @@ class Staged:
 
 
 def _day_text(day: Column) -> Column:
-    return F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit("none"))
+    return F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit(NO_DAY))

@@ -1,7 +1,7 @@
 """Loading into the store: replacement, upsert, rollback, concurrency, ranges and lookback."""
 
 import threading
-from datetime import date
+from datetime import date, timedelta
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sparkmarts.config import read_lookback_seconds
 from sparkmarts.operators.versions import BatchError
-from sparkmarts.plans import ingest
+from sparkmarts.plans import ingest, pipeline
 from sparkmarts.schemas import EVENT_TS, EVENTS, SNAPSHOT_TABLES
 from sparkmarts.sources import scan
 from sparkmarts.sources.store import CommitConflict, MissingTable, TableStore
@@ -99,6 +99,24 @@ def test_merge_rewrites_touched_days_only(spark, store):
     assert len(before) == len(after) == 4 and len(changed) == 1
 
 
+def test_incremental_runs_open_only_the_days_in_reach(spark, store):
+    ingest.upsert_events(store, events(spark, *(view(i, BASE + 86400 * i) for i in range(5))))
+    pipeline.build_events(store, full_refresh=True)
+    assert store.last_day(EVENTS) == pipeline.business_day(pipeline.EPOCH + timedelta(seconds=BASE + 86400 * 4))
+    near = store.read(EVENTS, from_day=store.last_day(EVENTS))
+    assert len(near.inputFiles()) == 1 and scan.read_watermark(near) == BASE + 86400 * 4
+    assert scan.read_watermark(store.read(EVENTS)) == BASE + 86400 * 4
+    ingest.upsert_events(store, events(spark, view(9, BASE + 86400 * 4 - 7200), view(8, BASE + 86400 * 4 - 7201)))
+    pipeline.build_events(store, lookback_seconds=7200)
+    assert sorted(r["id"] for r in store.read(pipeline.SILVER_EVENTS).collect()) == [0, 1, 2, 3, 4, 9]
+
+
+def test_recent_events_keep_fractions_of_a_second(spark):
+    raw = spark.createDataFrame([(1, BASE + 0.25), (2, BASE + 0.250001), (3, BASE + 0.249999)], f"id int, {EVENT_TS} double")
+    newest = pipeline.EPOCH + timedelta(seconds=BASE + 10, microseconds=250_000)
+    assert sorted(r["id"] for r in pipeline.recent_events(raw, newest, 10).collect()) == [1, 2]
+
+
 def test_expired_versions_leave_the_kept_ones_readable(spark, store):
     for shift in range(4):
         ingest.upsert_events(store, events(spark, view(1, BASE + shift), view(2, BASE + 86400 * (shift + 1))))
@@ -149,6 +167,18 @@ def test_concurrent_writers_keep_the_newest_version(spark, store):
     assert [(id, ts) for id, ts, _ in stored(store)] == [(1, BASE + 300)]
 
 
+def test_two_writers_creating_the_table(spark, store):
+    class Late(TableStore):
+        """Learns of the table only when it commits."""
+
+        def exists(self, name):
+            return False
+
+    ingest.upsert_events(store, events(spark, view(1, BASE), view(2, BASE + 5)))
+    ingest.upsert_events(Late(spark, store.root), events(spark, view(2, BASE), view(3, BASE)))
+    assert [(id, ts) for id, ts, _ in stored(store)] == [(1, BASE), (2, BASE + 5), (3, BASE)]
+
+
 def test_commit_is_refused_when_somebody_was_first(spark, store):
     store.overwrite("brand", brand(spark, [(1, "a")]))
     with pytest.raises(CommitConflict):
