@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import canonical_json
+from ..functions import canonical_json, fingerprint
 from ..schemas import EVENT_KEY, EVENT_TS
 
 
@@ -76,27 +76,28 @@ def canonical_payload(df: DataFrame, columns: Sequence[str] = ("event_data", "de
     )
 
 
-def _digest(columns: Sequence[str]) -> Column:
-    # Compared instead of whole payloads: 32 bytes travel, not the texts.
-    return F.unhex(F.sha2(F.to_json(F.struct(*sorted(columns))), 256))
+def _mark(payload: Sequence[str], schema: T.StructType) -> Column:
+    """Fingerprint of a payload, taken in the types of `schema` and in an order free of the column order."""
+    return fingerprint(*(F.col(c).cast(schema[c].dataType) for c in sorted(payload)))
 
 
 def resolve_versions(df: DataFrame, key: str = EVENT_KEY, ts: str = EVENT_TS) -> DataFrame:
     """One row per key: its newest version plus `_rows`, `_bad_rows` and `_conflict`.
 
-    A key conflicts when two different payloads share its newest timestamp. Newest first and last digest
-    are plain max/min states, so replays and old versions collapse before the shuffle and no key, however
+    A key conflicts when two different payloads share its newest timestamp. The highest and the lowest
+    fingerprint there are plain max/min states, so replays and old versions collapse before the shuffle and no key, however
     frequent, is gathered in one task. The outcome does not depend on row order or partitioning.
     """
     check_columns(df, key, ts)
     df = canonical_payload(df)
     columns = df.columns
     payload = [c for c in columns if c != key]
-    seconds, digest = _seconds(ts), _digest(payload)
-    resolved = df.groupBy(key).agg(
-        F.max_by(F.struct(*payload), F.struct(seconds, digest)).alias("_newest"),
-        F.max(F.struct(seconds.alias("at"), digest.alias("digest"))).alias("_last"),
-        F.min(F.struct((-seconds).alias("at"), digest.alias("digest"))).alias("_first"),
+    # Computed ahead of the aggregation, once per row for the three states that read them.
+    marked = df.withColumns({"_at": _seconds(ts), "_mark": _mark(payload, df.schema)})
+    resolved = marked.groupBy(key).agg(
+        F.max_by(F.struct(*payload), F.struct("_at", "_mark")).alias("_newest"),
+        F.max(F.struct("_at", "_mark")).alias("_last"),
+        F.min(F.struct((-F.col("_at")).alias("_before"), "_mark")).alias("_first"),
         F.count("*").alias("_rows"),
         F.count_if(_bad_seconds(ts)).alias("_bad_rows"),
     )
@@ -104,7 +105,7 @@ def resolve_versions(df: DataFrame, key: str = EVENT_KEY, ts: str = EVENT_TS) ->
         *(F.col(c) if c == key else F.col(f"_newest.{c}").alias(c) for c in columns),
         "_rows",
         "_bad_rows",
-        (F.col("_last.digest") != F.col("_first.digest")).alias("_conflict"),
+        (F.col("_last._mark") != F.col("_first._mark")).alias("_conflict"),
     )
 
 
@@ -154,15 +155,15 @@ def prepare_batch(df: DataFrame, key: str = EVENT_KEY, ts: str = EVENT_TS) -> Da
 def compare_versions(latest: DataFrame, target: DataFrame, key: str = EVENT_KEY, ts: str = EVENT_TS) -> DataFrame:
     """Prepared rows against the stored ones: `_older` and `_clash` say what the upsert may do with each.
 
-    Of the stored table only key, timestamp and a digest are moved.
+    Of the stored table only key, timestamp and a fingerprint are moved.
     """
     payload = [c for c in target.columns if c != key]
     stored = target.select(
-        F.col(key).alias("_key"), _seconds(ts).alias("_stored_at"), _digest(payload).alias("_stored_digest")
+        F.col(key).alias("_key"), _seconds(ts).alias("_stored_at"), _mark(payload, target.schema).alias("_stored_mark")
     )
     joined = latest.join(stored, F.col(key) == F.col("_key"), "left")
     seconds = _seconds(ts)
-    clash = (seconds == F.col("_stored_at")) & (_digest(payload) != F.col("_stored_digest"))
+    clash = (seconds == F.col("_stored_at")) & (_mark(payload, target.schema) != F.col("_stored_mark"))
     return joined.select(
         *latest.columns,
         F.coalesce(seconds < F.col("_stored_at"), F.lit(False)).alias("_older"),
