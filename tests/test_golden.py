@@ -21,7 +21,7 @@ def marts(spark):
     return Marts({name: df.cache() for name, df in frames.items()})
 
 
-def rows(df, *columns, order=None):
+def rows(df, *columns):
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=str)
 

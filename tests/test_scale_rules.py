@@ -2,6 +2,7 @@
 
 import os
 import re
+from datetime import date
 from itertools import combinations
 
 import harness
@@ -74,7 +75,7 @@ def test_brand_pairs_equal_listing_every_laptop_pair(spark, rows):
         if 9 not in pair
     }
     seen = spark.createDataFrame(
-        [(s, l, F_DAY(d), 1) for s, d, l in rows], "session_id string, laptop_model_id int, event_date date, n bigint"
+        [(s, l, day_of(d), 1) for s, d, l in rows], "session_id string, laptop_model_id int, event_date date, n bigint"
     )
     laptops = spark.createDataFrame([(l, b, True) for l, b in BRANDS.items()], "id int, brand_id int, is_active boolean")
     brands = spark.createDataFrame([(b, f"B{b}") for b in (1, 2, 3)], "brand_id int, brand_name string")
@@ -83,9 +84,7 @@ def test_brand_pairs_equal_listing_every_laptop_pair(spark, rows):
     assert got == expected
 
 
-def F_DAY(number):
-    from datetime import date
-
+def day_of(number):
     return date(2026, 1, number)
 
 
