@@ -6,10 +6,12 @@ import harness
 import pytest
 
 import __spark_entry__ as entry_point
+import oracles
+from sparkmarts import query_catalog
 
 SF_DIR = os.path.join(harness.TESTDATA, os.environ.get("ORACLE_SF", "sf0.001"))
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = query_catalog.queries()
+ORACLES = oracles.oracle_sql()
 WITHOUT_ORACLE = {"layer_snapshot"}  # a hash of Spark's own
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
