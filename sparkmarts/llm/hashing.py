@@ -33,6 +33,7 @@ _LOWER[65:91] += _U(32)
 _BYTE = mix(_LOWER + _U(1))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_PLAIN = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -57,14 +58,28 @@ def chunks(texts: pa.Array) -> list[tuple[int, int]]:
     return out
 
 
-def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, A-Z lowered, and the index of each text's first word (one more at the end)."""
+def _cut(texts: list[bytes], between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The joined bytes, first and last places of all words, and the index of each text's first word (one more at the end)."""
     data = np.frombuffer(b" " + b" ".join(texts) + b" ", dtype=np.uint8)
-    space = _SPACE[data]
+    space = between[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    starts, ends = edge[0::2], edge[1::2]
     bounds = np.cumsum([1] + [len(t) + 1 for t in texts])
-    return run_hashes(_BYTE[data], starts, ends), np.searchsorted(starts, bounds)
+    return data, edge[0::2], edge[1::2], np.searchsorted(edge[0::2], bounds)
+
+
+def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words between white space, A-Z lowered, and the index of each text's first word (one more at the end)."""
+    data, starts, ends, first = _cut(texts, _SPACE)
+    return run_hashes(_BYTE[data], starts, ends), first
+
+
+def bare_words(texts: list[bytes], signs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of words without ASCII punctuation, of their first `signs` characters, and each text's first word."""
+    data, starts, ends, first = _cut(texts, _PLAIN)
+    begins = np.flatnonzero((data & 0xC0) != 0x80)  # of UTF-8 characters
+    at = np.searchsorted(begins, starts) + signs
+    stems = np.minimum(ends, np.append(begins, len(data))[np.minimum(at, len(begins))])
+    return run_hashes(_BYTE[data], starts, ends), run_hashes(_BYTE[data], starts, stems), first
 
 
 def shingles(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bloom, hashing
+from . import blocks, bloom, hashing
 from .common import shuffle_tasks, written
 from .components import components
 
@@ -76,23 +76,6 @@ def _summaries(words: int):
     return run
 
 
-def _dealt(columns: list[np.ndarray], by: np.ndarray, parts: int) -> pa.RecordBatch:
-    """The columns as one binary value for each part."""
-    part = ((by >> np.uint64(20)) % np.uint64(parts)).astype(np.int32)
-    order = np.argsort(part, kind="stable")
-    there, first = np.unique(part[order], return_index=True)
-    cuts = np.append(first, len(order))
-    blocks = [pa.array(there, pa.int32())]
-    for c in columns:
-        c = c[order]
-        blocks.append(pa.array([c[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()))
-    return pa.RecordBatch.from_arrays(blocks, names=["part", *(f"c{i}" for i in range(len(columns)))])
-
-
-def _column(table: pa.Table, i: int, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(f"c{i}").to_pylist()), dtype=dtype)
-
-
 def _postings(words: int, parts: int):
     """Blocks of (shingle, set) of the slice."""
 
@@ -107,11 +90,11 @@ def _postings(words: int, parts: int):
                     held += len(part)
                 if held >= _FLUSH:
                     h = np.concatenate(hashes)
-                    yield _dealt([h, np.concatenate(sids)], h, parts)
+                    yield blocks.dealt([h, np.concatenate(sids)], h, parts)
                     hashes, sids, held = [], [], 0
         if held:
             h = np.concatenate(hashes)
-            yield _dealt([h, np.concatenate(sids)], h, parts)
+            yield blocks.dealt([h, np.concatenate(sids)], h, parts)
 
     return run
 
@@ -129,7 +112,7 @@ def _counted(hashes: np.ndarray, sids: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _shared_in_slice(table: pa.Table) -> pa.Table:
-    _, sids, df = _counted(_column(table, 0, np.uint64), _column(table, 1, np.int64))
+    _, sids, df = _counted(blocks.column(table, 0, np.uint64), blocks.column(table, 1, np.int64))
     sid, n = np.unique(sids[df > 1], return_counts=True)
     return pa.table({"sid": pa.array(sid, pa.int64()), "shared": pa.array(n, pa.int64())})
 
@@ -156,7 +139,7 @@ def _all_postings(parts: int):
                 continue
             h = np.frombuffer(b"".join(members), dtype=np.uint64)
             sizes = np.array(sizes, dtype=np.int64)
-            yield _dealt([h, np.repeat(np.array(sids, dtype=np.int64), sizes), np.repeat(sizes, sizes).astype(np.int32)], h, parts)
+            yield blocks.dealt([h, np.repeat(np.array(sids, dtype=np.int64), sizes), np.repeat(sizes, sizes).astype(np.int32)], h, parts)
 
     return run
 
@@ -165,7 +148,7 @@ def _shared(parts: int):
     """Blocks by set of the shingles that more than one set has."""
 
     def run(table: pa.Table) -> pa.Table:
-        hashes, sids, sizes = _column(table, 0, np.uint64), _column(table, 1, np.int64), _column(table, 2, np.int32)
+        hashes, sids, sizes = blocks.column(table, 0, np.uint64), blocks.column(table, 1, np.int64), blocks.column(table, 2, np.int32)
         order = np.argsort(hashes, kind="stable")
         h, s, n = hashes[order], sids[order], sizes[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
@@ -173,7 +156,7 @@ def _shared(parts: int):
         df = np.repeat(count, count)
         keep = df > 1
         h, s, n, df = h[keep], s[keep], n[keep], df[keep].astype(np.int64)
-        return pa.Table.from_batches([_dealt([h, s, n, df], hashing.mix(s.view(np.uint64)), parts)])
+        return pa.Table.from_batches([blocks.dealt([h, s, n, df], hashing.mix(s.view(np.uint64)), parts)])
 
     return run
 
@@ -182,8 +165,8 @@ def _prefixes(percent: int):
     """The rarest shared shingles of each set that can have a partner."""
 
     def run(table: pa.Table) -> pa.Table:
-        h, s = _column(table, 0, np.uint64), _column(table, 1, np.int64)
-        n, df = _column(table, 2, np.int32).astype(np.int64), _column(table, 3, np.int64)
+        h, s = blocks.column(table, 0, np.uint64), blocks.column(table, 1, np.int64)
+        n, df = blocks.column(table, 2, np.int32).astype(np.int64), blocks.column(table, 3, np.int64)
         order = np.lexsort((h, df, s))
         h, s, n, df = h[order], s[order], n[order], df[order]
         first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, int)
@@ -319,8 +302,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
     classes = rows.filter("n > 0").groupBy("sid", "n", "n_slice").agg(F.min("doc_id").alias("low"))
     classes = written(classes)
 
-    blocks = "part int, c0 binary, c1 binary"
-    dealt = read.mapInArrow(_postings(words, parts), blocks)
+    dealt = read.mapInArrow(_postings(words, parts), blocks.schema(2))
     shared = dealt.groupBy("part").applyInArrow(_shared_in_slice, "sid long, shared long")
     shared = shared.groupBy("sid").agg(F.sum("shared").alias("shared"))
     spare = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
@@ -336,8 +318,8 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
     )
     sets = written(sets.dropDuplicates(["sid"]))
 
-    postings = sets.mapInArrow(_all_postings(parts), f"{blocks}, c2 binary")
-    by_set = postings.groupBy("part").applyInArrow(_shared(parts), f"{blocks}, c2 binary, c3 binary")
+    postings = sets.mapInArrow(_all_postings(parts), blocks.schema(3))
+    by_set = postings.groupBy("part").applyInArrow(_shared(parts), blocks.schema(4))
     lists = by_set.groupBy("part").applyInArrow(_prefixes(percent), "key long, sid long, n long, df long, typical double")
     lists = written(lists)
     small = _small_boundary(sets, lists, percent)

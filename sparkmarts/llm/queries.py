@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing
+from . import exact_dedup, jaccard_join, mixing, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer() -> str:
+    """The vocabulary file of the packed sequences."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +41,15 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"), carry=["doc_id"])
+    return scored.select("row.doc_id", "held_out", "score", "predicted")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer())
+
+
 OP3_SQL = r"""
 WITH plain AS (
     SELECT doc_id, COALESCE(text, '') AS text,
@@ -51,6 +71,8 @@ def queries() -> dict[str, Query]:
         "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_source_mixing": op5_source_mixing,
+        "op6_toxicity": op6_toxicity,
+        "op8_best_fit_packing": op8_best_fit_packing,
     }
 
 
