@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing, packing, toxicity
+from . import exact_dedup, jaccard_join, mixing, packing, secret_scan, syncmers, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(documents(spark, sf_dir), carry=["doc_id"]))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
@@ -50,6 +54,22 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer())
 
 
+def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = syncmers.with_next(documents(spark, sf_dir), carry=["doc_id"])
+    rows = rows.withColumn("edited", syncmers.edited(F.col("text"), F.col("next_text"))).drop("next_text")
+    rows = syncmers.with_fingerprint(rows, "edited", "edited_print")
+    own = F.col("print")
+    return rows.select(
+        "row.doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        syncmers.shown(own).alias("fingerprint"),
+        syncmers.shown(F.col("edited_print")).alias("edited_fingerprint"),
+        syncmers.likeness(own, F.col("edited_print")).alias("near_edited"),
+        syncmers.likeness(own, F.col("next_print")).alias("near_next"),
+    )
+
+
 OP3_SQL = r"""
 WITH plain AS (
     SELECT doc_id, COALESCE(text, '') AS text,
@@ -68,11 +88,13 @@ FROM ranked
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_source_mixing": op5_source_mixing,
         "op6_toxicity": op6_toxicity,
         "op8_best_fit_packing": op8_best_fit_packing,
+        "op9_syncmer_fingerprints": op9_syncmer_fingerprints,
     }
 
 
