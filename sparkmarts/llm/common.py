@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -48,3 +49,9 @@ def written(df: DataFrame) -> DataFrame:
 def shuffle_tasks(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which the cluster's owner sizes to the input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, unless their path is set already."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing, packing, secret_scan, syncmers, toxicity
+from . import exact_dedup, jaccard_join, languages, mixing, packing, secret_scan, syncmers, toxicity
+from .common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,7 @@ def tokenizer() -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -70,6 +72,11 @@ def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = languages.identify(documents(spark, sf_dir), carry=["doc_id"])
+    return found.select("row.doc_id", "held_out", "lang_pred", "score", "mixture")
+
+
 OP3_SQL = r"""
 WITH plain AS (
     SELECT doc_id, COALESCE(text, '') AS text,
@@ -95,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op6_toxicity": op6_toxicity,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_syncmer_fingerprints": op9_syncmer_fingerprints,
+        "op10_language_mixture": op10_language_mixture,
     }
 
 
