@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, languages, mixing, packing, secret_scan, syncmers, toxicity
+from . import exact_dedup, jaccard_join, languages, mixing, packing, pseudonyms, secret_scan, syncmers, toxicity
 from .common import importable
 
+#: For these queries only; a deployment passes its own secret key.
+PSEUDONYM_KEY = b"key of the registered query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,6 +45,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(documents(spark, sf_dir), PSEUDONYM_KEY, carry=["doc_id"]).select(
+        "row.doc_id", "text", *(f"n_{kind}" for kind in pseudonyms.NAMES)
+    )
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir), carry=["doc_id"])
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
@@ -98,6 +107,7 @@ def queries() -> dict[str, Query]:
         "op1_secret_scan": op1_secret_scan,
         "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_pseudonyms": op4_pseudonyms,
         "op5_source_mixing": op5_source_mixing,
         "op6_toxicity": op6_toxicity,
         "op8_best_fit_packing": op8_best_fit_packing,
