@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, languages, mixing, packing, pseudonyms, secret_scan, syncmers, toxicity
+from . import exact_dedup, jaccard_join, languages, mixing, packing, passages, pseudonyms, secret_scan, syncmers, toxicity
 from .common import importable
 
 #: For these queries only; a deployment passes its own secret key.
@@ -61,6 +61,26 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row.doc_id", "held_out", "score", "predicted")
 
 
+def op7_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans are listed as start:end in words, the end exclusive."""
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(spans)
+
+    def words(spans: str) -> Column:
+        return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+    marked = passages.mark(documents(spark, sf_dir), carry=["doc_id"])
+    return marked.select(
+        "row.doc_id",
+        F.size("passages").cast("long").alias("n_passages"),
+        words("passages").alias("shared_words"),
+        words("copies").alias("copied_words"),
+        listed("passages"),
+        listed("copies"),
+    )
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer())
 
@@ -110,6 +130,7 @@ def queries() -> dict[str, Query]:
         "op4_pseudonyms": op4_pseudonyms,
         "op5_source_mixing": op5_source_mixing,
         "op6_toxicity": op6_toxicity,
+        "op7_shared_passages": op7_shared_passages,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_syncmer_fingerprints": op9_syncmer_fingerprints,
         "op10_language_mixture": op10_language_mixture,
