@@ -46,8 +46,8 @@ SELECT event_id AS id,
   CASE WHEN event_id % 333 = 0 THEN NULL WHEN event_type = 'view' THEN 'pageview' WHEN event_type = 'click' THEN 'click'
        WHEN event_type = 'purchase' THEN 'select_device_for_comparison' WHEN event_type = 'signup' THEN 'search_for_device'
        ELSE 'comparison_chart_sort_selection' END AS event_name,
-  CAST(floor(epoch(ts)) AS DOUBLE) - 10 AS event_local_timestamp,
-  CAST(floor(epoch(ts)) AS DOUBLE) AS event_received_on_server_timestamp,
+  CAST(epoch_us(ts) AS DOUBLE) / 1e6 - 10 AS event_local_timestamp,
+  CAST(epoch_us(ts) AS DOUBLE) / 1e6 AS event_received_on_server_timestamp,
   concat('{', CASE WHEN k % 6 = 0 THEN '"page_name":"Home",' WHEN k % 6 IN (1, 2) THEN '"page_name":"DeviceDetail",'
                    WHEN k % 6 = 3 THEN '"page_name":"DeviceComparison",' WHEN k % 6 = 4 THEN '"page_name":"CompareDevice",'
                    ELSE '' END,
@@ -110,8 +110,8 @@ WHERE r.id = (SELECT max(o.id) FROM laptop_benchmark_result o WHERE o.laptop_mod
 
 _PARSED = r"""
 SELECT id, event_name, session_id,
-  make_timestamp(CAST(event_local_timestamp * 1000000 AS BIGINT)) AS event_timestamp,
-  make_timestamp(CAST(event_received_on_server_timestamp * 1000000 AS BIGINT)) AS server_timestamp,
+  make_timestamp(CAST(round_even((event_local_timestamp - 946684800) * 1000000, 0) AS BIGINT) + 946684800000000) AS event_timestamp,
+  make_timestamp(CAST(round_even((event_received_on_server_timestamp - 946684800) * 1000000, 0) AS BIGINT) + 946684800000000) AS server_timestamp,
   CASE WHEN regexp_full_match(json_extract_string(event_data, '$.device_id'), '[0-9]{1,10}')
         AND TRY_CAST(json_extract_string(event_data, '$.device_id') AS BIGINT) BETWEEN 1 AND 2147483647
        THEN json_extract_string(event_data, '$.device_id') END AS device_id,
@@ -418,7 +418,7 @@ BLOCKS["recent_ev"] = _PARSED.replace("{source}", "recent_raw")
 
 _INGESTION = {
     "scan_snapshot": _BRONZE["bronze_laptop_model"],
-    "scan_range": f"SELECT * FROM user_event_tracking WHERE {_TS} BETWEEN 1705363200 AND 1705622399.5",
+    "scan_range": f"SELECT * FROM user_event_tracking WHERE {_TS} >= 1705363200 AND {_TS} < 1705622400",
     "scan_incremental": f"""
 SELECT e.* FROM user_event_tracking e, (SELECT max({_TS}) AS newest FROM versions_target) m
 WHERE e.{_TS} >= m.newest - 7200""",
@@ -458,7 +458,7 @@ WHERE laptop_model_id NOT IN (SELECT laptop_model_id FROM s_bench) GROUP BY lapt
 SELECT event_name AS value, count(*) AS n_rows FROM user_event_tracking
 WHERE event_name NOT IN ('pageview', 'click') GROUP BY event_name""",
     "dq_freshness": f"""
-SELECT make_timestamp(CAST(newest * 1000000 AS BIGINT)) AS latest_at, age AS age_hours,
+SELECT make_timestamp(CAST(round_even((newest - 946684800) * 1000000, 0) AS BIGINT) + 946684800000000) AS latest_at, age AS age_hours,
   CASE WHEN age > 48 THEN 'error' WHEN age > 24 THEN 'warn' ELSE 'pass' END AS status
 FROM (SELECT newest, (epoch(TIMESTAMP '2024-01-31 12:00:00') - newest) / 3600 AS age
       FROM (SELECT max({_TS}) AS newest FROM user_event_tracking))""",
@@ -555,7 +555,7 @@ FROM (SELECT count(*) AS raw_events, count(DISTINCT id) AS ids,
    FROM (SELECT event_date, count(*) AS n, count(DISTINCT session_id) AS s FROM ev GROUP BY event_date)
    FULL JOIN g_daily USING (event_date) WHERE n IS DISTINCT FROM total_events OR s IS DISTINCT FROM total_sessions)""",
     "independent_daily": f"""
-SELECT CAST(make_timestamp(CAST(({_TS} + 25200) * 1000000 AS BIGINT)) AS DATE) AS event_date, count(*) AS total_events,
+SELECT CAST(make_timestamp(CAST(round_even(({_TS} + 25200) * 1000000, 0) AS BIGINT)) AS DATE) AS event_date, count(*) AS total_events,
   count(DISTINCT session_id) AS total_sessions
 FROM user_event_tracking WHERE event_name IS NOT NULL AND session_id IS NOT NULL GROUP BY 1""",
     "raw_range_snapshot": f"""

@@ -26,8 +26,14 @@ def business_month(ts: Column) -> Column:
     return F.trunc(business_date(ts), "MM")
 
 
+# Fixed value: instants count from the year 2000 in the source dialect, and are rounded there.
+_SINCE_2000 = 946_684_800
+
+
 def epoch_to_timestamp(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+    """The instant of epoch seconds, rounded half to even to whole microseconds from 2000 on; NULL unless finite."""
+    micros = F.rint((seconds.cast("double") - F.lit(float(_SINCE_2000))) * F.lit(1e6)).try_cast("bigint")
+    return F.timestamp_micros(micros + F.lit(_SINCE_2000 * 1_000_000))
 
 
 def clean_text(text: Column) -> Column:
@@ -80,6 +86,30 @@ def contains_literal(text: Column, query: str) -> Column:
     return F.coalesce(F.contains(F.lower(text), F.lower(F.lit(query))), F.lit(False))
 
 
+# JSON as the source dialect reads it: no single quotes. Of repeated keys the last one counts.
+_STRICT_JSON = {"allowSingleQuotes": "false"}
+
+
+def json_fields(text: Column, keys: tuple[str, ...]) -> Column:
+    """The values of some keys as text, from one pass over the JSON."""
+    return F.from_json(text, T.StructType([T.StructField(key, T.StringType()) for key in keys]), _STRICT_JSON)
+
+
+def is_json(text: Column) -> Column:
+    """Whether the whole text is one JSON value; NULL stays NULL.
+
+    The parser ignores what follows a value. Inside braces, and inside brackets, it has to read on to the end, and
+    no text can close both.
+    """
+    shape = T.StructType([T.StructField("v", T.StringType()), T.StructField("_bad", T.StringType())])
+    options = {**_STRICT_JSON, "columnNameOfCorruptRecord": "_bad"}
+
+    def reads(opening: str, closing: str) -> Column:
+        return F.from_json(F.concat(F.lit(opening), text, F.lit(closing)), shape, options)["_bad"].isNull()
+
+    return F.when(text.isNotNull(), reads('{"v":', "}") & reads('{"v":[', "]}"))
+
+
 def _json_scalar(value: Column) -> Column:
     # There is no scalar to_json, so wrap in a one-element array and take off the brackets.
     return F.regexp_extract(F.to_json(F.array(value)), r"(?s)^\[(.*)\]$", 1)

@@ -138,24 +138,31 @@ def gold_gpu_trend(silver_user_event_tracking: DataFrame, silver_laptop_model: D
     return _component_trend(silver_user_event_tracking, silver_laptop_model, "gpu_name")
 
 
-@relation
-def gold_spec_popularity(silver_user_event_tracking: DataFrame, silver_laptop_model: DataFrame) -> DataFrame:
-    # Views are counted per laptop before the join, so the join sees one row per laptop.
-    views = _detail_views(silver_user_event_tracking).groupBy("laptop_model_id").agg(F.count("*").alias("views"))
+def spec_totals(laptops: DataFrame, views: DataFrame) -> DataFrame:
+    """Products, views and views per product of each configuration; `views` has a row per viewed laptop."""
     specs = ["cpu_name", "gpu_name", "screen_size", "battery_capacity_whr"]
+    # Half up in whole numbers: a decimal average is itself rounded before it could be rounded again.
+    average = F.expr("cast((2 * sum(views) + count(*)) div (2 * count(*)) as decimal(19,0))")
     return (
-        silver_laptop_model.filter("cpu_name <> ''")
+        laptops.filter("cpu_name <> ''")
         .select("laptop_model_id", *specs)
         .join(views, "laptop_model_id")
         .groupBy(*specs)
         .agg(
             F.count("*").alias("product_count"),
             F.sum("views").alias("total_views"),
-            F.round(F.avg(F.col("views").cast("decimal(19,0)")), 0).alias("avg_views_per_product"),
+            average.alias("avg_views_per_product"),
         )
     )
 
 
+@relation
+def gold_spec_popularity(silver_user_event_tracking: DataFrame, silver_laptop_model: DataFrame) -> DataFrame:
+    # Views are counted per laptop before the join, so the join sees one row per laptop.
+    views = _detail_views(silver_user_event_tracking).groupBy("laptop_model_id").agg(F.count("*").alias("views"))
+    return spec_totals(silver_laptop_model, views)
+
+
 @relation
 def gold_brand_interest(
     silver_user_event_tracking: DataFrame,

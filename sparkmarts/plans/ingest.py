@@ -7,7 +7,7 @@ from contextlib import ExitStack
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import read_lookback_seconds
+from ..config import lookback
 from ..functions import business_date, epoch_to_timestamp
 from ..operators.versions import (
     BatchError,
@@ -19,7 +19,7 @@ from ..operators.versions import (
     resolve_versions,
 )
 from ..schemas import EVENT_KEY, EVENT_TS, EVENTS, SNAPSHOT_TABLES
-from ..sources.scan import scan_events, scan_snapshot, validate_range
+from ..sources.scan import Period, scan_events, scan_snapshot
 from ..sources.store import CommitConflict, TableStore
 
 _MARKS = ("_rows", "_bad_rows", "_conflict")
@@ -92,16 +92,19 @@ def upsert_events(store: TableStore, df: DataFrame, name: str = EVENTS) -> dict[
 def run_ingest(
     store: TableStore,
     source,
-    start: float | None = None,
-    end: float | None = None,
+    period: Period | None = None,
     lookback_seconds: int | None = None,
 ) -> dict:
-    """The five snapshots, then the events."""
-    validate_range(start, end)
-    lookback = read_lookback_seconds() if lookback_seconds is None else lookback_seconds
+    """The five snapshots, then the events: of a period where one is given, else past the watermark."""
+    reach = lookback(lookback_seconds)
     for name in SNAPSHOT_TABLES:
         replace_snapshot(store, name, scan_snapshot(source, name))
     # Days follow the timestamp, so the newest day alone holds the watermark.
     target = store.read(EVENTS, from_day=store.last_day(EVENTS)) if store.exists(EVENTS) else None
-    batch = scan_events(source, target, lookback, start, end)
-    return {"lookback_seconds": lookback, "events": {EVENTS: upsert_events(store, batch)}}
+    counts = upsert_events(store, scan_events(source, target, reach, period))
+    for name in (*SNAPSHOT_TABLES, EVENTS):
+        if store.exists(name):
+            store.expire(name)
+    # Row counts of plain columns come from the files' footers.
+    rows = {name: store.read(name).count() for name in (*SNAPSHOT_TABLES, EVENTS) if store.exists(name)}
+    return {"lookback_seconds": reach, "events": {EVENTS: counts}, "rows": rows}

@@ -14,7 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import read_lookback_seconds
+from ..config import lookback
 from ..functions import BUSINESS_TZ, business_date, epoch_to_timestamp
 from ..operators.versions import merge_by_key
 from ..schemas import EVENT_KEY, EVENT_TS, EVENTS, GOLD_NAMES, RAW_SCHEMAS
@@ -94,11 +94,11 @@ def build_events(
     """
     if full_refresh or not store.exists(SILVER_EVENTS):
         return store.overwrite(SILVER_EVENTS, silver.silver_event_table(store.read(EVENTS)), day=_server_day())
-    lookback = read_lookback_seconds() if lookback_seconds is None else lookback_seconds
+    reach = lookback(lookback_seconds)
     # Both tables keep their events by business day of arrival: only the days in reach are opened.
     newest = newest_instant(store.read(SILVER_EVENTS, from_day=store.last_day(SILVER_EVENTS)))
-    first_day = None if newest is None else business_day(newest - timedelta(seconds=lookback))
-    recent = recent_events(store.read(EVENTS, from_day=first_day), newest, lookback)
+    first_day = None if newest is None else business_day(newest - timedelta(seconds=reach))
+    recent = recent_events(store.read(EVENTS, from_day=first_day), newest, reach)
     rejected = recent.filter("event_name is null or session_id is null") if invalidate else None
     with store.stage(silver.silver_event_table(recent)) as fresh:
         version = store.merge(SILVER_EVENTS, fresh, EVENT_KEY, _server_day())
@@ -133,8 +133,9 @@ def build(
     source = Marts(stored)
     with ExitStack() as stack:
         frames = [source[name] for name in SHARED]
-        staged = _in_threads(store.spark, threads, [partial(store.stage, frame) for frame in frames])
-        shared = {name: stack.enter_context(table) for name, table in zip(SHARED, staged)}
+        # Each table is registered by the job that wrote it, so it goes even if another job fails.
+        jobs = [lambda frame=frame: stack.enter_context(store.stage(frame)) for frame in frames]
+        shared = dict(zip(SHARED, _in_threads(store.spark, threads, jobs)))
         marts = Marts(ChainMap(shared, stored))
         if test:
             run_tests(marts, "silver")
@@ -142,6 +143,8 @@ def build(
         _in_threads(store.spark, threads, [partial(store.overwrite, *item) for item in gold_frames.items()])
         if test:
             run_tests(Marts(ChainMap(shared, StoredTables(store))), "gold")
+    for name in (SILVER_EVENTS, *GOLD_NAMES):
+        store.expire(name)
     return Marts(StoredTables(store))
 
 

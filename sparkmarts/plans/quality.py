@@ -9,7 +9,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import blank_to_null, business_date, epoch_to_timestamp, fingerprint, laptop_id_number
+from ..functions import (
+    blank_to_null,
+    business_date,
+    epoch_to_timestamp,
+    fingerprint,
+    is_json,
+    json_fields,
+    laptop_id_number,
+)
 from ..operators import checks
 from ..schemas import EVENT_TS
 from . import taxonomy as tx
@@ -174,7 +182,9 @@ def dq_raw_to_silver(t: Tables) -> DataFrame:
 def dq_source_taxonomy(t: Tables) -> DataFrame:
     """OS mapping, selection reach against the funnel, and repeats in the comparison bridge."""
     events = t["silver_user_event_tracking"]
-    sent_os = F.coalesce(F.get_json_object("device", "$.os"), F.get_json_object("device", "$.os_name"))
+    # Read again from the raw text, by the rule for repeated keys that silver uses.
+    sent = json_fields(F.col("device"), ("os", "os_name"))
+    sent_os = F.coalesce(sent["os"], sent["os_name"])
     compared = _compare_by_id(
         t["user_event_tracking"].withColumn("os", sent_os), events.withColumn("os", F.col("user_os")), ["os"]
     )
@@ -206,12 +216,12 @@ def dq_source_taxonomy(t: Tables) -> DataFrame:
 
 
 def json_valid(t: Tables) -> DataFrame:
-    """Event ids whose payload or device text is not JSON.
+    """Event ids whose payload or device text is not one JSON value.
 
-    The source dialect fails on such a text; Spark reads NULL fields from it, so it has to be looked for.
+    The source dialect fails on such a text; Spark reads NULL fields from it, so it is a raw test: the build
+    stops before silver.
     """
-    broken = lambda column: F.col(column).isNotNull() & F.try_parse_json(column).isNull()
-    return t["user_event_tracking"].filter(broken("event_data") | broken("device")).select("id")
+    return t["user_event_tracking"].filter(~is_json(F.col("event_data")) | ~is_json(F.col("device"))).select("id")
 
 
 # ---------------------------------------------------------------- the declared tests
@@ -298,6 +308,7 @@ RELATED = [
 ]
 BOOLEANS = [("silver_laptop_model", "is_visible"), ("silver_laptop_model", "is_active")]
 RELATION_CHECKS = {
+    "raw": [json_valid],
     "silver": [dq_raw_to_silver],
     "gold": [
         dq_daily_event_counts, dq_daily_rates, dq_gold_definitions, dq_gold_totals, dq_source_taxonomy,

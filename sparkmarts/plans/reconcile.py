@@ -102,7 +102,9 @@ def reconcile(t: Tables, inventory: Mapping[str, int]) -> dict:
     report = reconcile_report(t).first().asDict()
     if not report.pop("reconciled"):
         raise ReconciliationFailed(f"layers disagree: {report}")
-    return report
+    # The stored relations' counts come from their files' footers.
+    stored = row_counts(t, (*LAYERS["raw"], "silver_user_event_tracking", *LAYERS["gold"]))
+    return {**report, "relations": dict(inventory), "rows": {r["relation"]: r["n_rows"] for r in stored.collect()}}
 
 
 def independent_daily(t: Tables) -> DataFrame:
@@ -110,7 +112,7 @@ def independent_daily(t: Tables) -> DataFrame:
     the zone conversion is done on the shifted instant instead of through the shared date helper."""
     fit = t["user_event_tracking"].filter("event_name is not null and session_id is not null")
     local = F.convert_timezone(
-        F.lit("UTC"), F.lit("Asia/Ho_Chi_Minh"), F.timestamp_micros((F.col(EVENT_TS) * 1_000_000).cast("bigint")).cast("timestamp_ntz")
+        F.lit("UTC"), F.lit("Asia/Ho_Chi_Minh"), F.timestamp_micros(F.rint(F.col(EVENT_TS) * 1_000_000).cast("bigint")).cast("timestamp_ntz")
     )
     return (
         fit.select(F.date_format(local, "yyyy-MM-dd").cast("date").alias("event_date"), "session_id", "id")

@@ -11,6 +11,7 @@ from ..functions import contains_literal, numeric_label
 from ..operators.checks import dq_freshness
 from .gold import FUNNEL_STEPS
 
+# The counts that a summary adds up.
 SUMMED = (
     "total_events", "total_sessions", "total_pageviews", "detail_pageviews", "comparison_pageviews",
     "sessions_with_pageview", "sessions_with_detail_view", "pageview_and_detail", "detail_and_comparison",

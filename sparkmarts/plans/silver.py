@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import (
     blank_to_null,
     business_date,
     clean_text,
     epoch_to_timestamp,
+    json_fields,
     laptop_id_number,
     safe_divide,
     valid_laptop_id,
@@ -113,10 +113,6 @@ EVENT_COLUMNS = (
 )
 
 
-def _all_text(keys: tuple[str, ...]) -> T.StructType:
-    return T.StructType([T.StructField(key, T.StringType()) for key in keys])
-
-
 def eligible_events(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("event_name").isNotNull() & F.col("session_id").isNotNull())
 
@@ -132,8 +128,8 @@ def parse_events(raw: DataFrame) -> DataFrame:
     source_page = data["page_name"]
     compares = F.col("event_name").isin(*tx.CHART_EVENTS) | source_page.isin(*tx.COMPARE_PAGE_ALIASES)
     return (
-        raw.withColumn("_data", F.from_json("event_data", _all_text(tx.EVENT_DATA_KEYS)))
-        .withColumn("_agent", F.from_json("device", _all_text(tx.DEVICE_KEYS)))
+        raw.withColumn("_data", json_fields(F.col("event_data"), tx.EVENT_DATA_KEYS))
+        .withColumn("_agent", json_fields(F.col("device"), tx.DEVICE_KEYS))
         .select(
             *raw.columns,
             epoch_to_timestamp(F.col("event_local_timestamp")).alias("event_timestamp"),

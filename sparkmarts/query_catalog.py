@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
@@ -55,7 +56,9 @@ def scratch_store(spark: SparkSession) -> TableStore:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         shared = tempfile.gettempdir()
-    return TableStore(spark, tempfile.mktemp(prefix="sparkmarts-store-", dir=shared))
+    store = TableStore(spark, f"{shared.rstrip('/')}/sparkmarts-store-{uuid.uuid4().hex}")
+    store.drop_at_exit()
+    return store
 
 
 # ---------------------------------------------------------------- versioned inputs
@@ -148,7 +151,7 @@ def _ingestion() -> dict[str, Query]:
     start, end = RANGE
     return {
         "scan_snapshot": lambda spark, sf: present(scan.scan_snapshot(scan.FrameSource(RawTables(spark, sf)), "laptop_model")),
-        "scan_range": _over_events(lambda e: scan.scan_range(e, start, end)),
+        "scan_range": _over_events(lambda e: scan.scan_range(e, scan.Period(start, end))),
         "scan_incremental": _over_events(lambda e: scan.scan_incremental(e, versions_target(e), LOOKBACK)),
         "watermark": _over_events(scan.watermark),
         "batch_violations": _over_events(lambda e: versions.batch_violations(damaged(e))),

@@ -79,7 +79,7 @@ def user_event_tracking(events: DataFrame) -> DataFrame:
     return events.selectExpr(
         "event_id", "user_id", "event_type",
         "cast(get_json_object(props, '$.k') as int) as k",
-        "cast(unix_seconds(cast(ts as timestamp)) as double) as seconds",
+        "unix_micros(cast(ts as timestamp)) / 1e6d as seconds",
     ).selectExpr(
         "event_id as id",
         "if(event_id % 50 = 0, null, concat('s', user_id)) as session_id",

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EVENT_TS, EVENTS, RAW_SCHEMAS, SNAPSHOT_TABLES
@@ -22,15 +24,24 @@ class ParquetSource:
 
 
 class JdbcSource:
-    """Source tables over JDBC; the driver jar and its options (url, user, ...) come from the caller."""
+    """Source tables over JDBC; the driver jar and its options (url, user, ...) come from the caller.
 
-    def __init__(self, spark: SparkSession, **options: str):
-        self._spark, self._options = spark, options
+    `per_table` adds options to single tables: a large one needs partitionColumn, lowerBound, upperBound and
+    numPartitions of its own, or it is read over one connection by one task.
+    """
 
-    def table(self, name: str) -> DataFrame:
+    def __init__(self, spark: SparkSession, per_table: Mapping[str, Mapping[str, str]] | None = None, **options: str):
+        self._spark, self._options, self._per_table = spark, options, dict(per_table or {})
+        if unknown := set(self._per_table) - set(RAW_SCHEMAS):
+            raise ValueError(f"not source tables: {sorted(unknown)}")
+
+    def options(self, name: str) -> dict[str, str]:
         if name not in RAW_SCHEMAS:
             raise ValueError(f"not a source table: {name}")
-        return self._spark.read.format("jdbc").options(dbtable=name, **self._options).load()
+        return {"dbtable": name, **self._options, **self._per_table.get(name, {})}
+
+    def table(self, name: str) -> DataFrame:
+        return self._spark.read.format("jdbc").options(**self.options(name)).load()
 
 
 class FrameSource:
@@ -49,23 +60,28 @@ def scan_snapshot(source, name: str) -> DataFrame:
     return source.table(name)
 
 
-def validate_range(start: float | None, end: float | None) -> None:
-    if (start is None) != (end is None):
-        raise ValueError("a backfill needs both a start and an end")
-    if start is None:
-        return
-    if not (math.isfinite(start) and math.isfinite(end)):
-        raise ValueError("backfill bounds must be finite epoch seconds")
-    if start >= end:
-        raise ValueError("a backfill must start before it ends")
+@dataclass(frozen=True)
+class Period:
+    """A stretch of server time in epoch seconds, its end exclusive. There is no unbounded, empty or reversed one."""
 
+    start: float
+    end: float
 
-def parse_epoch(text: str) -> float:
-    """Epoch seconds of an ISO-8601 instant; a time without a zone is refused."""
-    moment = datetime.fromisoformat(text.replace("Z", "+00:00"))
-    if moment.tzinfo is None:
-        raise ValueError(f"{text!r} has no time zone; write e.g. 2026-10-01T00:00:00+07:00")
-    return moment.timestamp()
+    def __post_init__(self):
+        if not -math.inf < self.start < self.end < math.inf:
+            raise ValueError(f"not a period: {self.start} to {self.end}")
+
+    @classmethod
+    def between(cls, start: str | datetime, end: str | datetime) -> Period:
+        """From ISO 8601 texts or datetimes, which must say their offset from UTC."""
+        moments = [datetime.fromisoformat(m) if isinstance(m, str) else m for m in (start, end)]
+        if any(m.utcoffset() is None for m in moments):
+            raise ValueError("both ends of a period need an offset from UTC")
+        return cls(*(m.timestamp() for m in moments))
+
+    def holds(self, ts: str) -> Column:
+        """The bounds are literals, so they reach the source scan."""
+        return (F.col(ts) >= F.lit(float(self.start))) & (F.col(ts) < F.lit(float(self.end)))
 
 
 def watermark(target: DataFrame, ts: str = EVENT_TS) -> DataFrame:
@@ -85,10 +101,8 @@ def read_watermark(target: DataFrame | None, ts: str = EVENT_TS) -> float | None
     return float(value)
 
 
-def scan_range(df: DataFrame, start: float, end: float, ts: str = EVENT_TS) -> DataFrame:
-    """Rows with start <= ts < end; the bounds are literals, so they reach the source scan."""
-    validate_range(start, end)
-    return df.filter((F.col(ts) >= F.lit(float(start))) & (F.col(ts) < F.lit(float(end))))
+def scan_range(df: DataFrame, period: Period, ts: str = EVENT_TS) -> DataFrame:
+    return df.filter(period.holds(ts))
 
 
 def scan_since(df: DataFrame, newest: float | None, lookback_seconds: int, ts: str = EVENT_TS) -> DataFrame:
@@ -102,12 +116,7 @@ def scan_incremental(
     return scan_since(df, read_watermark(target, ts), lookback_seconds, ts)
 
 
-def scan_events(
-    source, target: DataFrame | None, lookback_seconds: int, start: float | None = None, end: float | None = None
-) -> DataFrame:
-    """The events of a run: a bounded range when one is given (the watermark is not read), else past the watermark."""
-    validate_range(start, end)
+def scan_events(source, target: DataFrame | None, lookback_seconds: int, period: Period | None = None) -> DataFrame:
+    """The events of a run: a period where one is given (the watermark is not read), else past the watermark."""
     events = source.table(EVENTS)
-    if start is not None:
-        return scan_range(events, start, end)
-    return scan_incremental(events, target, lookback_seconds)
+    return scan_incremental(events, target, lookback_seconds) if period is None else scan_range(events, period)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 import os
+import random
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -23,6 +25,8 @@ from ..operators.versions import merge_by_key
 WRITE, DAY = "_write", "_day"  # partition folders: the write that produced the files, then the business day
 NO_DAY = "none"
 COMMIT_ATTEMPTS = 5
+# File systems where a rename refuses an existing target (a link, for local files), so only one writer can win.
+EXCLUSIVE_COMMITS = ("file", "hdfs")
 
 
 class CommitConflict(RuntimeError):
@@ -48,6 +52,9 @@ class TableStore:
 
     # ------------------------------------------------------------ files
 
+    def _drop(self, *parts: str) -> None:
+        self._fs().delete(self._path(*parts), True)
+
     def _path(self, *parts: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
 
@@ -60,7 +67,10 @@ class TableStore:
 
     def _create(self, name: str, file: str, text: str) -> None:
         """Creates a commit file, whole or not at all, and fails if it is there already."""
-        if self._fs().getUri().getScheme() == "file":
+        scheme = self._fs().getUri().getScheme()
+        if scheme not in EXCLUSIVE_COMMITS:
+            raise RuntimeError(f"a commit on {scheme} could be lost to another writer; use one of {EXCLUSIVE_COMMITS}")
+        if scheme == "file":
             folder = os.path.join(urlparse(self.root).path, name, "commits")
             os.makedirs(folder, exist_ok=True)
             draft = os.path.join(folder, f".{uuid.uuid4().hex}")
@@ -84,12 +94,24 @@ class TableStore:
             fs.delete(draft, False)
             raise CommitConflict(f"{name} {file}")
 
+    def drop_at_exit(self) -> None:
+        """The whole store goes when the driver's JVM ends."""
+        self._fs().deleteOnExit(self._path())
+
     # ------------------------------------------------------------ versions
 
     def _latest(self, name: str) -> Version | None:
         files = self._commits(name)
         return self._version(name, files[-1]) if files else None
 
+    def _commit_write(self, name: str, base: Version | None, schema: T.StructType, days, write: str) -> int:
+        """Commits the files of a write, of all days where `days` is None; they go if another writer was first."""
+        try:
+            return self._commit(name, base, schema, days, write if days is None else None).number
+        except CommitConflict:
+            self._drop(name, "data", f"{WRITE}={write}")
+            raise
+
     def _commit(self, name: str, base: Version | None, schema: T.StructType, days, write) -> Version:
         version = Version((base.number if base else 0) + 1, schema, days, write)
         body = {"number": version.number, "schema": schema.jsonValue(), "days": days, "write": write}
@@ -175,11 +197,15 @@ class TableStore:
     def _write_files(self, name: str, df: DataFrame, by_day: bool) -> tuple[str, list[str]]:
         write = uuid.uuid4().hex
         folder = f"{self.root}/{name}/data/{WRITE}={write}"  # a folder of its own: writers never share one
-        if not by_day:
-            df.write.parquet(folder)
-            return write, []
-        # Rebalancing keeps a day's files together, and splits a day that holds a large share of the rows.
-        df.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(folder)
+        try:
+            if not by_day:
+                df.write.parquet(folder)
+                return write, []
+            # Rebalancing keeps a day's files together, and splits a day that holds a large share of the rows.
+            df.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(folder)
+        except Exception:
+            self._drop(name, "data", f"{WRITE}={write}")
+            raise
         days = [n.removeprefix(f"{DAY}=") for n in self._names(name, "data", f"{WRITE}={write}") if n.startswith(DAY)]
         return write, days
 
@@ -192,7 +218,7 @@ class TableStore:
         frame = df if day is None else df.withColumn(DAY, _day_text(day))
         write, days = self._write_files(name, frame, day is not None)
         by_day = None if day is None else dict.fromkeys(days, write)
-        return self._commit(name, base, df.schema, by_day, None if by_day is not None else write).number
+        return self._commit_write(name, base, df.schema, by_day, write)
 
     def merge(
         self,
@@ -221,7 +247,8 @@ class TableStore:
         return self._retry(name, once)
 
     def _retry(self, name: str, attempt: Callable[[Version], int]) -> int:
-        for _ in range(COMMIT_ATTEMPTS):
+        for lost in range(COMMIT_ATTEMPTS):
+            time.sleep(lost * random.random())  # writers that met once should not meet again
             base = self._latest(name)
             if base is None or base.days is None:
                 raise MissingTable(f"{name} is not a table by day")
@@ -262,7 +289,7 @@ class TableStore:
         write, days = self._write_files(name, rows, by_day=True)
         kept = {d: w for d, w in base.days.items() if d not in touched}
         schema = T.StructType([f for f in rows.schema.fields if f.name != DAY])
-        return self._commit(name, base, schema, {**kept, **dict.fromkeys(days, write)}, None).number
+        return self._commit_write(name, base, schema, {**kept, **dict.fromkeys(days, write)}, write)
 
     # ------------------------------------------------------------ staging
 
@@ -276,8 +303,12 @@ class Staged:
     """A written intermediate table, dropped at the end of a `with` block."""
 
     def __init__(self, spark: SparkSession, df: DataFrame, path: str):
-        df.write.parquet(path)
         self._spark, self._path = spark, path
+        try:
+            df.write.parquet(path)
+        except Exception:
+            self.__exit__()
+            raise
         self.frame = spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import read_lookback_seconds
+from ..config import lookback
 from ..plans.ingest import upsert_events
 from ..plans.pipeline import build_events
 from ..schemas import EVENTS, RAW_SCHEMAS
@@ -28,12 +28,12 @@ def event_sink(store: TableStore, lookback_seconds: int | None = None) -> Callab
     Newest-version-wins needs the stored rows, which a watermarked deduplication cannot see; the upsert has
     them and is idempotent, so a micro-batch that is run again after a failure leaves the same tables.
     """
-    lookback = read_lookback_seconds() if lookback_seconds is None else lookback_seconds
+    reach = lookback(lookback_seconds)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         counts = upsert_events(store, batch)
         if counts["source_ids"]:
-            build_events(store, lookback_seconds=lookback)
+            build_events(store, lookback_seconds=reach)
 
     return load
 

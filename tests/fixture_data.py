@@ -1,23 +1,21 @@
-"""A small catalog and clickstream with a pinned clock: local midnight, month boundary, replay, oversized id."""
+"""A small catalog and clickstream around one instant that begins both a day and a month in the business zone."""
 
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta, timezone
+from datetime import datetime
 from decimal import Decimal
 
 from sparkmarts.schemas import RAW_SCHEMAS
 
-ZONE = timezone(timedelta(hours=7))
-MIDNIGHT = datetime(2026, 10, 15, tzinfo=ZONE).timestamp()
-MONTH_START = datetime(2026, 10, 1, tzinfo=ZONE).timestamp()
-AS_OF = datetime(2026, 10, 15, 12, tzinfo=ZONE)
-DEVICE = json.dumps({"os_name": "Windows", "device_type": "Desktop", "browser": "Chrome"})
+FIRST_OF_MARCH = datetime.fromisoformat("2025-03-01T00:00:00+07:00").timestamp()
+PHONE = json.dumps({"os": "Plan 9", "device_type": "Mobile"})
+DESK = json.dumps({"os_name": "Haiku", "device_type": "Desktop"})
 
 
-def event(id, session, name, ts, device=DEVICE, local=None, **payload):
-    data = json.dumps({key: value for key, value in payload.items() if value is not None})
-    return (id, session, name, float(local if local is not None else ts - 10), float(ts), data, device)
+def event(id, session, name, ts, device=DESK, local=None, **payload):
+    sent = float(ts - 3 if local is None else local)
+    return (id, session, name, sent, float(ts), json.dumps({k: v for k, v in payload.items() if v is not None}), device)
 
 
 def page(id, session, page_name, ts, device_id=None, **more):
@@ -25,41 +23,47 @@ def page(id, session, page_name, ts, device_id=None, **more):
 
 
 def clickstream():
-    m, ms = MIDNIGHT, MONTH_START
-    rows = [
-        page(1, "cross", "Home", m - 60),
-        page(2, "cross", "DeviceDetail", m + 60, "1"),
-        page(3, "cross", "DeviceComparison", m + 180, "1"),
-        page(4, "cross", "CompareDevice", m + 240, "2"),
-        event(5, "cross", "comparison_chart_sort_selection", m + 300, device_ids=["1", "2", "2"], sort_by="performance"),
-        event(6, "cross", "select_device_for_comparison", m + 360, device_id="1"),
-        page(7, "second", "Home", m + 420),
-        page(8, "second", "DeviceDetail", m + 480, "2"),
-        event(9, "second", "search_for_device", m + 540, keyword="["),
-        page(10, "compare-only", "CompareDevice", m + 600, "1"),
-        page(11, "oversized", "DeviceDetail", m + 660, "99999999999"),
-        page(12, None, "Home", m + 720),
-        page(13, "month-boundary", "DeviceDetail", ms - 60, "1"),
-        page(14, "month-boundary", "DeviceDetail", ms + 60, "1"),
-        page(15, "recent", "DeviceDetail", m + 43200, "1"),
+    """Thirteen events and a replay; id 11 has no session, id 9 no keyword, id 6 repeats a device and names none."""
+    at = FIRST_OF_MARCH
+    seen = page(7, "beta", "DeviceDetail", at + 3700, "21", device=PHONE)
+    return [
+        page(1, "alpha", "Home", at - 30),
+        page(2, "alpha", "DeviceDetail", at - 20, "11"),
+        page(3, "alpha", "DeviceDetail", at + 10, "12"),
+        page(4, "alpha", "CompareDevice", at + 20, "12"),
+        event(5, "alpha", "select_device_for_comparison", at + 30, device_id="21"),
+        event(6, "beta", "comparison_chart_sort_selection", at + 3600, PHONE, device_ids=["21", "11", "21", "x"], sort_by="price"),
+        seen,
+        event(8, "beta", "search_for_device", at + 3800, PHONE, keyword="  Thin {14} "),
+        event(9, "gamma", "search_for_device", at + 4000, keyword=" "),
+        page(10, "gamma", "DeviceDetail", at + 4100, "00012"),
+        page(11, None, "Home", at + 4200),
+        seen,
+        event(12, "delta", "click", at + 2 * 86_400),
+        page(13, "gamma", "DeviceComparison", at + 4300.25, "2147483648"),
     ]
-    return [*rows, rows[-1]]
 
 
 def catalog():
-    d = Decimal
-    laptop = lambda id, name, part: (id, name, part, part, part, d(14), d("1.5"), d(60), True, True)
-    bench = lambda id, laptop_id, office, multi: (id, laptop_id, office and d(office), d(90), 1500, multi, 7000)
+    def laptop(id, name, brand, part, inches, kilos, watt_hours):
+        return (id, name, brand, part, part, Decimal(inches), Decimal(kilos), Decimal(watt_hours), True, True)
+
     return {
-        "brand": [(1, "Aster"), (2, "Boreal")],
-        "cpu_model": [(1, "CPU A"), (2, "CPU B")],
-        "gpu_model": [(1, "GPU A"), (2, "GPU B")],
-        "laptop_model": [laptop(1, "Aster [Pro]", 1), laptop(2, "Boreal Air", 2), laptop(3, "Aster Basic", 1)],
+        "brand": [(10, "Cedar"), (20, "Dune"), (30, "Ember")],
+        "cpu_model": [(1, "Quark 5"), (2, "Quark 9")],
+        "gpu_model": [(1, "Prism"), (2, "Volt")],
+        "laptop_model": [
+            laptop(11, "Cedar One", 10, 1, 13, "1.25", 50),
+            laptop(12, "Cedar Two {15}", 10, 2, 15, "2", 80),
+            laptop(21, "Dune Lite", 20, 1, 13, "1.25", 50),
+        ],
         "laptop_benchmark_result": [
-            bench(101, 1, 360, 8000), bench(102, 1, 480, 10000), bench(201, 2, 600, 12000),
-            (301, 3, None, None, None, None, None),
+            (1, 11, Decimal(300), Decimal(60), 1100, 4000, 3600),
+            (2, 12, Decimal(450), Decimal(75), 2100, 9000, 4500),
+            (3, 12, Decimal(420), Decimal(80), 2000, 9500, 5000),
+            (4, 21, None, None, None, None, None),
         ],
-    }
+    }
 
 
 def frame(spark, table, rows):

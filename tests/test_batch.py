@@ -23,32 +23,27 @@ def values(df):
     return sorted(tuple(r) for r in df.select("id", EVENT_TS, "payload").collect())
 
 
-def test_latest_version_wins_in_either_order(spark):
-    rows = [("1", 200.0, "new"), ("1", 100.0, "old")]
-    for data in (rows, rows[::-1]):
-        assert values(versions.prepare_batch(batch(spark, data))) == [("1", 200.0, "new")]
+CASES = {
+    "newest of three, given out of order": ([("k", 5.5, "b"), ("k", 7.25, "c"), ("k", -1.0, "a")], [("k", 7.25, "c")]),
+    "replays of one version": ([("k", 5.5, "b"), ("m", 0.0, "z")] * 4, [("k", 5.5, "b"), ("m", 0.0, "z")]),
+    "a missing payload is a payload": ([("k", 5.5, None), ("k", 5.5, None), ("k", 5.0, "x")], [("k", 5.5, None)]),
+    "old versions may differ": ([("k", 5.0, "x"), ("k", 5.0, "y"), ("k", 5.0, None), ("k", 5.5, "b")], [("k", 5.5, "b")]),
+    "versions a float apart": ([("k", 1e9, "a"), ("k", 1e9 + 2**-22, "b")], [("k", 1e9 + 2**-22, "b")]),
+}
 
 
-def test_identical_replays_collapse(spark):
-    assert values(versions.prepare_batch(batch(spark, [("1", 200.0, "new")] * 5))) == [("1", 200.0, "new")]
+@pytest.mark.parametrize("name", CASES)
+def test_one_version_is_left(spark, name):
+    given, left = CASES[name]
+    for rows in (given, given[::-1]):
+        assert values(versions.prepare_batch(batch(spark, rows))) == left
 
 
-def test_null_payload_is_a_payload(spark):
-    assert values(versions.prepare_batch(batch(spark, [("1", 200.0, None)] * 2))) == [("1", 200.0, None)]
-    with pytest.raises(BatchError, match="payload"):
-        versions.prepare_batch(batch(spark, [("1", 200.0, None), ("1", 200.0, "x")]))
-
-
-def test_conflicting_newest_version_fails(spark):
-    rows = [("1", 200.0, "new"), ("1", 200.0, "conflict"), ("2", 1.0, "a")]
+def test_clashes_of_the_newest_version_are_listed(spark):
+    rows = [("m", 0.0, "z"), ("k", 5.5, "b"), ("n", 2.0, None), ("k", 5.5, "B"), ("n", 2.0, ""), ("k", 1.0, "a")]
+    assert sorted(r["id"] for r in versions.batch_conflicts(batch(spark, rows)).collect()) == ["k", "n"]
     with pytest.raises(BatchError, match="payload"):
         versions.prepare_batch(batch(spark, rows))
-    assert [r["id"] for r in versions.batch_conflicts(batch(spark, rows)).collect()] == ["1"]
-
-
-def test_conflict_below_the_newest_version_is_no_conflict(spark):
-    rows = [("1", 100.0, "a"), ("1", 100.0, "b"), ("1", 200.0, "new")]
-    assert values(versions.prepare_batch(batch(spark, rows))) == [("1", 200.0, "new")]
 
 
 @pytest.mark.parametrize(

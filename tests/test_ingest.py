@@ -1,7 +1,8 @@
 """Loading into the store: replacement, upsert, rollback, concurrency, ranges and lookback."""
 
+import math
 import threading
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -9,7 +10,7 @@ from fixture_data import catalog, clickstream, frame, page, raw_frames
 from harness import plan_text
 from pyspark.sql import functions as F
 
-from sparkmarts.config import read_lookback_seconds
+from sparkmarts.config import Settings
 from sparkmarts.operators.versions import BatchError
 from sparkmarts.plans import ingest, pipeline
 from sparkmarts.schemas import EVENT_TS, EVENTS, SNAPSHOT_TABLES
@@ -198,7 +199,7 @@ def test_scan_since_watermark_is_inclusive_and_pushed_down(spark, tmp_path):
     assert "GreaterThanOrEqual(event_received_on_server_timestamp" in pushed[0]
     assert scan.scan_events(opened, None, 7200).count() == 3
     assert scan.scan_events(opened, target.limit(0), 7200).count() == 3
-    ranged = scan.scan_events(opened, target, 7200, start=BASE - 7201, end=BASE - 7200)
+    ranged = scan.scan_events(opened, target, 7200, scan.Period(BASE - 7201, BASE - 7200))
     assert [r["id"] for r in ranged.collect()] == [1]
 
 
@@ -216,25 +217,58 @@ def test_watermark_errors_surface(spark):
         scan.scan_incremental(source, endless, 7200)
 
 
-def test_ranges_and_instants():
-    scan.validate_range(None, None)
-    scan.validate_range(1.0, 2.0)
-    for start, end in [(1.0, None), (None, 1.0), (2.0, 2.0), (3.0, 2.0), (float("nan"), 2.0), (1.0, float("inf"))]:
+def test_periods():
+    """Any two bounds make a period exactly when both are finite and in order."""
+    bounds = [-math.inf, -5.5, 0.0, 1e9, math.inf, math.nan]
+    for start in bounds:
+        for end in bounds:
+            if -math.inf < start < end < math.inf:
+                assert scan.Period(start, end).end == end
+            else:
+                with pytest.raises(ValueError):
+                    scan.Period(start, end)
+    midnight = scan.Period.between("2025-06-01T02:30:00+02:30", datetime(2025, 6, 1, 1, tzinfo=timezone.utc))
+    assert (midnight.start, midnight.end - midnight.start) == (1_748_736_000.0, 3600.0)
+    for pair in (("2025-06-01", "2025-06-02T00:00:00Z"), (datetime(2025, 6, 1), datetime(2025, 6, 2)), ("soon", "later")):
         with pytest.raises(ValueError):
-            scan.validate_range(start, end)
-    assert scan.parse_epoch("2026-10-01T00:00:00+07:00") == scan.parse_epoch("2026-09-30T17:00:00Z")
-    for text in ("2026-10-01T00:00:00", "yesterday"):
-        with pytest.raises(ValueError):
-            scan.parse_epoch(text)
+            scan.Period.between(*pair)
+
+
+def test_jdbc_options_of_single_tables(spark):
+    parts = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "4"}
+    source = scan.JdbcSource(spark, {EVENTS: parts}, url="jdbc:x")
+    assert source.options(EVENTS) == {"dbtable": EVENTS, "url": "jdbc:x", **parts}
+    assert source.options("brand") == {"dbtable": "brand", "url": "jdbc:x"}
+    with pytest.raises(ValueError):
+        scan.JdbcSource(spark, {"nothing": parts})
 
 
-def test_lookback_setting():
-    key = "INGESTION_LOOKBACK_SECONDS"
-    assert read_lookback_seconds({}) == 7200
-    assert [read_lookback_seconds({key: v}) for v in ("0", " 60 ", "2147483647")] == [0, 60, 2147483647]
-    for bad in ("", "-1", "1.5", "abc", "2147483648", "99999999999", "٣"):
+def test_settings():
+    assert Settings.of({}) == Settings(7200)
+    for seconds in (0, 1, 86_400, 2**31 - 1):
+        assert Settings.of({"INGESTION_LOOKBACK_SECONDS": f"{seconds}\n"}).lookback_seconds == seconds
+    for text in ("2h", "7_200", "+7200", "-7200", "7200.0", "\u0667", " ", str(2**31)):
         with pytest.raises(ValueError):
-            read_lookback_seconds({key: bad})
+            Settings.of({"INGESTION_LOOKBACK_SECONDS": text})
+
+
+def test_failed_and_lost_writes_leave_no_files(spark, store):
+    store.overwrite("brand", brand(spark, [(1, "a")]))
+    kept = store._names("brand", "data")
+    with pytest.raises(Exception, match="boom"):
+        store.overwrite("brand", brand(spark, [(2, "b")]).withColumn("name", F.raise_error(F.lit("boom"))))
+    with pytest.raises(CommitConflict):
+        store.overwrite("brand", brand(spark, [(2, "b")]), new=True)
+    assert store._names("brand", "data") == kept
+    with pytest.raises(Exception, match="boom"):
+        store.stage(brand(spark, [(2, "b")]).withColumn("name", F.raise_error(F.lit("boom"))))
+    assert not store._names("_staging")
+
+
+def test_commits_need_a_file_system_that_refuses_an_existing_target(spark, store, monkeypatch):
+    monkeypatch.setattr("sparkmarts.sources.store.EXCLUSIVE_COMMITS", ("hdfs",))
+    with pytest.raises(RuntimeError, match="could be lost"):
+        store.overwrite("brand", brand(spark, [(1, "a")]))
 
 
 def test_snapshot_names():
@@ -246,10 +280,12 @@ def test_run_ingest(spark, store):
     source = scan.FrameSource(raw_frames(spark))
     report = ingest.run_ingest(store, source, lookback_seconds=7200)
     assert report["events"][EVENTS] == {
-        "source_rows": 16, "source_ids": 15, "older_ids_skipped": 0, "written_ids": 15,
+        "source_rows": 14, "source_ids": 13, "older_ids_skipped": 0, "written_ids": 13,
     }
-    assert {name: store.read(name).count() for name in SNAPSHOT_TABLES} == {n: len(r) for n, r in catalog().items()}
+    sizes = {n: len(r) for n, r in catalog().items()}
+    assert {name: store.read(name).count() for name in SNAPSHOT_TABLES} == sizes
+    assert report["rows"] == {**sizes, EVENTS: 13}
     again = ingest.run_ingest(store, source, lookback_seconds=0)
-    assert again["events"][EVENTS]["source_ids"] == 1  # the newest event alone, from its two copies
+    assert again["events"][EVENTS]["source_ids"] == 1  # the newest event alone
     assert store.read(EVENTS).count() == len({row[0] for row in clickstream()})
     assert store.read(EVENTS).filter(F.col("session_id").isNull()).count() == 1

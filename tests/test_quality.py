@@ -3,7 +3,7 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from fixture_data import AS_OF, MIDNIGHT, catalog, event, frame, raw_frames
+from fixture_data import FIRST_OF_MARCH, catalog, event, frame, raw_frames
 from pyspark.sql import functions as F
 
 from sparkmarts.operators import checks
@@ -73,8 +73,8 @@ def defects():
     yield "dq_source_taxonomy", "silver_comparison_event_device", twice
 
 
-def test_there_are_47_tests_and_all_pass(clean):
-    assert len(TESTS) == 47
+def test_there_are_48_tests_and_all_pass(clean):
+    assert len(TESTS) == 48
     for layer in ("raw", "silver", "gold"):
         assert set(quality.run_tests(clean, layer).values()) == {0}
 
@@ -102,7 +102,7 @@ def test_failed_gate_stops_the_build(spark, store):
     rows = catalog()
     rows["laptop_model"] = [(*r[:2], 77, *r[3:]) for r in rows["laptop_model"]]  # a brand nobody knows
     source = {name: frame(spark, name, r) for name, r in rows.items()}
-    source[EVENTS] = frame(spark, EVENTS, [event(1, "s", "pageview", MIDNIGHT, page_name="Home")])
+    source[EVENTS] = frame(spark, EVENTS, [event(1, "s", "pageview", FIRST_OF_MARCH, page_name="Home")])
     ingest.run_ingest(store, scan.FrameSource(source), lookback_seconds=0)
     with pytest.raises(quality.DataTestsFailed, match="relationships_silver_laptop_model_brand_id"):
         pipeline.build(store, full_refresh=True)
@@ -127,14 +127,15 @@ def test_freshness_bands(spark, hours, status):
 
 def test_freshness_of_nothing_is_an_error(spark):
     df = spark.createDataFrame([], f"{EVENT_TS} double")
-    assert checks.dq_freshness(df, F.timestamp_seconds(EVENT_TS), AS_OF).first()["status"] == "error"
+    assert checks.dq_freshness(df, F.timestamp_seconds(EVENT_TS), datetime.now(timezone.utc)).first()["status"] == "error"
 
 
 def test_reconciliation(clean):
     inventory = {"raw": 6, "bronze": 6, "silver": 13, "gold": 12}
     tables = {**clean, "bronze_user_event_tracking": clean[EVENTS]}
     report = reconcile.reconcile(tables, inventory)
-    assert (report["raw_events"], report["gold_daily_events"], report["daily_metric_mismatches"]) == (15, 14, 0)
+    assert (report["raw_events"], report["gold_daily_events"], report["daily_metric_mismatches"]) == (13, 12, 0)
+    assert report["relations"] == inventory and report["rows"][EVENTS] == 13 and len(report["rows"]) == 19
     with pytest.raises(reconcile.ReconciliationFailed, match="per layer"):
         reconcile.reconcile(tables, {**inventory, "gold": 11})
     for table in (EVENTS, "gold_daily_site_kpis", "silver_user_event_tracking"):

@@ -9,60 +9,65 @@ from sparkmarts.functions import clean_text, contains_literal, numeric_label, pe
 from sparkmarts.plans import serve
 from sparkmarts.plans.pipeline import load_gold
 
-TODAY = date(2026, 10, 19)
+TODAY = date(2025, 8, 14)  # a Thursday
 
 
-def daily(spark, rows, extra=""):
-    return spark.createDataFrame(rows, "event_date date, " + ", ".join(f"{c} bigint" for c in serve.SUMMED) + extra)
+def daily(spark, counts):
+    """A row per day; `counts` gives single columns, the rest are 0."""
+    columns = ", ".join(f"{c} bigint" for c in serve.SUMMED)
+    rows = [(day, *(given.get(c, 0) for c in serve.SUMMED)) for day, given in counts.items()]
+    return spark.createDataFrame(rows, "event_date date, " + columns)
 
 
 def test_periods():
-    assert serve.serve_period("Today", TODAY, date(2026, 1, 1), date(2026, 10, 18)) == (TODAY, TODAY)
-    assert serve.serve_period("Last 7 days", TODAY) == (date(2026, 10, 13), TODAY)
-    assert serve.serve_period("All available", TODAY, date(2026, 1, 1), date(2026, 10, 18)) == (date(2026, 1, 1), TODAY)
+    oldest, newest = date(2024, 12, 30), date(2025, 8, 11)
+    assert serve.serve_period("Today", TODAY, oldest, newest) == (TODAY, TODAY)
+    assert serve.serve_period("Last 7 days", TODAY) == (date(2025, 8, 8), TODAY)
+    assert serve.serve_period("All available", TODAY, oldest, newest) == (oldest, TODAY)
     assert serve.serve_period("All available", TODAY) == (TODAY, TODAY)
-    assert serve.serve_period("Custom", TODAY, custom=(date(2026, 2, 1), date(2026, 2, 2)))[0] == date(2026, 2, 1)
+    chosen = (date(2025, 1, 31), date(2025, 4, 30))
+    assert serve.serve_period("Custom", TODAY, oldest, newest, custom=chosen) == chosen
     with pytest.raises(ValueError):
-        serve.serve_period("Yesterday", TODAY)
+        serve.serve_period("This quarter", TODAY)
 
 
-def test_today_is_empty_when_there_is_no_data_today(spark):
-    days = daily(spark, [(date(2026, 10, 18), *[1] * 9)])
+def test_period_without_data(spark):
+    days = daily(spark, {date(2025, 8, 11): {c: 4 for c in serve.SUMMED}})
     window = serve.serve_filter_days(days, TODAY, TODAY)
-    assert window.isEmpty()
     summary = serve.serve_summarize_daily(window).first()
-    assert summary["total_events"] == 0 and summary["detail_reach_pct"] is None
+    assert window.isEmpty() and summary["total_events"] == 0 and summary["detail_reach_pct"] is None
 
 
 def test_rates_come_from_summed_counts(spark):
-    rows = [
-        (date(2026, 10, 1), 10, 10, 10, 1, 1, 10, 1, 1, 1),
-        (date(2026, 10, 2), 100, 100, 100, 50, 0, 100, 50, 50, 0),
-    ]
-    summary = serve.serve_summarize_daily(daily(spark, rows)).first()
-    assert summary["comparison_reach_pct"] == pytest.approx(100 / 51)
-    assert summary["total_sessions"] == 110
+    """A quiet day with all reach and a busy one with little: the mean of the daily rates would say 56."""
+    days = daily(spark, {
+        date(2025, 8, 12): {"total_sessions": 3, "sessions_with_pageview": 3, "pageview_and_detail": 3, "sessions_with_detail_view": 3},
+        date(2025, 8, 13): {"total_sessions": 77, "sessions_with_pageview": 77, "pageview_and_detail": 9, "sessions_with_detail_view": 9},
+    })
+    summary = serve.serve_summarize_daily(days).first()
+    assert summary["total_sessions"] == 80 and summary["detail_reach_pct"] == pytest.approx(15.0)
 
 
 def test_brand_share_keeps_the_total(spark):
-    brands = spark.createDataFrame([(i, n, i + 1) for i, n in enumerate("ABCDEFGH")], "brand_id int, brand_name string, total_views bigint")
-    share = serve.brand_share(brands).collect()
-    assert sum(r["total_views"] for r in share) == 36 and len(share) == 7
-    assert {r["brand_name"]: r["total_views"] for r in share}["Other brands (remaining)"] == 3
-    assert serve.brand_share(brands, n=8).filter("brand_name like 'Other%'").isEmpty()
+    rows = [(i, f"brand {i}", 2**i) for i in range(10)]
+    brands = spark.createDataFrame(rows, "brand_id int, brand_name string, total_views bigint")
+    share = {r["brand_name"]: r["total_views"] for r in serve.brand_share(brands).collect()}
+    assert len(share) == 7 and sum(share.values()) == 1023
+    assert share["Other brands (remaining)"] == 15 and share["brand 9"] == 512
+    assert serve.brand_share(brands, n=10).filter("brand_name like 'Other%'").isEmpty()
 
 
 def test_labels(spark):
-    df = spark.createDataFrame([(None,), (float("nan"),), (0.0,), (1234.56,)], "x double")
-    assert [r[0] for r in df.select(numeric_label(F.col("x"))).collect()] == ["N/A", "N/A", "0.0", "1,234.6"]
-    assert df.select(numeric_label(F.col("x"), " h")).collect()[3][0] == "1,234.6 h"
+    df = spark.createDataFrame([(None,), (float("nan"),), (-0.04,), (9876543.21,)], "x double")
+    assert [r[0] for r in df.select(numeric_label(F.col("x"))).collect()] == ["N/A", "N/A", "-0.0", "9,876,543.2"]
+    assert df.select(numeric_label(F.col("x"), " h")).collect()[3][0] == "9,876,543.2 h"
 
 
 def test_literal_search(spark):
-    df = spark.createDataFrame([("Aster [Pro]",), ("Boreal",), (None,), ("100% x_y",)], "n string")
+    df = spark.createDataFrame([("Cedar Two {15}",), ("Dune",), (None,), ("5* (a|b)",)], "n string")
     hits = lambda q: [r[0] for r in df.filter(contains_literal(F.col("n"), q)).collect()]
-    assert hits("[") == ["Aster [Pro]"] and hits("ASTER") == ["Aster [Pro]"] and hits("0% X_") == ["100% x_y"]
-    assert hits(".") == []
+    assert hits("{15") == hits("cEDAR") == ["Cedar Two {15}"] and hits("* (A|") == ["5* (a|b)"]
+    assert hits("%") == hits("D.ne") == []
 
 
 def catalog(spark, ids):
@@ -83,10 +88,10 @@ def test_catalog_joins_one_to_one(spark):
 
 
 def test_recency(spark):
-    days = spark.createDataFrame([(datetime(2026, 10, 18),)], "latest_event_at timestamp_ntz").select(
+    days = spark.createDataFrame([(datetime(2025, 8, 11, 23),)], "latest_event_at timestamp_ntz").select(
         F.col("latest_event_at").cast("timestamp")
     )
-    assert serve.serve_recency(days, datetime(2026, 10, 20, 1, tzinfo=timezone.utc)).first()["status"] == "error"
+    assert serve.serve_recency(days, datetime(2025, 8, 14, tzinfo=timezone.utc)).first()["status"] == "error"
 
 
 def test_top_component_trend_breaks_ties_by_name(spark):

@@ -17,7 +17,8 @@ def contents(store, name):
 def test_stream_equals_batch_and_replays_are_harmless(spark, store, tmp_path):
     landing = str(tmp_path / "landing")
     rows = clickstream()
-    batches = [rows[:6], rows[4:], [page(15, "recent", "DeviceDetail", rows[14][4] + 5, "1")]]
+    last = rows[-1]
+    batches = [rows[:6], rows[4:], [page(last[0], last[1], "DeviceDetail", last[4] + 5, "11")]]
     for part in batches[:2]:
         frame(spark, EVENTS, part).coalesce(1).write.mode("append").parquet(landing)
     run_available(store, landing, lookback_seconds=10**9, max_files=1)
@@ -29,7 +30,7 @@ def test_stream_equals_batch_and_replays_are_harmless(spark, store, tmp_path):
     pipeline.build_events(other, full_refresh=True)
     for name in (EVENTS, SILVER_EVENTS):
         assert contents(store, name) == contents(other, name)
-    assert store.read(EVENTS).filter("id = 15").first()[EVENT_TS] == rows[14][4] + 5
+    assert store.read(EVENTS).filter(f"id = {last[0]}").first()[EVENT_TS] == last[4] + 5
 
     load = event_sink(store, 10**9)
     load(frame(spark, EVENTS, batches[0]), 7)  # a micro-batch that is run again
