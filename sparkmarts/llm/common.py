@@ -55,3 +55,12 @@ def importable(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it, unless their path is set already."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Documents are long: fewer of them at a time in a Python worker, unless the session's owner said otherwise."""
+    if spark.conf.get(BATCH_ROWS) == "10000":  # Spark's own default
+        spark.conf.set(BATCH_ROWS, str(rows))

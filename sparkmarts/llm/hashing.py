@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so its powers can be divided by
 _INVERSE = pow(_BASE, -1, 2**64)
-_CHUNK = 1 << 21  # bytes hashed at a time, to bound memory; a longer text is a chunk of its own
+_CHUNK = 1 << 19  # bytes hashed at a time, to bound memory; a longer text is a chunk of its own
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, jaccard_join, languages, mixing, packing, passages, pseudonyms, secret_scan, syncmers, toxicity
-from .common import importable
+from .common import importable, small_batches
 
 #: For these queries only; a deployment passes its own secret key.
 PSEUDONYM_KEY = b"key of the registered query"
@@ -25,6 +25,7 @@ def tokenizer() -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

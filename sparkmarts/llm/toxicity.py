@@ -33,8 +33,7 @@ SAMPLE_ROWS, SEED = 20_000, 7
 CELL_BITS, DISCOUNT, PAIR_DISCOUNT, CLEAR = 20, 2.0, 8.0, 1.0
 _CELLS = 1 << CELL_BITS
 _MASK = np.uint64(_CELLS - 1)
-_SINGLE, _STEM = np.uint32(2**32 - 1), np.uint32(2**32 - 2)  # in place of a pair's history
-_FLUSH = 1 << 21
+_FLUSH = 1 << 19
 # Tables of the model, each for class 0 and 1.
 WORD, STEM, HISTORY, FREED, PAIR, TABLES = 0, 2, 4, 6, 8, 10
 STEM_SIGNS = 4
@@ -45,7 +44,12 @@ def held_out(id: str = "doc_id") -> Column:
 
 
 def _pairs(words: np.ndarray) -> np.ndarray:
-    return hashing.mix(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
+    """Pairs as one number: the cell of the first word in the top 20 bits, then 44 bits of the second."""
+    return ((words[:-1] & _MASK) << np.uint64(64 - CELL_BITS)) | (words[1:] >> np.uint64(CELL_BITS))
+
+
+def _pair_cells(pairs: np.ndarray) -> np.ndarray:
+    return hashing.mix(pairs) & _MASK
 
 
 def _lowered(texts: pa.Array) -> list[bytes]:
@@ -53,20 +57,20 @@ def _lowered(texts: pa.Array) -> list[bytes]:
 
 
 def _expressions(parts: int):
-    """Blocks of (history cell, expression, documents of class 0, of class 1), summed within the task."""
+    """Blocks of (sort, expression, documents of class 0, of class 1), summed within the task."""
 
-    def flushed(keys, histories, labels):
-        key, history, label = np.concatenate(keys), np.concatenate(histories), np.concatenate(labels)
-        order = np.argsort(key, kind="stable")
-        key, history, label = key[order], history[order], label[order]
-        first = blocks.group_starts(key)
+    def flushed(keys, sorts, labels):
+        key, sort, label = np.concatenate(keys), np.concatenate(sorts), np.concatenate(labels)
+        order = np.lexsort((key, sort))
+        key, sort, label = key[order], sort[order], label[order]
+        first = blocks.group_starts(key, sort)
         toxic = np.add.reduceat(label, first, dtype=np.int64)
         plain = np.diff(np.append(first, len(key))) - toxic
-        columns = [history[first], key[first], plain.astype(np.uint32), toxic.astype(np.uint32)]
-        return blocks.dealt(columns, key[first], parts)
+        columns = [sort[first], key[first], plain.astype(np.uint32), toxic.astype(np.uint32)]
+        return blocks.dealt(columns, hashing.mix(key[first]), parts)
 
     def run(batches):
-        keys, histories, labels, held = [], [], [], 0
+        keys, sorts, labels, held = [], [], [], 0
         for batch in batches:
             toxic = batch.column("toxic").to_pylist()
             text = batch.column("text")
@@ -75,16 +79,16 @@ def _expressions(parts: int):
                 for i in range(b - a):
                     own = words[first[i] : first[i + 1]]
                     single, stem = np.unique(own), np.unique(hashing.mix(stems[first[i] : first[i + 1]]))
-                    pair, at = np.unique(_pairs(own), return_index=True)
-                    keys += [single, stem, pair]
-                    histories += [np.full(len(single), _SINGLE), np.full(len(stem), _STEM), (own[at] & _MASK).astype(np.uint32)]
-                    labels.append(np.full(len(single) + len(stem) + len(pair), toxic[a + i], dtype=np.uint8))
-                    held += len(labels[-1])
+                    for sort, found in ((WORD, single), (STEM, stem), (PAIR, np.unique(_pairs(own)))):
+                        keys.append(found)
+                        sorts.append(np.full(len(found), sort, dtype=np.uint8))
+                        labels.append(np.full(len(found), toxic[a + i], dtype=np.uint8))
+                    held += len(own)
                     if held >= _FLUSH:
-                        yield flushed(keys, histories, labels)
-                        keys, histories, labels, held = [], [], [], 0
+                        yield flushed(keys, sorts, labels)
+                        keys, sorts, labels, held = [], [], [], 0
         if held:
-            yield flushed(keys, histories, labels)
+            yield flushed(keys, sorts, labels)
 
     return run
 
@@ -93,14 +97,15 @@ def _summed(parts: int):
     """Blocks of (table, cell, value) from whole counts of expressions."""
 
     def run(table: pa.Table) -> pa.Table:
-        history, key = blocks.column(table, 0, np.uint32), blocks.column(table, 1, np.uint64)
+        sort, key = blocks.column(table, 0, np.uint8), blocks.column(table, 1, np.uint64)
         counts = [blocks.column(table, c, np.uint32) for c in (2, 3)]
-        order = np.argsort(key, kind="stable")
-        key, history = key[order], history[order]
-        first = blocks.group_starts(key)
-        key, history = key[first], history[first]
-        own = (key & _MASK).astype(np.uint32)
-        single, stem = history == _SINGLE, history == _STEM
+        order = np.lexsort((key, sort))
+        key, sort = key[order], sort[order]
+        first = blocks.group_starts(key, sort)
+        key, sort = key[first], sort[first]
+        own = (np.where(sort == PAIR, _pair_cells(key), key & _MASK)).astype(np.uint32)
+        history = (key >> np.uint64(64 - CELL_BITS)).astype(np.uint32)
+        single, stem, pair = sort == WORD, sort == STEM, sort == PAIR
         tables, cells, values = [], [], []
 
         def add(name, label, cell, value):
@@ -113,7 +118,6 @@ def _summed(parts: int):
             n = np.add.reduceat(counts[label][order], first, dtype=np.float64) if len(first) else np.zeros(0)
             add(WORD, label, own[single], n[single])
             add(STEM, label, own[stem], n[stem])
-            pair = ~single & ~stem
             add(HISTORY, label, history[pair], n[pair])
             add(FREED, label, history[pair], np.minimum(n[pair], PAIR_DISCOUNT))
             add(PAIR, label, own[pair], np.maximum(n[pair] - PAIR_DISCOUNT, 0))
@@ -135,7 +139,7 @@ def _cells(table: pa.Table) -> pa.Table:
 
 def counted(train: DataFrame) -> np.ndarray:
     """The model's tables from all rows of `text`, `toxic`."""
-    parts = 4 * shuffle_tasks(train.sparkSession)
+    parts = shuffle_tasks(train.sparkSession)
     expressions = train.select("text", "toxic").mapInArrow(_expressions(parts), blocks.schema(4))
     sums = expressions.groupBy("part").applyInArrow(_summed(parts), blocks.schema(2))
     cells = sums.groupBy("part").applyInArrow(_cells, "place binary, value binary")
@@ -175,7 +179,7 @@ class Model:
         for label in (0, 1):
             p = self.word[label][cell] + self.freed * self.stem[label][stem] * part
             if len(cell) > 1:
-                history, pair = cell[:-1], (_pairs(words) & _MASK).astype(np.int64)
+                history, pair = cell[:-1], _pair_cells(_pairs(words)).astype(np.int64)
                 p[1:] = self.pair[label][pair] / self.seen[label][history] + self.back[history] * p[1:]
             logs.append(np.log(np.maximum(p, 1e-30)))
         return (logs[1] - logs[0]).astype(np.float64)
@@ -242,7 +246,8 @@ def trained(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     texts = bloom.tested(docs.select("doc_id", "text").withColumn("key", F.xxhash64("doc_id")), bloom.build(known, buckets), buckets)
     texts = texts.filter("possible").select("doc_id", "text")
 
-    tables = counted(texts.join(known.select("doc_id", "toxic"), "doc_id"))
+    # Always a shuffle join, so that the plan is the same at every size; the filter keeps it to labelled texts.
+    tables = counted(texts.join(known.select("doc_id", "toxic").hint("merge"), "doc_id"))
     model = spark.sparkContext.broadcast(Model(tables))
     order = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000))
     picked = known.filter(order < int(1_000_000 * min(1.0, sample_rows / max(1, rows))))
