@@ -471,6 +471,14 @@ SELECT coalesce(e.id, t.id) AS id
 FROM (SELECT * FROM user_event_tracking WHERE event_name IS NOT NULL AND session_id IS NOT NULL) e
 FULL JOIN (SELECT * FROM versions_target WHERE event_name IS NOT NULL AND session_id IS NOT NULL) t ON t.id = e.id
 WHERE e.id IS NULL OR t.id IS NULL OR e.{_TS} <> t.{_TS}""",
+    "dq_daily_event_counts_seeded": "SELECT event_date FROM g_daily WHERE day(event_date) % 2 = 1",
+    "dq_daily_rates_seeded": """
+SELECT * REPLACE (total_events + 1 AS total_sessions) FROM g_daily WHERE day(event_date) % 2 = 1""",
+    "dq_gold_definitions_seeded": "SELECT 'brand_pair_direction' AS failure FROM g_pairs WHERE brand_a_id < brand_b_id",
+    "dq_gold_totals_seeded": """
+SELECT 'os_sessions' AS metric, (SELECT count(DISTINCT session_id) FROM ev) AS expected,
+  (SELECT CAST(2 * sum(sessions) AS BIGINT) FROM g_os) AS actual""",
+    "dq_source_taxonomy_seeded": "SELECT 'source_os_mapping' AS failure FROM ev WHERE user_os = 'Windows'",
     "dq_daily_event_counts": """
 SELECT event_date FROM (SELECT event_date, count(*) AS n FROM ev GROUP BY event_date)
 FULL JOIN g_daily USING (event_date) WHERE n IS DISTINCT FROM total_events""",
@@ -558,6 +566,9 @@ FROM (SELECT count(*) AS raw_events, count(DISTINCT id) AS ids,
 SELECT CAST(make_timestamp(CAST(round_even(({_TS} + 25200) * 1000000, 0) AS BIGINT)) AS DATE) AS event_date, count(*) AS total_events,
   count(DISTINCT session_id) AS total_sessions
 FROM user_event_tracking WHERE event_name IS NOT NULL AND session_id IS NOT NULL GROUP BY 1""",
+    "replay_equal": """
+SELECT 'user_event_tracking' AS relation, (SELECT count(*) FROM user_event_tracking) AS rows_before,
+  (SELECT count(*) FROM versions_batch) AS rows_after""",
     "raw_range_snapshot": f"""
 SELECT count(*) AS events, max({_TS}) AS watermark,
   count(*) FILTER ({_TS} >= 1705363200 AND {_TS} < 1705622400) AS events_in_range FROM user_event_tracking""",
@@ -565,6 +576,8 @@ SELECT count(*) AS events, max({_TS}) AS watermark,
 
 _SERVING = {
     "serve_period": "SELECT * FROM g_daily WHERE event_date = DATE '2024-01-28'",
+    "serve_period_all": "SELECT * FROM g_daily WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-28'",
+    "serve_period_custom": "SELECT * FROM g_daily WHERE event_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-06'",
     "serve_filter_days": "SELECT * FROM g_daily WHERE event_date >= DATE '2024-01-22' AND event_date < DATE '2024-01-29'",
     "serve_summarize_daily": """
 SELECT * , CASE WHEN sessions_with_pageview > 0 THEN 100 * CAST(pageview_and_detail AS DOUBLE) / sessions_with_pageview END

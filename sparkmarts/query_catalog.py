@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import ChainMap
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
@@ -112,6 +113,30 @@ def cut_short(events: DataFrame) -> DataFrame:
     )
 
 
+def with_table(m: Mapping[str, DataFrame], name: str, **columns) -> Mapping[str, DataFrame]:
+    """The relations, one of them with other values in some columns: a check has to find them."""
+    return ChainMap({name: m[name].withColumns(columns)}, m)
+
+
+SEEDED = {
+    "dq_daily_event_counts": lambda m: with_table(
+        m, "gold_daily_site_kpis", total_events=F.col("total_events") + F.dayofmonth("event_date") % 2
+    ),
+    "dq_daily_rates": lambda m: with_table(
+        m,
+        "gold_daily_site_kpis",
+        total_sessions=F.when(F.dayofmonth("event_date") % 2 == 1, F.col("total_events") + 1).otherwise(F.col("total_sessions")),
+    ),
+    "dq_gold_definitions": lambda m: with_table(
+        m, "gold_brand_comparison", brand_a_id=F.col("brand_b_id"), brand_b_id=F.col("brand_a_id")
+    ),
+    "dq_gold_totals": lambda m: with_table(m, "gold_user_os", sessions=F.col("sessions") * 2),
+    "dq_source_taxonomy": lambda m: with_table(
+        m, "silver_user_event_tracking", user_os=F.when(F.col("user_os") != "Windows", F.col("user_os"))
+    ),
+}
+
+
 # ---------------------------------------------------------------- registration
 
 
@@ -197,7 +222,14 @@ def _quality() -> dict[str, Query]:
         quality.dq_daily_event_counts, quality.dq_daily_rates, quality.dq_gold_definitions, quality.gold_totals,
         quality.dq_gold_totals, quality.dq_raw_to_silver, quality.dq_source_taxonomy,
     )
-    return {**generic, **{check.__name__: _over_marts(check) for check in relation_checks}}
+    plain = {check.__name__: _over_marts(check) for check in relation_checks}
+    seeded = {f"{name}_seeded": _seeded(name) for name in SEEDED}
+    return {**generic, **plain, **seeded}
+
+
+def _seeded(name: str) -> Query:
+    check = getattr(quality, name)
+    return _over_marts(lambda m: check(SEEDED[name](m)))
 
 
 def _reconciliation() -> dict[str, Query]:
@@ -211,14 +243,26 @@ def _reconciliation() -> dict[str, Query]:
         "reconcile_report": _over_marts(reconcile.reconcile_report),
         "independent_daily": _over_marts(reconcile.independent_daily),
         "raw_range_snapshot": _over_marts(lambda m: reconcile.raw_range_snapshot(m, *RANGE)),
+        "replay_equal": _over_marts(
+            lambda m: reconcile.replay_equal(
+                reconcile.row_counts(m, (EVENTS, "brand")),
+                reconcile.row_counts(ChainMap({EVENTS: versions_batch(m[EVENTS])}, m), (EVENTS, "brand")),
+            )
+        ),
         "layer_snapshot": _over_marts(reconcile.layer_snapshot),
     }
 
 
+def _period(name: str, **known) -> Query:
+    return _over_marts(lambda m: serve.serve_filter_days(m["gold_daily_site_kpis"], *serve.serve_period(name, TODAY, **known)))
+
+
 def _serving() -> dict[str, Query]:
     week = serve.serve_period("Last 7 days", TODAY)
     return {
-        "serve_period": _over_marts(lambda m: serve.serve_filter_days(m["gold_daily_site_kpis"], TODAY, TODAY)),
+        "serve_period": _period("Today"),
+        "serve_period_all": _period("All available", first_day=date(2024, 1, 10), last_day=date(2024, 1, 20)),
+        "serve_period_custom": _period("Custom", custom=(date(2024, 1, 3), date(2024, 1, 6))),
         "serve_filter_days": _over_marts(lambda m: serve.serve_filter_days(m["gold_daily_site_kpis"], *week)),
         "serve_summarize_daily": _over_marts(
             lambda m: serve.serve_summarize_daily(serve.serve_filter_days(m["gold_daily_site_kpis"], *week))

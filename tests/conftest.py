@@ -13,7 +13,7 @@ from sparkmarts.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("8", app="sparkmarts-tests")
+    session = local_session(os.environ.get("TEST_CPUS", "8"), app="sparkmarts-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
