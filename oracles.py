@@ -458,10 +458,11 @@ WHERE laptop_model_id NOT IN (SELECT laptop_model_id FROM s_bench) GROUP BY lapt
 SELECT event_name AS value, count(*) AS n_rows FROM user_event_tracking
 WHERE event_name NOT IN ('pageview', 'click') GROUP BY event_name""",
     "dq_freshness": f"""
-SELECT make_timestamp(CAST(round_even((newest - 946684800) * 1000000, 0) AS BIGINT) + 946684800000000) AS latest_at, age AS age_hours,
-  CASE WHEN age > 48 THEN 'error' WHEN age > 24 THEN 'warn' ELSE 'pass' END AS status
-FROM (SELECT newest, (epoch(TIMESTAMP '2024-01-31 12:00:00') - newest) / 3600 AS age
-      FROM (SELECT max({_TS}) AS newest FROM user_event_tracking))""",
+SELECT latest_at, age AS age_hours, CASE WHEN age > 48 THEN 'error' WHEN age > 24 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT latest_at,
+        CAST(epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(latest_at) AS DOUBLE) / 1e6 / 3600 AS age
+      FROM (SELECT make_timestamp(CAST(round_even((max({_TS}) - 946684800) * 1000000, 0) AS BIGINT) + 946684800000000)
+              AS latest_at FROM user_event_tracking))""",
     "json_valid": """
 SELECT id FROM (SELECT id, CASE WHEN session_id IS NULL THEN left(event_data, -1) ELSE event_data END AS event_data, device
                 FROM user_event_tracking)
@@ -596,7 +597,7 @@ FROM (SELECT CAST(coalesce(sum(total_events), 0) AS BIGINT) AS total_events,
   FROM g_daily WHERE event_date BETWEEN DATE '2024-01-22' AND DATE '2024-01-28')""",
     "serve_recency": """
 SELECT latest_at, age AS age_hours, CASE WHEN age > 48 THEN 'error' WHEN age > 24 THEN 'warn' ELSE 'pass' END AS status
-FROM (SELECT latest_at, (epoch(TIMESTAMP '2024-01-31 12:00:00') - epoch(latest_at)) / 3600 AS age
+FROM (SELECT latest_at, CAST(epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(latest_at) AS DOUBLE) / 1e6 / 3600 AS age
       FROM (SELECT max(latest_event_at) AS latest_at FROM g_daily))""",
     "top_brands": "SELECT * FROM g_brand QUALIFY row_number() OVER (ORDER BY total_views DESC, brand_name) <= 10",
     "brand_share": """
