@@ -149,9 +149,18 @@ def candidates(postings: DataFrame, trigrams: list[str], clauses: list[tuple[int
 # ---------------------------------------------------------------- verification
 
 
+def _searched(rule: Rule) -> str:
+    """What is searched for. Whole runs of one class are asked for in their least length at once: the same matches
+    without the many short ones that would be dropped."""
+    flag = "(?i)" if rule.ignore_case else ""
+    if rule.least and not rule.group and re.fullmatch(r"\[[^\]]+\]\+", rule.pattern):
+        return f"{flag}{rule.pattern[:-1]}{{{rule.least},}}"
+    return flag + rule.pattern
+
+
 def _spans(text: Column, place: int, rule: Rule) -> Column:
     """The rule's matches as (start, place, end), from the pieces of text between them."""
-    pattern = ("(?i)" if rule.ignore_case else "") + rule.pattern
+    pattern = _searched(rule)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
     steps = F.zip_with(between, found, lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("match")))
@@ -192,10 +201,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", i
         if query:
             possible = F.col("rules").bitwiseAND(F.lit(1 << place)) != 0
         else:
-            long_run = rule.pattern[:-1] + f"{{{rule.least}}}" if rule.pattern.endswith("]+") and rule.least and not rule.group else rule.pattern
-            possible = F.col("text").rlike(("(?i)" if rule.ignore_case else "") + long_run)
+            possible = F.col("text").rlike(_searched(rule))
         found.append(F.when(possible, _spans(F.col("text"), place, rule)).otherwise(none))
-    return keyed.select("row", F.array_sort(F.concat(*found)).alias("spans"))
+    # Exploding an array of one keeps later projections from taking the expression in, once for each use.
+    spans = F.explode(F.array(F.array_sort(F.concat(*found))))
+    return keyed.select("row", spans.alias("spans"))
 
 
 def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BASE)) -> DataFrame:
