@@ -23,7 +23,7 @@ K, S, KEPT = 4, 2, 64
 
 
 def _short(hash: Column) -> Column:
-    return F.shiftrightunsigned(hash, 32)
+    return F.shiftrightunsigned(hash, 32)  # a hash of 32 bits leaves room for the place in one number
 
 
 def _words(text: Column) -> Column:
@@ -44,55 +44,66 @@ def _runs(words: Column, length: int) -> Column:
     return F.filter(out, lambda h: h.isNotNull())
 
 
+def _computed(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that later expressions read instead of taking it in: inside a lambda it would be computed
+    again for every element. Exploding an array of one is what Spark does not merge with other projections."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def with_anchors(rows: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
-    """Adds `out`: the anchors of the text column as ordered structs (hash, place)."""
-    rows = rows.withColumn("_w", _words(whole_text(text)))
-    rows = rows.withColumn("_s", _runs(F.col("_w"), s)).withColumn("_k", _runs(F.col("_w"), k))
+    """Adds `out`: the anchors of the text column in order, each as hash * 2^31 + place."""
+    rows = _computed(rows, "_w", _words(whole_text(text)))
+    rows = _computed(rows, "_s", _runs(F.col("_w"), s))
     inner = k - s + 1
-    least, last = F.col("_s"), _from(F.col("_s"), inner - 1)
-    for step in range(1, inner):
-        least = F.zip_with(least, _from(F.col("_s"), step), lambda a, b: F.least(a, b))
-    rows = rows.withColumn("_min", least)
-    edge = F.zip_with(F.zip_with(F.col("_s"), last, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), F.col("_min"), lambda e, m: (e["a"] == m) | (e["b"] == m))
-    rows = rows.withColumn("_edge", edge)
-    picked = F.zip_with(F.col("_k"), F.col("_edge"), lambda h, e: F.when(e, h))
-    placed = F.transform(picked, lambda h, i: F.struct(_short(h).alias("hash"), i.alias("place")))
-    found = F.filter(placed, lambda x: x["hash"].isNotNull())
-    short = F.when(F.size("_w") > 0, F.array(F.struct(_short(F.xxhash64(F.col("_w"))).alias("hash"), F.lit(0).alias("place"))))
-    anchors = F.when(F.size("_k") > 0, found).otherwise(F.coalesce(short, F.slice(found, 1, 0)))
-    return rows.withColumn(out, anchors).drop("_w", "_s", "_k", "_min", "_edge")
-
-
-def fingerprint(anchors: Column, kept: int = KEPT) -> Column:
-    """The smallest distinct hashes, each with its first place."""
-    hashes = F.transform(anchors, lambda x: x["hash"])
-    least = F.slice(F.array_sort(F.array_distinct(hashes)), 1, kept)
-    place = lambda h: F.get(anchors, (F.array_position(hashes, h) - 1).cast("int"))["place"]
-    return F.transform(least, lambda h: F.struct(h.alias("hash"), place(h).alias("place")))
+
+    def anchor(first: Column, i: Column) -> Column:
+        run = F.slice("_s", i + 1, inner)
+        least = F.array_min(run)
+        edge = (least == first) | (least == F.get("_s", i + (inner - 1)))
+        return F.when((i + inner <= F.size("_s")) & edge, _packed(F.xxhash64(run), i))
+
+    found = F.filter(F.transform("_s", anchor), lambda x: x.isNotNull())
+    short = F.when(F.size("_w") > 0, F.array(_packed(F.xxhash64("_w"), F.lit(0)))).otherwise(F.slice(found, 1, 0))
+    return _computed(rows, out, F.when(F.size("_w") >= k, found).otherwise(short)).drop("_w", "_s")
+
+
+def _packed(hash: Column, place: Column) -> Column:
+    return F.shiftleft(_short(hash), 31) + place
+
+
+def _hash(anchor: Column) -> Column:
+    return F.shiftright(anchor, 31)
+
+
+def _place(anchor: Column) -> Column:
+    return anchor.bitwiseAND(F.lit(2**31 - 1))
+
+
+def with_fingerprint(rows: DataFrame, text: str, out: str, kept: int = KEPT) -> DataFrame:
+    """Adds `out`: the anchors with the smallest distinct hashes, each in its first place."""
+    rows = with_anchors(rows, text, "_anchors")
+    rows = _computed(rows, "_sorted", F.sort_array("_anchors"))
+    new = F.filter("_sorted", lambda x, i: (i == 0) | (_hash(F.get("_sorted", i - 1)) != _hash(x)))
+    return _computed(rows, out, F.slice(new, 1, kept)).drop("_anchors", "_sorted")
 
 
 def likeness(one: Column, two: Column, kept: int = KEPT) -> Column:
     """The share of common hashes among the smallest of both fingerprints."""
-    a, b = (F.transform(f, lambda x: x["hash"]) for f in (one, two))
-    least = F.slice(F.array_sort(F.array_union(a, b)), 1, kept)
+    a, b = (F.transform(f, _hash) for f in (one, two))
+    least = F.slice(F.sort_array(F.array_union(a, b)), 1, kept)
     common = F.size(F.array_intersect(F.array_intersect(least, a), b))
     return F.when(F.size(least) == 0, F.lit(1.0)).otherwise(common / F.size(least))
 
 
 def shift(one: Column, two: Column) -> Column:
     """How many words later the common anchors stand in the second text (the middle one of the differences); null without any."""
-    at = F.map_from_entries(F.transform(two, lambda x: F.struct(x["hash"], x["place"])))
-    moved = F.filter(F.transform(one, lambda x: F.try_element_at(at, x["hash"]) - x["place"]), lambda d: d.isNotNull())
-    return F.get(F.array_sort(moved), F.floor(F.size(moved) / 2).cast("int"))
+    at = F.map_from_entries(F.transform(two, lambda x: F.struct(_hash(x), _place(x))))
+    moved = F.filter(F.transform(one, lambda x: F.try_element_at(at, _hash(x)) - _place(x)), lambda d: d.isNotNull())
+    return F.get(F.sort_array(moved), F.floor(F.size(moved) / 2).cast("int"))
 
 
 def shown(print: Column) -> Column:
-    return F.array_join(F.transform(print, lambda x: F.concat(F.lpad(F.lower(F.hex(x["hash"])), 8, "0"), F.lit("@"), x["place"])), " ")
-
-
-def with_fingerprint(rows: DataFrame, text: str, out: str) -> DataFrame:
-    anchored = with_anchors(rows, text, "_anchors")
-    return anchored.withColumn(out, fingerprint(F.col("_anchors"))).drop("_anchors")
+    return F.array_join(F.transform(print, lambda x: F.concat(F.lpad(F.lower(F.hex(_hash(x))), 8, "0"), F.lit("@"), _place(x))), " ")
 
 
 # ---------------------------------------------------------------- each document and the next one

@@ -188,13 +188,25 @@ def test_next_of_all_rows_and_of_none(odd_rows, no_rows):
 def test_anchors_are_closed_syncmers(spark):
     text = odd.prose(9, 300)
     row = syncmers.with_anchors(odd.of(spark, [text]), "text", "a", 6, 3)
-    runs = row.select(syncmers._runs(syncmers._words(F.col("text")), 3).alias("s"), syncmers._runs(syncmers._words(F.col("text")), 6).alias("k"), "a").first()
+    inner = syncmers._runs(syncmers._words(F.col("text")), 3)
+    hashes = F.transform(F.sequence(F.lit(1), F.size(inner) - 3), lambda i: F.xxhash64(F.slice(inner, i, 4)))
+    r = row.select(inner.alias("s"), hashes.alias("k"), "a").first()
     expected = []
-    for i, k in enumerate(runs["k"]):
-        inner = runs["s"][i : i + 4]
-        if min(inner) in (inner[0], inner[-1]):
-            expected.append(((k & (2**64 - 1)) >> 32, i))
-    assert [(x["hash"], x["place"]) for x in row.first()["a"]] == expected
+    for i, k in enumerate(r["k"]):
+        window = r["s"][i : i + 4]
+        if min(window) in (window[0], window[-1]):
+            expected.append((((k & (2**64 - 1)) >> 32) << 31) + i)
+    assert r["a"] == expected and 100 < len(expected) < 200
+
+
+def test_fingerprints_keep_the_first_place(spark):
+    base = odd.prose(13, 40)
+    df = syncmers.with_anchors(odd.of(spark, [f"{base} {base}"]), "text", "a")
+    r = syncmers.with_fingerprint(df, "text", "p", 10_000).first()
+    first = {}
+    for x in r["a"]:
+        first.setdefault(x >> 31, x & (2**31 - 1))
+    assert [(x >> 31, x & (2**31 - 1)) for x in r["p"]] == sorted(first.items())
 
 
 def test_likeness(spark):
