@@ -13,7 +13,8 @@ a set of n shingles can miss at most s = n - ceil(t n) of them in a partner. Eve
 3. Lists are scanned without listing their pairs: each has a pivot (the member made most of shared shingles)
    and every set is verified against the pivot it meets most often. Sets so linked are one component. This is
    repeated with other pivots while lists still hold many sets of different components; then the remaining
-   pairs of different components, and only they, are verified one by one. Every pair that could link two
+   pairs of different components, and only they, are verified one by one. Pairs whose sizes, or whose numbers of
+   shingles from the common one on, rule a link out are not formed. Every pair that could link two
    components is therefore verified or implied, and the components are exact.
 
 Defined cases: null, empty and blank texts have empty sets and link with nothing; fewer than k words make one
@@ -39,7 +40,7 @@ from .components import components
 WORDS, PERCENT = 5, 80
 SLICE = np.uint64(62)  # the first count takes hashes whose top two bits are 0
 MOST_SMALL = 16  # above this size subsets never cost less than lists
-ROUNDS = 4  # of pivots, before the remaining pairs are listed
+ROUNDS = 2  # of pivots, before the remaining pairs are listed
 _FLUSH = 1 << 20
 
 
@@ -181,6 +182,7 @@ def _prefixes(percent: int):
                 "key": pa.array(h[keep].view(np.int64)),
                 "sid": pa.array(s[keep]),
                 "n": pa.array(n[keep]),
+                "rest": pa.array((n - alone - place)[keep]),
                 "df": pa.array(df[keep]),
                 "typical": pa.array(typical[keep]),
             }
@@ -230,14 +232,21 @@ def _verified(percent: int):
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    members = sets.select("sid", "members")
-    with_left = pairs.join(members.withColumnsRenamed({"sid": "a", "members": "left"}), "a")
+    """The pairs that are alike enough. Only sets that stand in a pair are shuffled, and at every size by the same plan."""
+    pairs = written(pairs)
+    named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).select(F.xxhash64("sid").alias("key"))
+    buckets = bloom.buckets_for(2 * pairs.count())
+    keyed = sets.select("sid", "members", F.xxhash64("sid").alias("key"))
+    members = bloom.tested(keyed, bloom.build(named, buckets), buckets).filter("possible").select("sid", "members")
+    with_left = pairs.hint("merge").join(members.withColumnsRenamed({"sid": "a", "members": "left"}), "a")
     both = with_left.join(members.withColumnsRenamed({"sid": "b", "members": "right"}), "b")
     return both.select("a", "b", "left", "right").mapInArrow(_verified(percent), "a long, b long")
 
 
 def _in_reach(a: str, b: str, percent: int):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    """Whether two sets whose first common shingle this is can be alike enough: it and what follows must suffice."""
+    n, m, rest = F.col(f"{a}n"), F.col(f"{b}n"), F.least(f"{a}rest", f"{b}rest")
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (rest * (100 + percent) >= (n + m) * percent)
 
 
 def _small_boundary(sets: DataFrame, lists: DataFrame, percent: int) -> int:
@@ -254,49 +263,44 @@ def _small_boundary(sets: DataFrame, lists: DataFrame, percent: int) -> int:
 
 
 def set_components(sets: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """`node`, `root` of the linked sets; `lists` has (key, sid, n, typical)."""
+    """`node`, `root` of the linked sets; `lists` has (key, sid, n, rest, typical)."""
     spark = sets.sparkSession
     edges = spark.createDataFrame([], "a long, b long")
-    tried = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
     for round in range(ROUNDS + 1):
-        placed = lists.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
-            "root", F.coalesce("root", "sid")
-        )
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        lists_now = written(placed.join(mixed.select("key"), "key", "left_semi"))
-        inside = lists_now.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key")
-        cost = inside.agg((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))).alias("pairs"), F.sum("m").alias("m"))
-        pairs, postings = cost.agg(F.coalesce(F.sum("pairs"), F.lit(0)) / 2, F.coalesce(F.sum("m"), F.lit(0))).first()
+        placed = lists.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+        placed = placed.withColumn("root", F.coalesce("root", "sid"))
+        inside = placed.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key")
+        mixed = inside.agg(F.sum("m").alias("m"), (F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))).alias("pairs"))
+        mixed = written(mixed.filter("pairs > 0"))
+        pairs, postings = mixed.agg(F.coalesce(F.sum("pairs"), F.lit(0)) / 2, F.coalesce(F.sum("m"), F.lit(0))).first()
         if not postings:
-            break
+            return roots
+        lists_now = written(placed.join(mixed.select("key"), "key", "left_semi"))
         if round == ROUNDS or (round and pairs <= 2 * postings):
             break
-        score = F.struct("typical", "sid") if round == 0 else F.struct(F.xxhash64("root", F.lit(round)), F.xxhash64("sid", F.lit(round)))
-        pivots = lists_now.groupBy("key").agg(F.max_by(F.struct("sid", "n", "root"), score).alias("pivot"))
-        met = lists_now.join(pivots, "key").filter((F.col("root") != F.col("pivot.root")) & _in_reach("n", "pivot.n", percent))
+        own = F.xxhash64("sid", F.lit(round))
+        score = F.struct("typical", own) if round == 0 else F.struct(F.xxhash64("root", F.lit(round)), own)
+        pivots = lists_now.groupBy("key").agg(F.max_by(F.struct("sid", "n", "rest", "root"), score).alias("pivot"))
+        met = lists_now.alias("x").join(pivots, "key").filter((F.col("root") != F.col("pivot.root")) & _in_reach("x.", "pivot.", percent))
         met = met.groupBy("sid", F.col("pivot.sid").alias("pivot")).agg(F.count("*").alias("times"))
         best = met.groupBy("sid").agg(F.max_by("pivot", F.struct("times", "pivot")).alias("pivot"))
         chosen = best.select(F.greatest("sid", "pivot").alias("a"), F.least("sid", "pivot").alias("b")).distinct()
-        chosen = written(chosen.join(tried, ["a", "b"], "left_anti"))
-        tried = tried.unionByName(chosen)
         edges = edges.unionByName(written(_links(chosen, sets, percent)))
         roots = written(components(edges))
-    if postings:
-        one, two = lists_now.alias("x"), lists_now.alias("y")
-        rest = one.join(two, "key").filter(
-            (F.col("x.sid") > F.col("y.sid")) & (F.col("x.root") != F.col("y.root")) & _in_reach("x.n", "y.n", percent)
-        )
-        rest = rest.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-        edges = edges.unionByName(written(_links(rest, sets, percent)))
-        roots = components(edges)
-    return roots
+        lists = lists_now.drop("root")
+    one, two = lists_now.alias("x"), lists_now.alias("y")
+    rest = one.join(two, "key").filter(
+        (F.col("x.sid") > F.col("y.sid")) & (F.col("x.root") != F.col("y.root")) & _in_reach("x.", "y.", percent)
+    )
+    rest = rest.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
+    return components(edges.unionByName(written(_links(rest, sets, percent))))
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", id: str = "doc_id") -> DataFrame:
     """Per input row: doc_id, n_shingles, component_id (the smallest doc_id that links reach), sid (the set)."""
     spark = docs.sparkSession
-    parts = 4 * shuffle_tasks(spark)
+    parts = shuffle_tasks(spark)
     read = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = written(read.mapInArrow(_summaries(words), "doc_id long, n long, sid long, n_slice long"))
     classes = rows.filter("n > 0").groupBy("sid", "n", "n_slice").agg(F.min("doc_id").alias("low"))
@@ -320,12 +324,12 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
 
     postings = sets.mapInArrow(_all_postings(parts), blocks.schema(3))
     by_set = postings.groupBy("part").applyInArrow(_shared(parts), blocks.schema(4))
-    lists = by_set.groupBy("part").applyInArrow(_prefixes(percent), "key long, sid long, n long, df long, typical double")
+    lists = by_set.groupBy("part").applyInArrow(_prefixes(percent), "key long, sid long, n long, rest long, df long, typical double")
     lists = written(lists)
     small = _small_boundary(sets, lists, percent)
     keys = sets.filter(F.col("n") <= small).mapInArrow(_subset_keys(percent), "key long, sid long, n long")
     sides = lists.filter(F.col("n") * 100 > small * percent).drop("df")
-    roots = set_components(sets, sides.unionByName(keys.withColumn("typical", F.lit(0.0))), percent)
+    roots = set_components(sets, sides.unionByName(keys.withColumn("rest", F.col("n")).withColumn("typical", F.lit(0.0))), percent)
 
     of_class = classes.select("sid", "low").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
     of_class = of_class.withColumn("root", F.coalesce("root", "sid"))
