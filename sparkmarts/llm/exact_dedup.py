@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import SPACE, carried, whole_text
+from .common import SPACE, carried, whole_text, written
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(text, SPACE, "")
@@ -44,6 +44,7 @@ def groups(docs: DataFrame, text: str = "text", id: str = "doc_id", carry: list[
     best = possible.groupBy("sha").agg(
         F.max_by(F.struct("id", "place"), rank).alias("best"), F.count("*").alias("group_size")
     )
+    best = written(best)  # a row per text; as a stored table, its join can be split where one text has many copies
     grouped = possible.join(best, "sha").select(
         "row", F.col("best.id").alias("keep_id"), "group_size", (F.col("place") == F.col("best.place")).alias("kept"), "sha"
     )
