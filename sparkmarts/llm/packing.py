@@ -27,7 +27,7 @@ from .common import whole_text, written
 SEQUENCE, END_ID = 1024, 2
 PARTITION_PIECES = 65_536
 MOST_ROUNDS = 4
-_CHUNK = 1 << 21  # characters encoded at a time
+_CHUNK = 1 << 20  # characters encoded at a time
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long, loose boolean"
 
