@@ -109,6 +109,31 @@ def test_registered_passages_cover_repeated_windows(spark, documents):
     assert total and missed <= 0.02 * total
 
 
+@pytest.mark.parametrize("families", [4, 40])
+def test_passages_with_planted_edits(spark, families):
+    """Passages of 60 to 200 words with every 5th to 12th word replaced, so 80 to 92 % equal, at two corpus sizes."""
+    texts, places = [], []
+    for n in range(families):
+        length, step = ((60, 12), (100, 10), (100, 8), (200, 8), (200, 6), (60, 5), (100, 5))[n % 7]
+        plain = odd.prose(5000 + n, length)
+        for copy, inner in enumerate((plain, odd.edited(plain, *range(step - 1, length, step)))):
+            before = odd.prose(6000 + 2 * n + copy, 30 + n % 11)
+            places.append((30 + n % 11, 30 + n % 11 + length))
+            texts.append(f"{before} {inner} {odd.prose(8000 + 2 * n + copy, 30)}")
+    found = {r["row"]["doc_id"]: r["passages"] for r in passages.mark(odd.of(spark, texts)).collect()}
+    assert [i for i, place in enumerate(places) if covered(found[i], *place) < 0.9] == []
+
+
+def test_passage_whose_seeds_begin_elsewhere(spark):
+    """Every run of 8 words of the passage occurs in an earlier document of its own, out of context."""
+    passage = odd.prose(5500, 80).split()
+    pieces = [" ".join([odd.prose(5600 + i, 40), *passage[i : i + 8], odd.prose(5700 + i, 40)]) for i in range(0, 77, 4)]
+    texts = [*pieces, *(f"{odd.prose(5800 + i, 30)} {' '.join(passage)} {odd.prose(5810 + i, 30)}" for i in range(2))]
+    found = {r["row"]["doc_id"]: r["passages"] for r in passages.mark(odd.of(spark, texts)).collect()}
+    assert all(covered(found[len(pieces) + i], 30, 110) > 0.9 for i in range(2))
+    assert not any(found[i] for i in range(len(pieces)))
+
+
 # ---------------------------------------------------------------- packing
 
 
