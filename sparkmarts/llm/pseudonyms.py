@@ -10,7 +10,9 @@ value stays as it was, and the key holder can undo it (`reveal`).
 Documents are independent, so nothing is shuffled; a task holds one batch of texts.
 
 Defined cases: null text stays null with no values; empty texts have none; where forms overlap, the one that
-begins first counts, then the order below; numbers that fail validation are left alone; repeated rows get equal
+begins first counts, then the order below; numbers that fail validation are left alone, but a shorter form that ends at a space inside them, another kind at
+the same place and values that begin further on inside them are tried (where a failed number overlaps a value, the pseudonym may make
+it pass, and `reveal` then reads it otherwise); an IBAN has its country's length first; repeated rows get equal
 results; an empty table gives no rows.
 """
 
@@ -212,6 +214,16 @@ def _date(form: str, move: Move) -> str | None:
     return form[4 if order == (0, 1, 2) else 2].join(text)
 
 
+#: Signs of an IBAN by country, without spaces.
+IBAN_LENGTHS = {
+    pair[:2]: int(pair[2:])
+    for pair in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 "
+        "GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 "
+        "MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 "
+        "TN24 TR26 UA29 VA22 VG24 XK20"
+    ).split()
+}
 _OCTET = r"\d{1,3}"
 #: Kinds in the order in which they are tried at a place.
 KINDS: dict[str, tuple[str, Callable[[str, Move], str | None]]] = {
@@ -231,27 +243,76 @@ _SOME = re.compile(r"\d[\d(). /-]{5}|[A-Z]{2}\d{2} ?[A-Z0-9]{4}")
 _VALUES = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, (pattern, _) in KINDS.items()))
 
 
+_KINDS = {kind: re.compile(pattern) for kind, (pattern, _) in KINDS.items()}
+
+
+def _shorter(pattern: re.Pattern, text: str, start: int, end: int) -> re.Match | None:
+    """The longest match at a place that ends before `end`, at the end of a word; what follows it still counts as context."""
+    for last in range(end - 1, start + 6, -1):
+        if text[last] == " ":
+            # A space ends the form: what is behind it is another word.
+            match = pattern.match(text, start, last)
+            if match and match.end() == last:
+                return match
+    return None
+
+
+def _of_country(pattern: re.Pattern, text: str, start: int) -> re.Match | None:
+    """The match at a place with the length that its country's IBANs have."""
+    left, end = IBAN_LENGTHS.get(text[start : start + 2], 0), start
+    while left and end < len(text):
+        left -= text[end] != " "
+        end += 1
+    match = pattern.match(text, start, end) if end > start and not left and not text[end : end + 1].isalnum() else None
+    return match if match and match.end() == end else None
+
+
 def _replaced(text: str, key: bytes, step: int) -> tuple[str, list[str]]:
     def move(domain: str, size: int, x: int) -> int:
         return permutation(key, domain, size).moved(x, step)
 
     found: list[str] = []
 
-    def other(match: re.Match) -> str:
-        kind = next(k for k in KINDS if match[k] is not None) if match.re is _VALUES else "email"
-        new = KINDS[kind][1](match[0], move) if kind in KINDS else _email(match[0], move)
-        if new is None:
-            return match[0]
-        found.append(kind)
-        return new
+    def valid_at(part: str, start: int) -> tuple[str, str, int] | None:
+        """Kind, pseudonym and end of the first valid value at a place: each kind in order, its longest form first."""
+        for kind, pattern in _KINDS.items():
+            match = pattern.match(part, start)
+            own = match and kind == "iban" and _of_country(pattern, part, start)
+            if own and (new := _iban(own[0], move)) is not None:
+                return kind, new, own.end()
+            while match:
+                new = KINDS[kind][1](match[0], move)
+                if new is not None:
+                    return kind, new, match.end()
+                match = _shorter(pattern, part, start, match.end())
+        return None
+
+    def without_values(part: str) -> str:
+        if not _SOME.search(part):
+            return part
+        out, last, match = [], 0, _VALUES.search(part)
+        while match:
+            start = match.start()
+            value = valid_at(part, start)
+            if value:
+                kind, new, end = value
+                found.append(kind)
+                out += [part[last:start], new]
+                last = end
+            # What fails is no value: the next may begin inside it.
+            match = _VALUES.search(part, value[2] if value else start + 1)
+        return "".join([*out, part[last:]])
 
     pieces, last = [], 0
     for mail in _EMAIL.finditer(text) if "@" in text else ():
-        before = text[last : mail.start()]
-        pieces += [_VALUES.sub(other, before) if _SOME.search(before) else before, other(mail)]
+        new = _email(mail[0], move)
+        if new is None:
+            continue  # its text is searched for the other kinds
+        pieces.append(without_values(text[last : mail.start()]))
+        found.append("email")
+        pieces.append(new)
         last = mail.end()
-    rest = text[last:]
-    pieces.append(_VALUES.sub(other, rest) if _SOME.search(rest) else rest)
+    pieces.append(without_values(text[last:]))
     return "".join(pieces), found
 
 

@@ -232,3 +232,20 @@ def test_registered_queries(spark, documents):
     nearer = [r["near_edited"] > r["near_next"] for r in found]
     assert sum(nearer) / len(nearer) > 0.95
     assert queries.op4_pseudonyms(spark, documents).count() == len(rows)
+
+
+@pytest.mark.parametrize(
+    ("text", "value", "kind"),
+    [
+        ("BE68 5390 0754 7034 BIC GEBABEBB", "BE68 5390 0754 7034", "iban"),
+        ("ES91 2100 0418 4502 0005 1332 EUR", "ES91 2100 0418 4502 0005 1332", "iban"),
+        ("NO12 4111 1111 1111 1111", "4111 1111 1111 1111", "card"),
+        ("4111 1111 1111 1112 4111 1111 1111 1111.", "4111 1111 1111 1111", "card"),
+    ],
+)
+def test_values_inside_failed_candidates(text, value, kind):
+    new, found = pseudonyms._replaced(text, b"some key", 1)
+    start = text.index(value)
+    assert found == [kind] and value not in new and len(new) == len(text)
+    assert new[:start] == text[:start] and new[start + len(value) :] == text[start + len(value) :]
+    assert pseudonyms._replaced(new, b"some key", -1) == (text, [kind])
