@@ -578,6 +578,9 @@ SELECT count(*) AS events, max({_TS}) AS watermark,
 _SERVING = {
     "serve_period": "SELECT * FROM g_daily WHERE event_date = DATE '2024-01-28'",
     "serve_period_all": "SELECT * FROM g_daily WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-28'",
+    "serve_period_available": """
+SELECT * FROM g_daily WHERE event_date BETWEEN (SELECT min(event_date) FROM g_daily)
+  AND (SELECT greatest(DATE '2024-01-28', max(event_date)) FROM g_daily)""",
     "serve_period_custom": "SELECT * FROM g_daily WHERE event_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-06'",
     "serve_filter_days": "SELECT * FROM g_daily WHERE event_date >= DATE '2024-01-22' AND event_date < DATE '2024-01-29'",
     "serve_summarize_daily": """

@@ -90,6 +90,11 @@ def versions_target(events: DataFrame) -> DataFrame:
     return events.filter(F.col(EVENT_TS) < MID_MONTH).withColumn(EVENT_TS, F.col(EVENT_TS) + shift)
 
 
+def blank_clicks(events: DataFrame) -> DataFrame:
+    """All events once, the clicks with another payload at the same instant."""
+    return events.withColumn("event_data", F.when(F.col("event_name") == "click", "{}").otherwise(F.col("event_data")))
+
+
 def contested(events: DataFrame) -> DataFrame:
     """All events, and the searches a second time with another payload at the same instant."""
     return events.unionByName(changed(named(events, "search_for_device"), blank=True))
@@ -187,7 +192,7 @@ def _ingestion() -> dict[str, Query]:
         ),
         "upsert_counts": _over_events(lambda e: versions.upsert_counts(versions_batch(e), versions_target(e))),
         "upsert_conflicts": _over_events(
-            lambda e: versions.upsert_conflicts(changed(named(e, "click"), blank=True), versions_target(e))
+            lambda e: versions.upsert_conflicts(blank_clicks(e), versions_target(e))
         ),
         "silver_incremental": _over_events(
             lambda e: pipeline.silver_incremental(
@@ -257,11 +262,18 @@ def _period(name: str, **known) -> Query:
     return _over_marts(lambda m: serve.serve_filter_days(m["gold_daily_site_kpis"], *serve.serve_period(name, TODAY, **known)))
 
 
+def available_days(daily: DataFrame) -> DataFrame:
+    """The period "All available" over the days that there are."""
+    first, last = daily.agg(F.min("event_date"), F.max("event_date")).first()
+    return serve.serve_filter_days(daily, *serve.serve_period("All available", TODAY, first_day=first, last_day=last))
+
+
 def _serving() -> dict[str, Query]:
     week = serve.serve_period("Last 7 days", TODAY)
     return {
         "serve_period": _period("Today"),
         "serve_period_all": _period("All available", first_day=date(2024, 1, 10), last_day=date(2024, 1, 20)),
+        "serve_period_available": _over_marts(lambda m: available_days(m["gold_daily_site_kpis"])),
         "serve_period_custom": _period("Custom", custom=(date(2024, 1, 3), date(2024, 1, 6))),
         "serve_filter_days": _over_marts(lambda m: serve.serve_filter_days(m["gold_daily_site_kpis"], *week)),
         "serve_summarize_daily": _over_marts(

@@ -39,3 +39,16 @@ def test_entry(spark):
 def test_layer_snapshot(spark):
     rows = QUERIES["layer_snapshot"](spark, SF_DIR).collect()
     assert [r["relation"] for r in rows] == ["user_event_tracking", "silver_user_event_tracking", "gold_daily_site_kpis"]
+
+
+def test_available_period_has_every_day(spark):
+    days = QUERIES["serve_period_available"](spark, SF_DIR).select("event_date")
+    daily = QUERIES["gold_daily_site_kpis"](spark, SF_DIR).select("event_date")
+    assert sorted(days.collect()) == sorted(daily.collect())
+
+
+def test_conflict_batch_is_whole(spark):
+    events = query_catalog.marts(spark, SF_DIR)[query_catalog.EVENTS]
+    batch = query_catalog.blank_clicks(events)
+    assert batch.count() == events.count()
+    assert batch.select("id", "event_name").exceptAll(events.select("id", "event_name")).isEmpty()
