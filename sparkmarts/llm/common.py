@@ -23,6 +23,12 @@ def carried(docs: DataFrame, columns: list[str] | None = None) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)))
 
 
+def computed(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that later expressions read instead of taking it in: inside a lambda it would be computed
+    again for every element. Exploding an array of one is what Spark does not merge with other projections."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where that is unset and all runs on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
