@@ -78,19 +78,22 @@ def _later(values: Column, steps: int) -> Column:
     return F.slice(values, steps + 1, F.greatest(F.size(values) - steps, F.lit(0)))
 
 
-def _windows(words: Column) -> Column:
-    """Hashes of all runs of 8 words: of pairs of pairs of pairs."""
-    out = F.transform(words, lambda w: F.xxhash64(w))
+def _with_windows(rows: DataFrame, words: str) -> DataFrame:
+    """Adds `_windows`: hashes of all runs of WINDOW words, of pairs of pairs of pairs."""
+    rows = computed(rows, "_runs1", F.transform(words, lambda w: F.xxhash64(w)))
     step = 1
     while step < WINDOW:
-        out = F.zip_with(out, _later(out, step), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
+        runs = F.col(f"_runs{step}")
+        paired = F.zip_with(runs, _later(runs, step), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
+        rows = computed(rows, f"_runs{2 * step}", paired).drop(f"_runs{step}")
         step *= 2
-    return F.filter(out, lambda h: h.isNotNull())
+    whole = F.greatest(F.size(words) - (WINDOW - 1), F.lit(0))  # behind them, runs that the text's end cuts off
+    return computed(rows, "_windows", F.slice(f"_runs{WINDOW}", F.lit(1), whole)).drop(f"_runs{WINDOW}")
 
 
 def _with_repeated_words(rows: DataFrame, words: str) -> DataFrame:
     """Adds `n_repeat_words`: words in windows that occur twice or more. Only texts with one are looked at closer."""
-    rows = computed(rows, "_windows", _windows(F.col(words)))
+    rows = _with_windows(rows, words)
     repeated = F.size(F.array_distinct("_windows")) < F.size("_windows")
     placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("hash"), i.alias("place"))))
     rows = computed(rows, "_placed", F.when(repeated, placed)).drop("_windows")
