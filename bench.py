@@ -42,9 +42,14 @@ def seconds(run) -> float:
     return time.perf_counter() - started
 
 
+def say(name: str, times: dict[str, float]) -> None:
+    """Each figure as soon as it is known; standard output has the JSON line alone."""
+    print(f"{name}: {times[name]} s", file=sys.stderr, flush=True)
+
+
 def multiplied(events: DataFrame, copies: int) -> DataFrame:
     """The events several times, as different events of different sessions."""
-    each = events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    each = events.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))))
     return each.withColumns(
         {
             "id": (F.col("id") + F.col("copy") * F.lit(10**9)).cast(events.schema["id"].dataType),
@@ -69,6 +74,7 @@ def main() -> None:
     for name in HEADLINE:
         execute(name)
         times[name] = round(statistics.median(seconds(lambda: execute(name)) for _ in range(runs)), 4)
+        say(name, times)
 
     # The stages of a scheduled run, on a store of their own.
     store = query_catalog.scratch_store(spark)
@@ -108,6 +114,7 @@ def run_stages(store: TableStore, source: FrameSource, times: dict[str, float])
     }
     for name, stage in stages.items():
         times[name] = round(seconds(stage), 4)
+        say(name, times)
 
 
 if __name__ == "__main__":
