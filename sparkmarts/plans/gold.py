@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import blank_to_null, business_month, laptop_id_number, percent, safe_divide
+from ..functions import percent, safe_divide
 from ..operators.ranking import add_ranks
+from . import counts  # noqa: F401  (registers the counts)
 from . import taxonomy as tx
 from .registry import relation
 
@@ -75,20 +76,20 @@ def gold_behavior_funnel_daily(silver_session_funnel: DataFrame) -> DataFrame:
 
 
 @relation
-def gold_search_analytics(silver_user_event_tracking: DataFrame) -> DataFrame:
-    return (
-        silver_user_event_tracking.filter(F.col("event_name") == tx.SEARCH)
-        .select(F.lower(blank_to_null(F.col("search_keyword"))).alias("search_keyword"), "session_id")
-        .filter("search_keyword is not null")
-        .groupBy("search_keyword")
-        .agg(F.count("*").alias("search_volume"), F.count_distinct("session_id").alias("unique_sessions"))
+def gold_search_analytics(search_counts: DataFrame) -> DataFrame:
+    return search_counts.groupBy("search_keyword").agg(
+        F.sum("n").alias("search_volume"), F.count("*").alias("unique_sessions")
     )
 
 
 @relation
-def gold_user_os(silver_session_activity: DataFrame) -> DataFrame:
-    platforms = silver_session_activity.groupBy("user_os", F.col("user_device_type").alias("device_type")).agg(
-        F.count("*").alias("sessions")  # sessions are unique here
+def gold_user_os(platform_counts: DataFrame) -> DataFrame:
+    """Sessions by the first OS and device type that they give at all."""
+    # min_by ignores rows whose ordering is NULL: days without a value take no part.
+    first = lambda c: F.coalesce(F.min_by(c, f"{c}_at"), F.lit(tx.UNKNOWN)).alias(c)
+    sessions = platform_counts.groupBy("session_id").agg(first("user_os"), first("user_device_type"))
+    platforms = sessions.groupBy("user_os", F.col("user_device_type").alias("device_type")).agg(
+        F.count("*").alias("sessions")
     )
     everyone = platforms.agg(F.sum("sessions")).scalar()
     return platforms.withColumn("session_pct", percent(F.col("sessions"), everyone, 1))
@@ -106,36 +107,45 @@ def _laptop_brands(bronze_laptop_model: DataFrame) -> DataFrame:
     )
 
 
-def _detail_views(events: DataFrame) -> DataFrame:
-    return events.filter(tx.is_detail_view() & F.col("device_id").isNotNull()).select(
-        "id", "session_id", "server_timestamp", laptop_id_number(F.col("device_id")).alias("laptop_model_id")
-    )
-
+def _component_trend(views: DataFrame, laptops: DataFrame, component: str) -> DataFrame:
+    """Views, sessions and products of a month, component and brand.
 
-def _component_trend(events: DataFrame, laptops: DataFrame, component: str) -> DataFrame:
+    A distinct number is a number of rows: sessions after one aggregation to sessions, products after one to
+    laptops. Both are stacked, so no row is multiplied for the sake of a distinct count.
+    """
     catalog = laptops.filter(F.col(component) != "").select("laptop_model_id", component, "brand_name")
-    views = _detail_views(events).select(
-        "session_id", "laptop_model_id", business_month(F.col("server_timestamp")).alias("month")
+    group, none, one = ["month", component, "brand_name"], F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    sessions = (
+        views.join(catalog, "laptop_model_id")
+        .groupBy(*group, "session_id")
+        .agg(F.sum("n").alias("views"))
+        .select(*group, "views", one.alias("sessions"), none.alias("products"))
+    )
+    products = (
+        views.select("month", "laptop_model_id")
+        .distinct()
+        .join(catalog, "laptop_model_id")
+        .select(*group, none.alias("views"), none.alias("sessions"), one.alias("products"))
     )
     return (
-        views.join(catalog, "laptop_model_id")
-        .groupBy("month", component, "brand_name")
+        sessions.unionByName(products)
+        .groupBy(*group)
         .agg(
-            F.count("*").alias("total_views"),
-            F.count_distinct("session_id").alias("unique_sessions"),
-            F.count_distinct("laptop_model_id").alias("products_viewed"),
+            F.sum("views").alias("total_views"),
+            F.sum("sessions").alias("unique_sessions"),
+            F.sum("products").alias("products_viewed"),
         )
     )
 
 
 @relation
-def gold_cpu_trend(silver_user_event_tracking: DataFrame, silver_laptop_model: DataFrame) -> DataFrame:
-    return _component_trend(silver_user_event_tracking, silver_laptop_model, "cpu_name")
+def gold_cpu_trend(view_counts: DataFrame, silver_laptop_model: DataFrame) -> DataFrame:
+    return _component_trend(view_counts, silver_laptop_model, "cpu_name")
 
 
 @relation
-def gold_gpu_trend(silver_user_event_tracking: DataFrame, silver_laptop_model: DataFrame) -> DataFrame:
-    return _component_trend(silver_user_event_tracking, silver_laptop_model, "gpu_name")
+def gold_gpu_trend(view_counts: DataFrame, silver_laptop_model: DataFrame) -> DataFrame:
+    return _component_trend(view_counts, silver_laptop_model, "gpu_name")
 
 
 def spec_totals(laptops: DataFrame, views: DataFrame) -> DataFrame:
@@ -157,32 +167,33 @@ def spec_totals(laptops: DataFrame, views: DataFrame) -> DataFrame:
 
 
 @relation
-def gold_spec_popularity(silver_user_event_tracking: DataFrame, silver_laptop_model: DataFrame) -> DataFrame:
+def gold_spec_popularity(view_counts: DataFrame, silver_laptop_model: DataFrame) -> DataFrame:
     # Views are counted per laptop before the join, so the join sees one row per laptop.
-    views = _detail_views(silver_user_event_tracking).groupBy("laptop_model_id").agg(F.count("*").alias("views"))
-    return spec_totals(silver_laptop_model, views)
+    return spec_totals(silver_laptop_model, view_counts.groupBy("laptop_model_id").agg(F.sum("n").alias("views")))
 
 
 @relation
 def gold_brand_interest(
-    silver_user_event_tracking: DataFrame,
-    silver_comparison_event_device: DataFrame,
-    bronze_laptop_model: DataFrame,
-    silver_brand: DataFrame,
+    view_counts: DataFrame, comparison_counts: DataFrame, bronze_laptop_model: DataFrame, silver_brand: DataFrame
 ) -> DataFrame:
     """Brands with at least one product; session counts are distinct over all time."""
     laptops = _laptop_brands(bronze_laptop_model)
-    # Detail views carry no event id, comparison rows do: one join to the catalog serves both.
-    touches = _detail_views(silver_user_event_tracking).select(
-        "laptop_model_id", "session_id", F.lit(None).cast("bigint").alias("event_id")
-    ).unionByName(silver_comparison_event_device.select("laptop_model_id", "session_id", "event_id"))
+    brand_of = laptops.select("laptop_model_id", "brand_id")
+    views = view_counts.join(brand_of, "laptop_model_id").select(
+        "brand_id", "session_id", F.col("n").alias("views"), F.lit(0).cast("bigint").alias("comparisons")
+    )
+    # An event with several laptops of one brand counts once for it.
+    comparisons = (
+        comparison_counts.select("session_id", "laptops", "n", F.explode("laptops").alias("laptop_model_id"))
+        .join(brand_of, "laptop_model_id")
+        .groupBy("brand_id", "session_id", "laptops")
+        .agg(F.max("n").alias("comparisons"))
+        .select("brand_id", "session_id", F.lit(0).cast("bigint").alias("views"), "comparisons")
+    )
     per_session = (
-        touches.join(laptops.select("laptop_model_id", "brand_id"), "laptop_model_id")
+        views.unionByName(comparisons)
         .groupBy("brand_id", "session_id")
-        .agg(
-            F.count_if(F.col("event_id").isNull()).alias("views"),
-            F.count_distinct("event_id").alias("comparisons"),
-        )
+        .agg(F.sum("views").alias("views"), F.sum("comparisons").alias("comparisons"))
     )
     viewed, compared = F.col("views") > 0, F.col("comparisons") > 0
     interest = per_session.groupBy("brand_id").agg(
@@ -216,28 +227,27 @@ def gold_brand_interest(
 
 
 @relation
-def gold_brand_comparison(
-    silver_comparison_session_device: DataFrame, bronze_laptop_model: DataFrame, silver_brand: DataFrame
-) -> DataFrame:
+def gold_brand_comparison(compared_day_counts: DataFrame, bronze_laptop_model: DataFrame, silver_brand: DataFrame) -> DataFrame:
     """Unordered brand pairs whose laptops were compared in the same session-day.
 
-    Laptop pairs are never listed. Per session-day the laptops are counted by brand; two brands with m and n
-    laptops make m*n pairs, one brand with n laptops makes n*(n-1)/2. A laptop without a brand pairs with
-    a branded one under that brand.
+    Laptop pairs are never listed. Days on which a session compared the same laptops are one row with their
+    number; its laptops are counted by brand. Two brands with m and n laptops make m*n pairs a day, one brand
+    with n laptops makes n*(n-1)/2. A laptop without a brand pairs with a branded one under that brand.
     """
-    group = ["session_id", "event_date"]
+    group = ["session_id", "laptops"]
     per_brand = (
-        silver_comparison_session_device.select(*group, "laptop_model_id")
+        compared_day_counts.select(*group, F.col("n").alias("days"), F.explode("laptops").alias("laptop_model_id"))
         .join(_laptop_brands(bronze_laptop_model).select("laptop_model_id", "brand_id"), "laptop_model_id")
         .groupBy(*group, "brand_id")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.max("days").alias("days"))
     )
-    # The window and the join below it share one partitioning and sort by session-day.
+    # The window and the join below it share one partitioning and sort by session and laptops.
     unbranded = F.sum(F.when(F.col("brand_id").isNull(), F.col("n"))).over(Window.partitionBy(*group))
     branded = per_brand.withColumn("n_unbranded", F.coalesce(unbranded, F.lit(0))).filter("brand_id is not null")
     side = lambda s: branded.select(
-        *group, F.col("brand_id").alias(f"brand_{s}_id"), F.col("n").alias(f"n_{s}"), F.col("n_unbranded").alias(f"n0_{s}")
-    )
+        *group, F.col("brand_id").alias(f"brand_{s}_id"), F.col("n").alias(f"n_{s}"),
+        F.col("n_unbranded").alias(f"n0_{s}"), F.col("days").alias(f"days_{s}"),
+    )
     a, b = F.col("brand_a_id"), F.col("brand_b_id")
     # Both sides read the same columns, so the shuffles below the join are done once for the two.
     pairs = F.when(a == b, F.expr("(n_a * (n_b - 1) + n_a * n0_b + n_b * n0_a) div 2")).otherwise(F.expr("n_a * n_b"))
@@ -245,10 +255,10 @@ def gold_brand_comparison(
         side("a")
         .join(side("b"), group)
         .filter(a <= b)
-        .select("brand_a_id", "brand_b_id", "session_id", pairs.alias("pairs"))
+        .select("brand_a_id", "brand_b_id", "session_id", F.col("days_a").alias("days"), pairs.alias("pairs"))
         .filter("pairs > 0")
-        .groupBy("brand_a_id", "brand_b_id", "session_id")  # one row per day of a session
-        .agg(F.count("*").alias("days"), F.sum("pairs").alias("pairs"))
+        .groupBy("brand_a_id", "brand_b_id", "session_id")
+        .agg(F.sum("days").alias("days"), F.sum(F.col("pairs") * F.col("days")).alias("pairs"))
         .groupBy("brand_a_id", "brand_b_id")
         .agg(
             F.count("*").alias("comparison_sessions"),
@@ -323,18 +333,26 @@ def gold_performance_efficiency(
 def gold_battery_vs_interest(
     silver_laptop_model: DataFrame,
     silver_laptop_benchmark_result: DataFrame,
-    silver_user_event_tracking: DataFrame,
-    silver_comparison_event_device: DataFrame,
+    view_counts: DataFrame,
+    comparison_counts: DataFrame,
 ) -> DataFrame:
-    # Views name their session, comparison rows do not: one aggregation per laptop covers both. The bridge
-    # has one row per event and laptop, so its rows are its distinct events.
-    touches = _detail_views(silver_user_event_tracking).select("laptop_model_id", "session_id").unionByName(
-        silver_comparison_event_device.select("laptop_model_id", F.lit(None).cast("string").alias("session_id"))
+    none = F.lit(0).cast("bigint")
+    views = (
+        view_counts.groupBy("laptop_model_id", "session_id")
+        .agg(F.sum("n").alias("views"))
+        .select("laptop_model_id", "views", F.lit(1).cast("bigint").alias("sessions"), none.alias("comparisons"))
     )
-    interest = touches.groupBy("laptop_model_id").agg(
-        F.count("session_id").alias("total_views"),
-        F.count_distinct("session_id").alias("view_sessions"),
-        F.count_if(F.col("session_id").isNull()).alias("comparison_events"),
+    comparisons = comparison_counts.select(
+        F.explode("laptops").alias("laptop_model_id"), none.alias("views"), none.alias("sessions"), F.col("n").alias("comparisons")
+    )
+    interest = (
+        views.unionByName(comparisons)
+        .groupBy("laptop_model_id")
+        .agg(
+            F.sum("views").alias("total_views"),
+            F.sum("sessions").alias("view_sessions"),
+            F.sum("comparisons").alias("comparison_events"),
+        )
     )
     hours = F.col("office_battery_hours")
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import lookback
-from ..functions import business_date, epoch_to_timestamp
+from ..functions import business_date, epoch_to_timestamp, fingerprint
 from ..operators.versions import (
     BatchError,
     assert_same_columns,
@@ -29,17 +29,31 @@ def event_day(ts: str = EVENT_TS) -> Column:
     return business_date(epoch_to_timestamp(F.col(ts).try_cast("double")))
 
 
+def content(df: DataFrame) -> dict[str, Column]:
+    """Rows and order-free sums of two kinds of hash over them: equal for equal content, however it is stored."""
+    columns = [F.col(c) for c in sorted(df.columns)]
+    return {
+        "rows": F.count("*"),
+        "content": F.sum(fingerprint(*columns).cast("decimal(38,0)")),
+        "check": F.sum(F.hash(*columns).cast("bigint")),
+    }
+
+
 def replace_snapshot(store: TableStore, name: str, df: DataFrame) -> int:
-    """Replaces a snapshot table; an empty source or another column set leaves the old rows in place."""
+    """Replaces a snapshot table; an empty source or another column set leaves the old rows in place.
+
+    The source is read once. A snapshot with the content of the stored one adds no version, so nothing that
+    depends on it is made anew.
+    """
     if name not in SNAPSHOT_TABLES:
         raise ValueError(f"not a snapshot table: {name}")
-    if df.isEmpty():
-        raise BatchError(f"source of {name} is empty; the stored rows are kept")
     if store.exists(name):
         stored = store.read(name)
         assert_same_columns(stored.columns, df.columns)
         df = df.select(*(F.col(f.name).cast(f.dataType) for f in stored.schema.fields))
-    return store.overwrite(name, df)
+    if store.overwrite_unless(name, df, content(df), refused=lambda found: found["rows"] == "0") is None:
+        raise BatchError(f"source of {name} is empty; the stored rows are kept")
+    return store.version(name)
 
 
 def upsert_events(store: TableStore, df: DataFrame, name: str = EVENTS) -> dict[str, int]:

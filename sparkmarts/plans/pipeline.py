@@ -4,33 +4,32 @@ from __future__ import annotations
 
 from collections import ChainMap
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
 from datetime import datetime, timedelta, timezone
 from functools import partial
 from zoneinfo import ZoneInfo
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import lookback
-from ..functions import BUSINESS_TZ, business_date, epoch_to_timestamp
+from ..functions import BUSINESS_TZ, business_date, epoch_to_timestamp, fingerprint
 from ..operators.versions import merge_by_key
 from ..schemas import EVENT_KEY, EVENT_TS, EVENTS, GOLD_NAMES, RAW_SCHEMAS
-from ..session import pin_utc
+from ..session import in_threads, pin_utc
 from ..sources.store import TableStore
-from . import bronze, gold, silver  # noqa: F401  (register the relations)
+from . import bronze, gold, incremental, silver  # noqa: F401  (register the relations)
+from .counts import COUNTS
 from .quality import run_tests
 from .registry import Marts
 
 SILVER_EVENTS = "silver_user_event_tracking"
-# Read by several marts and tests each, so written to scratch for the length of a build.
-SHARED = ("silver_session_day", "silver_comparison_event_device", "silver_laptop_model")
+# Read by several marts and tests, so written to scratch for the length of a build.
+SHARED = ("silver_laptop_model",)
 
 
 class StoredTables(Mapping):
-    """The tables a store holds, opened on demand."""
+    """The tables a store holds, opened on demand; counts with their segments added."""
 
     def __init__(self, store: TableStore, hide: tuple[str, ...] = ()):
         self._store, self._names = store, tuple(n for n in store.names() if n not in hide)
@@ -38,7 +37,7 @@ class StoredTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:
             raise KeyError(name)
-        return self._store.read(name)
+        return incremental.read_count(self._store, name) if name in COUNTS else self._store.read(name)
 
     def __contains__(self, name: object) -> bool:
         return name in self._names
@@ -84,14 +83,36 @@ def silver_incremental(raw: DataFrame, stored: DataFrame, lookback_seconds: int)
     return merge_by_key(stored, fresh, EVENT_KEY)
 
 
+def unlike_stored(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows that are not stored already, as they are; a row of other columns is never the same."""
+    if set(rows.columns) != set(stored.columns):
+        return rows
+    values = [F.col(c) for c in rows.columns if c != EVENT_KEY]
+    marks = stored.select(F.col(EVENT_KEY).alias("_key"), fingerprint(*values).alias("_mark"))
+    marked = rows.withColumn("_own_mark", fingerprint(*values))
+    same = (F.col(EVENT_KEY) == F.col("_key")) & (F.col("_own_mark") == F.col("_mark"))
+    return marked.join(marks, same, "left_anti").drop("_own_mark")
+
+
 def build_events(
-    store: TableStore, full_refresh: bool = False, lookback_seconds: int | None = None, invalidate: bool = False
+    store: TableStore,
+    full_refresh: bool = False,
+    lookback_seconds: int | None = None,
+    invalidate: bool = False,
+    threads: int = 4,
 ) -> int:
-    """Builds or extends the silver event table; returns its version.
+    """Builds or extends the silver event table and what is derived from its days; returns the table's version.
 
-    With `invalidate`, ids whose newest raw version lost its session or name also leave the table, which by
-    default takes a full refresh.
+    Rows of the lookback that are stored already are left alone, so a run without news changes no day. With
+    `invalidate`, ids whose newest raw version lost its session or name also leave the table, which by default
+    takes a full refresh.
     """
+    version = _build_events(store, full_refresh, lookback_seconds, invalidate)
+    incremental.refresh(store, threads)
+    return version
+
+
+def _build_events(store: TableStore, full_refresh: bool, lookback_seconds: int | None, invalidate: bool) -> int:
     if full_refresh or not store.exists(SILVER_EVENTS):
         return store.overwrite(SILVER_EVENTS, silver.silver_event_table(store.read(EVENTS)), day=_server_day())
     reach = lookback(lookback_seconds)
@@ -100,50 +121,51 @@ def build_events(
     first_day = None if newest is None else business_day(newest - timedelta(seconds=reach))
     recent = recent_events(store.read(EVENTS, from_day=first_day), newest, reach)
     rejected = recent.filter("event_name is null or session_id is null") if invalidate else None
-    with store.stage(silver.silver_event_table(recent)) as fresh:
-        version = store.merge(SILVER_EVENTS, fresh, EVENT_KEY, _server_day())
+    with store.stage(silver.silver_event_table(recent)) as fresh, ExitStack() as staged:
+
+        def news(stored: DataFrame) -> DataFrame:
+            return staged.enter_context(store.stage(unlike_stored(fresh, stored)))
+
+        version = store.merge(SILVER_EVENTS, fresh, EVENT_KEY, _server_day(), choose=news)
     if rejected is not None:
         version = store.delete(SILVER_EVENTS, rejected.select(EVENT_KEY), EVENT_KEY)
     return version
 
 
-def _in_threads(spark, threads: int, jobs) -> list:
-    """Runs independent Spark jobs from a few driver threads, so that small ones do not wait for large ones."""
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        return [done.result() for done in [pool.submit(inherit(job)) for job in jobs]]
-
-
 def build(
     store: TableStore,
     full_refresh: bool = False,
     lookback_seconds: int | None = None,
     threads: int = 4,
     test: bool = True,
+    invalidate: bool = False,
 ) -> Marts:
     """Raw tests, silver events, silver tests, gold tables, gold tests; a failing test stops what follows.
 
-    Bronze and most silver relations stay lazy; the few that several marts and tests read are staged once.
+    Relations by day are replaced for the days that changed. The other marts read counts, not events, and are
+    left alone where neither counts nor catalog changed; a full refresh makes all anew.
     """
     pin_utc(store.spark)
     if test:
         run_tests(Marts(StoredTables(store)), "raw")
-    build_events(store, full_refresh, lookback_seconds)
+    build_events(store, full_refresh, lookback_seconds, invalidate, threads)
     stored = StoredTables(store, hide=GOLD_NAMES)
     source = Marts(stored)
     with ExitStack() as stack:
         frames = [source[name] for name in SHARED]
         # Each table is registered by the job that wrote it, so it goes even if another job fails.
         jobs = [lambda frame=frame: stack.enter_context(store.stage(frame)) for frame in frames]
-        shared = dict(zip(SHARED, _in_threads(store.spark, threads, jobs)))
+        shared = dict(zip(SHARED, in_threads(store.spark, threads, jobs)))
         marts = Marts(ChainMap(shared, stored))
         if test:
             run_tests(marts, "silver")
-        gold_frames = {name: marts[name] for name in GOLD_NAMES}
-        _in_threads(store.spark, threads, [partial(store.overwrite, *item) for item in gold_frames.items()])
+        daily = [partial(incremental.refresh_daily, store, *item) for item in incremental.DAILY_GOLD.items()]
+        gold_frames = {name: marts[name] for name in GOLD_NAMES if name not in incremental.DAILY_GOLD}
+        whole = [partial(incremental.refresh_mart, store, *item, full_refresh) for item in gold_frames.items()]
+        in_threads(store.spark, threads, [*daily, *whole])
         if test:
             run_tests(Marts(ChainMap(shared, StoredTables(store))), "gold")
-    for name in (SILVER_EVENTS, *GOLD_NAMES):
+    for name in (SILVER_EVENTS, *incremental.DAILY_SILVER, *COUNTS, *GOLD_NAMES):
         store.expire(name)
     return Marts(StoredTables(store))
 
@@ -157,10 +179,11 @@ def materialize(store: TableStore, name: str, df: DataFrame) -> None:
 
 
 def publish_views(marts: Marts) -> list[str]:
-    """Registers every relation as a temporary view, for use from SQL."""
-    for name in marts:
+    """Registers every relation as a temporary view, for use from SQL; counts are no layer's relations."""
+    names = [name for name in marts if name not in COUNTS]
+    for name in names:
         marts[name].createOrReplaceTempView(name)
-    return list(marts)
+    return names
 
 
 def load_gold(store: TableStore, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -198,6 +198,12 @@ def silver_session_funnel(silver_session_day: DataFrame) -> DataFrame:
     )
 
 
+def arrival_order() -> Column:
+    """Order of (server time, id) in one fixed-width number: micros first, then room for any 64-bit id."""
+    micros = F.unix_micros("server_timestamp").cast("decimal(17,0)")
+    return micros * F.lit("1" + "0" * 20).cast("decimal(21,0)") + F.col("id").cast("decimal(19,0)")
+
+
 @relation
 def silver_session_activity(silver_user_event_tracking: DataFrame) -> DataFrame:
     """One row per session over all time, with its first non-blank OS and device type.
@@ -215,10 +221,7 @@ def silver_session_activity(silver_user_event_tracking: DataFrame) -> DataFrame:
         "has_product_detail_view": tx.is_detail_view(),
         "has_comparison": compared,
     }
-    # Order of (server time, id) in one fixed-width number: micros first, then room for any 64-bit id.
-    arrival = F.unix_micros("server_timestamp").cast("decimal(17,0)") * F.lit("1" + "0" * 20).cast(
-        "decimal(21,0)"
-    ) + F.col("id").cast("decimal(19,0)")
+    arrival = arrival_order()
     first_given = ("user_os", "user_device_type")
     combinations = silver_user_event_tracking.groupBy(
         "session_id", "event_name", *(blank_to_null(F.col(c)).alias(c) for c in first_given)
@@ -245,16 +248,9 @@ def silver_session_activity(silver_user_event_tracking: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- comparison
 
 
-@relation
-def silver_comparison_event_device(silver_user_event_tracking: DataFrame) -> DataFrame:
-    """One row per comparison event and laptop: the event's own device and its device list.
-
-    Event ids are unique in the event table, so a pair can only repeat inside one row; removing
-    repeats from that row's array makes the result distinct without a shuffle.
-    """
-    eligible = silver_user_event_tracking.filter(
-        F.col("event_name").isin(*tx.SELECT_EVENTS, *tx.CHART_EVENTS) | tx.is_compare_view()
-    )
+def compared_laptops(events: DataFrame) -> DataFrame:
+    """Comparison events with the distinct laptops they name: the event's own device and its device list."""
+    eligible = events.filter(F.col("event_name").isin(*tx.SELECT_EVENTS, *tx.CHART_EVENTS) | tx.is_compare_view())
     # NULL for anything but a JSON array.
     listed = F.coalesce(F.from_json("device_ids_raw", "array<string>"), F.array().cast("array<string>"))
     candidates = F.concat(F.array("device_id"), listed)
@@ -266,7 +262,19 @@ def silver_comparison_event_device(silver_user_event_tracking: DataFrame) -> Dat
         "session_id",
         business_date(F.col("server_timestamp")).alias("event_date"),
         "server_timestamp",
-        F.explode(F.array_compact(laptop_ids)).alias("laptop_model_id"),
+        F.array_compact(laptop_ids).alias("laptops"),
+    )
+
+
+@relation
+def silver_comparison_event_device(silver_user_event_tracking: DataFrame) -> DataFrame:
+    """One row per comparison event and laptop.
+
+    Event ids are unique in the event table, so a pair can only repeat inside one row; removing
+    repeats from that row's array makes the result distinct without a shuffle.
+    """
+    return compared_laptops(silver_user_event_tracking).select(
+        "event_id", "session_id", "event_date", "server_timestamp", F.explode("laptops").alias("laptop_model_id")
     )
 
 

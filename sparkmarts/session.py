@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Business dates are taken from UTC instants, so the session zone has to be UTC.
@@ -38,3 +41,10 @@ def local_session(cpus: int | str = "*", app: str = "sparkmarts", **conf: str) -
 def pin_utc(spark: SparkSession) -> None:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+
+
+def in_threads(spark: SparkSession, threads: int, jobs) -> list:
+    """Runs independent Spark jobs from a few driver threads, so that small ones do not wait for large ones."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return [done.result() for done in [pool.submit(inherit(job)) for job in jobs]]

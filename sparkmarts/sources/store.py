@@ -16,7 +16,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,7 @@ class Version:
     schema: T.StructType
     days: dict[str, str] | None  # day -> write, or None for a table without partitions
     write: str | None = None
+    applied: dict[str, str] | None = None  # what the version was made from: days of a source, versions or measures
 
 
 class TableStore:
@@ -104,17 +105,17 @@ class TableStore:
         files = self._commits(name)
         return self._version(name, files[-1]) if files else None
 
-    def _commit_write(self, name: str, base: Version | None, schema: T.StructType, days, write: str) -> int:
+    def _commit_write(self, name: str, base: Version | None, schema: T.StructType, days, write: str, applied=None) -> int:
         """Commits the files of a write, of all days where `days` is None; they go if another writer was first."""
         try:
-            return self._commit(name, base, schema, days, write if days is None else None).number
+            return self._commit(name, base, schema, days, write if days is None else None, applied).number
         except CommitConflict:
             self._drop(name, "data", f"{WRITE}={write}")
             raise
 
-    def _commit(self, name: str, base: Version | None, schema: T.StructType, days, write) -> Version:
-        version = Version((base.number if base else 0) + 1, schema, days, write)
-        body = {"number": version.number, "schema": schema.jsonValue(), "days": days, "write": write}
+    def _commit(self, name: str, base: Version | None, schema: T.StructType, days, write, applied=None) -> Version:
+        version = Version((base.number if base else 0) + 1, schema, days, write, applied)
+        body = {"number": version.number, "schema": schema.jsonValue(), "days": days, "write": write, "applied": applied}
         self._create(name, f"{version.number:012d}.json", json.dumps(body))
         return version
 
@@ -135,7 +136,8 @@ class TableStore:
         finally:
             stream.close()
         body = json.loads(text)
-        return Version(body["number"], T.StructType.fromJson(body["schema"]), body["days"], body["write"])
+        schema = T.StructType.fromJson(body["schema"])
+        return Version(body["number"], schema, body["days"], body["write"], body.get("applied"))
 
     def _commits(self, name: str) -> list[str]:
         return [f for f in self._names(name, "commits") if f.endswith(".json") and not f.startswith(".")]
@@ -192,8 +194,40 @@ class TableStore:
         partitions = T.StructType([*schema.fields, T.StructField(WRITE, T.StringType())])
         return reader.schema(partitions).option("basePath", data).parquet(*paths).drop(WRITE)
 
+    def days(self, name: str) -> dict[str, str]:
+        """Day -> write of the newest version: two versions hold the same rows of a day if they name the same write."""
+        latest = self._latest(name)
+        return dict(latest.days or {}) if latest else {}
+
+    def applied(self, name: str) -> dict[str, str] | None:
+        """What a table's newest version says that it was made from; None where it says nothing."""
+        latest = self._latest(name)
+        return latest.applied if latest else None
+
+    def read_days(self, name: str, days: dict[str, str]) -> DataFrame:
+        """The rows of the given days as the given writes left them; the days may be those of an older version."""
+        latest = self._latest(name)
+        if latest is None:
+            raise MissingTable(name)
+        return self._frame(name, Version(latest.number, latest.schema, days)).drop(DAY)
+
+    def holds(self, name: str, days: dict[str, str]) -> bool:
+        """Whether the files of these days are still there: expired versions take theirs along."""
+        fs = self._fs()
+        return all(fs.exists(self._path(name, "data", f"{WRITE}={write}", f"{DAY}={day}")) for day, write in days.items())
+
     # ------------------------------------------------------------ writing
 
+    def replace_parts(self, name: str, rows: DataFrame, part: Column, gone: set[str], applied: dict[str, str]) -> int:
+        """Writes rows by part (a day as text, or any other name) in place of the parts in `gone`, or a new table.
+
+        `applied` says which state of the source the table has then; both become visible in one commit.
+        """
+        base = self._latest(name)
+        write, parts = self._write_files(name, rows.withColumn(DAY, part), by_day=True)
+        kept = {d: w for d, w in (base.days or {}).items() if d not in gone} if base else {}
+        return self._commit_write(name, base, rows.schema, {**kept, **dict.fromkeys(parts, write)}, write, applied)
+
     def _write_files(self, name: str, df: DataFrame, by_day: bool) -> tuple[str, list[str]]:
         write = uuid.uuid4().hex
         folder = f"{self.root}/{name}/data/{WRITE}={write}"  # a folder of its own: writers never share one
@@ -209,16 +243,38 @@ class TableStore:
         days = [n.removeprefix(f"{DAY}=") for n in self._names(name, "data", f"{WRITE}={write}") if n.startswith(DAY)]
         return write, days
 
-    def overwrite(self, name: str, df: DataFrame, day: Column | None = None, new: bool = False) -> int:
+    def overwrite(
+        self, name: str, df: DataFrame, day: Column | None = None, new: bool = False, applied: dict[str, str] | None = None
+    ) -> int:
         """Replaces the whole table; readers see the old rows until the commit.
 
         With `new` the table must not exist: of two writers creating it, the second gets a CommitConflict.
         """
         base = None if new else self._latest(name)
-        frame = df if day is None else df.withColumn(DAY, _day_text(day))
+        frame = df if day is None else df.withColumn(DAY, day_text(day))
         write, days = self._write_files(name, frame, day is not None)
         by_day = None if day is None else dict.fromkeys(days, write)
-        return self._commit_write(name, base, df.schema, by_day, write)
+        return self._commit_write(name, base, df.schema, by_day, write, applied)
+
+    def overwrite_unless(
+        self, name: str, df: DataFrame, measures: dict[str, Column], refused: Callable[[dict[str, str]], bool]
+    ) -> dict[str, str] | None:
+        """Replaces the whole table and returns measures of its rows, which are taken while they are written.
+
+        Where `refused` says so of the measures, nothing is committed and None returned; nothing is committed either
+        where they and the columns are those of the newest version.
+        """
+        base, seen = self._latest(name), Observation()
+        write, _ = self._write_files(name, df.observe(seen, *(m.alias(c) for c, m in measures.items())), False)
+        found = {c: str(value) for c, value in seen.get.items()}
+        if refused(found):
+            self._drop(name, "data", f"{WRITE}={write}")
+            return None
+        if base is not None and base.applied == found and base.schema == df.schema:
+            self._drop(name, "data", f"{WRITE}={write}")
+        else:
+            self._commit_write(name, base, df.schema, None, write, found)
+        return found
 
     def merge(
         self,
@@ -278,7 +334,7 @@ class TableStore:
         if choose is not None:
             rows = choose(self._frame(name, base, touched).drop(DAY))
             touched = self._days_of(name, base, rows, key, touched)
-        dated = rows.withColumn(DAY, _day_text(day))
+        dated = rows.withColumn(DAY, day_text(day))
         new_days = {row[0] for row in dated.select(DAY).distinct().collect()}
         if not new_days:
             return base.number
@@ -319,5 +375,5 @@ class Staged:
         path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _day_text(day: Column) -> Column:
+def day_text(day: Column) -> Column:
     return F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit(NO_DAY))
