@@ -153,7 +153,7 @@ def prepare_batch(df: DataFrame, key: str = EVENT_KEY, ts: str = EVENT_TS) -> Da
 
 
 def compare_versions(latest: DataFrame, target: DataFrame, key: str = EVENT_KEY, ts: str = EVENT_TS) -> DataFrame:
-    """Prepared rows against the stored ones: `_older` and `_clash` say what the upsert may do with each.
+    """Prepared rows against the stored ones: `_older`, `_clash` and `_same` say what the upsert may do with each.
 
     Of the stored table only key, timestamp and a fingerprint are moved.
     """
@@ -163,11 +163,14 @@ def compare_versions(latest: DataFrame, target: DataFrame, key: str = EVENT_KEY,
     )
     joined = latest.join(stored, F.col(key) == F.col("_key"), "left")
     seconds = _seconds(ts)
-    clash = (seconds == F.col("_stored_at")) & (_mark(payload, target.schema) != F.col("_stored_mark"))
+    tie = seconds == F.col("_stored_at")
+    clash = tie & (_mark(payload, target.schema) != F.col("_stored_mark"))
+    same = tie & (_mark(payload, target.schema) == F.col("_stored_mark"))
     return joined.select(
         *latest.columns,
         F.coalesce(seconds < F.col("_stored_at"), F.lit(False)).alias("_older"),
         F.coalesce(clash, F.lit(False)).alias("_clash"),
+        F.coalesce(same, F.lit(False)).alias("_same"),
     )
 
 

@@ -12,6 +12,7 @@ them, a run that failed half way is caught up by the next, and without a differe
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import partial
 
@@ -110,25 +111,23 @@ def read_count(store: TableStore, name: str) -> DataFrame:
     return added(store.read(name), COUNTS[name].keys)
 
 
-def made_from(store: TableStore, name: str) -> dict[str, str]:
+def made_from(name: str, versions: Mapping[str, int]) -> dict[str, str]:
     """The stored tables that a relation is made from, with their versions."""
-    stored, found, open_names = set(store.names()), {}, list(inputs_of(name))
+    found, open_names = {}, list(inputs_of(name))
     while open_names:
         parent = open_names.pop()
-        if parent in stored:
-            found[parent] = str(store.version(parent))
+        if parent in versions:
+            found[parent] = str(versions[parent])
         else:
             open_names += inputs_of(parent)
     return found
 
 
-def refresh_mart(store: TableStore, name: str, frame: DataFrame, always: bool = False) -> bool:
-    """Replaces a mart over all time, unless none of the tables it is made from has changed since; whether it did."""
-    state = made_from(store, name)
-    if not always and store.applied(name) == state:
-        return False
-    store.overwrite(name, frame, applied=state)
-    return True
+def stale_marts(store: TableStore, names: Iterable[str], always: bool = False) -> dict[str, dict[str, str]]:
+    """The marts over all time whose tables have changed since they were made (or all), with what to make them from."""
+    versions = {name: store.version(name) for name in store.names() if name not in names}
+    states = {name: made_from(name, versions) for name in names}
+    return {name: state for name, state in states.items() if always or store.applied(name) != state}
 
 
 def refresh(store: TableStore, threads: int = 4) -> dict[str, set[str]]:

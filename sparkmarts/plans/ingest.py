@@ -97,7 +97,8 @@ def upsert_events(store: TableStore, df: DataFrame, name: str = EVENTS) -> dict[
                     raise BatchError(f"{outcome['clashes']} ids are stored with the same timestamp but another payload")
                 counts["older_ids_skipped"] = outcome["older"]
                 counts["written_ids"] = counts["source_ids"] - outcome["older"]
-                return compared.filter(~F.col("_older")).drop("_older", "_clash")
+                # A replay counts as written, but its days are left as they are.
+                return compared.filter(~F.col("_older") & ~F.col("_same")).drop("_older", "_clash", "_same")
 
             store.merge(name, latest, key, event_day(ts), choose=winners)
         return counts

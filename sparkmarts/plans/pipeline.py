@@ -132,6 +132,20 @@ def _build_events(store: TableStore, full_refresh: bool, lookback_seconds: int |
     return version
 
 
+PASSED = "passed_tests_"
+
+
+def _tested(store: TableStore, layer: str, tables: tuple[str, ...], marts: Marts, always: bool) -> None:
+    """Runs a layer's tests, unless they passed over just these versions of the tables they are about."""
+    state = {name: str(store.version(name)) for name in tables}
+    name = f"{PASSED}{layer}"
+    if always or store.applied(name) != state:
+        run_tests(marts, layer)
+        counts = [(table, int(version)) for table, version in state.items()]
+        store.overwrite(name, store.spark.createDataFrame(counts, "relation string, version bigint"), applied=state)
+        store.expire(name)
+
+
 def build(
     store: TableStore,
     full_refresh: bool = False,
@@ -143,28 +157,33 @@ def build(
     """Raw tests, silver events, silver tests, gold tables, gold tests; a failing test stops what follows.
 
     Relations by day are replaced for the days that changed. The other marts read counts, not events, and are
-    left alone where neither counts nor catalog changed; a full refresh makes all anew.
+    left alone where neither counts nor catalog changed, and tests are not repeated over the versions that passed them;
+    a full refresh makes and tests all anew.
     """
     pin_utc(store.spark)
-    if test:
-        run_tests(Marts(StoredTables(store)), "raw")
+    layers = {"raw": tuple(RAW_SCHEMAS), "silver": (*RAW_SCHEMAS, SILVER_EVENTS), "gold": (*RAW_SCHEMAS, SILVER_EVENTS, *GOLD_NAMES)}
+
+    def check(layer: str, marts: Marts) -> None:
+        if test:
+            _tested(store, layer, layers[layer], marts, always=full_refresh)
+
+    check("raw", Marts(StoredTables(store)))
     build_events(store, full_refresh, lookback_seconds, invalidate, threads)
     stored = StoredTables(store, hide=GOLD_NAMES)
-    source = Marts(stored)
+    all_time = [name for name in GOLD_NAMES if name not in incremental.DAILY_GOLD]
+    states = incremental.stale_marts(store, all_time, always=full_refresh)
     with ExitStack() as stack:
-        frames = [source[name] for name in SHARED]
+        source = Marts(stored)
+        frames = {name: source[name] for name in SHARED if states}
         # Each table is registered by the job that wrote it, so it goes even if another job fails.
-        jobs = [lambda frame=frame: stack.enter_context(store.stage(frame)) for frame in frames]
-        shared = dict(zip(SHARED, in_threads(store.spark, threads, jobs)))
+        jobs = [lambda frame=frame: stack.enter_context(store.stage(frame)) for frame in frames.values()]
+        shared = dict(zip(frames, in_threads(store.spark, threads, jobs)))
         marts = Marts(ChainMap(shared, stored))
-        if test:
-            run_tests(marts, "silver")
+        check("silver", marts)
         daily = [partial(incremental.refresh_daily, store, *item) for item in incremental.DAILY_GOLD.items()]
-        gold_frames = {name: marts[name] for name in GOLD_NAMES if name not in incremental.DAILY_GOLD}
-        whole = [partial(incremental.refresh_mart, store, *item, full_refresh) for item in gold_frames.items()]
+        whole = [partial(store.overwrite, name, marts[name], applied=state) for name, state in states.items()]
         in_threads(store.spark, threads, [*daily, *whole])
-        if test:
-            run_tests(Marts(ChainMap(shared, StoredTables(store))), "gold")
+        check("gold", Marts(ChainMap(shared, StoredTables(store))))
     for name in (SILVER_EVENTS, *incremental.DAILY_SILVER, *COUNTS, *GOLD_NAMES):
         store.expire(name)
     return Marts(StoredTables(store))

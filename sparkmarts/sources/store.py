@@ -149,6 +149,8 @@ class TableStore:
         """
         files = self._commits(name)
         old, kept = files[: max(0, len(files) - max(keep, 1))], files[max(0, len(files) - max(keep, 1)) :]
+        if not old:
+            return 0
 
         def folders(version: Version) -> set[tuple[str, ...]]:
             if version.days is None:
