@@ -109,6 +109,61 @@ def test_registered_passages_cover_repeated_windows(spark, documents):
     assert total and missed <= 0.02 * total
 
 
+@pytest.mark.parametrize("families", [3, 30])
+def test_exact_copies_behind_other_holders_of_every_seed(spark, families):
+    """Three copies of a passage; before each of them ten documents hold each of its 4-word runs, but no long part of it."""
+    texts, places = [], []
+    for n in range(families):
+        passage = odd.prose(9000 + n, (50, 64, 80)[n % 3])
+        words = passage.split()
+        for copy in range(3):
+            for other in range(10):
+                runs = [" ".join([*words[i : i + 4], *odd.prose(10_000 + 1000 * n + 100 * other + i, 12 + other).split()]) for i in range(len(words) - 3)]
+                random.Random(other).shuffle(runs)
+                texts.append(" ".join(runs))
+            before = odd.prose(9100 + 3 * n + copy, 7 * copy + n % 5)
+            places.append((len(texts), len(before.split()), len(before.split()) + len(words)))
+            texts.append(f"{before} {passage} {odd.prose(9200 + 3 * n + copy, 20)}")
+    found = {r["row"]["doc_id"]: r["passages"] for r in passages.mark(odd.of(spark, texts)).collect()}
+    assert all(covered(found[i], start, end) == 1 for i, start, end in places)
+
+
+@given(st.lists(st.lists(st.integers(0, 2), max_size=40), min_size=1, max_size=6), st.integers(1, 6))
+@settings(max_examples=80, deadline=None)
+def test_chosen_runs(texts, width):
+    runs, made = np.array([h for t in texts for h in t], dtype=np.uint64), np.array([len(t) for t in texts])
+    some, first = set(passages.chosen(runs, made, width).tolist()), 0
+    wanted = set()
+    for t in texts:
+        wanted |= {first + min(range(i, i + width), key=lambda j: (t[j], j)) for i in range(len(t) - width + 1)}
+        first += len(t)
+    assert some == wanted
+
+
+def test_windows_meet_the_holder_before():
+    """Brute force: for every window of 50 words, each holder and the one before it."""
+    pick = random.Random(4)
+    base, texts = [pick.randrange(10**6) for _ in range(90)], []
+    for _ in range(40):
+        a = pick.randrange(25)
+        texts.append([pick.randrange(10**6) for _ in range(pick.randrange(30))] + base[a : a + pick.randint(40, 65)] + [pick.randrange(10**6)])
+    table = passages.pa.table({"text": [" ".join(map(str, t)) for t in texts], "doc_id": list(range(len(texts)))})
+    blocks_ = passages.pa.Table.from_batches(list(passages._anchors(50, 1)(table.to_batches())))
+    columns = ["doc", "owner", "place", "owner_place"]
+    found = set(zip(*(passages._met(50, 4)(blocks_).column(c).to_pylist() for c in columns), strict=True))
+    holders = defaultdict(list)
+    for i, t in enumerate(texts):
+        for p in range(len(t) - 49):
+            holders[tuple(t[p : p + 50])].append((i, p))
+    pairs = 0
+    for held in holders.values():
+        for (i, p), (j, q) in zip(held[1:], held[:-1], strict=True):
+            pairs += 1
+            assert sum((i, j, p + s, q + s) in found for s in range(47)) >= 7
+    assert pairs > 50
+    assert all(texts[i][p : p + 4] == texts[j][q : q + 4] and i > j for i, j, p, q in found)
+
+
 @pytest.mark.parametrize("families", [4, 40])
 def test_passages_with_planted_edits(spark, families):
     """Passages of 60 to 200 words with every 5th to 12th word replaced, so 80 to 92 % equal, at two corpus sizes."""
