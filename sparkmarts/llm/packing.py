@@ -2,10 +2,12 @@
 
 Documents become ids plus an end id; one longer than a sequence is cut so that only its first piece is short.
 Pieces are dealt to partitions of bounded size and packed there by best-fit decreasing. Dual feasible functions
-give a lower bound on the partition's sequences: where it is met, the packing is proven best and stays. The
-other partitions keep their full sequences, put the documents of the rest into a pool and the pool is dealt
-anew, whole sequences together, and packed again. A new packing replaces the old one only if it needs fewer
-sequences. This goes on, over fewer and fewer partitions, until no gap is left or a single one remains.
+give a lower bound on the partition's sequences: where it is met, the packing is proven best and stays. The bound is
+not rounded up for that, as the parts of a sequence that rounding hides add up over partitions. The other partitions
+keep their full sequences and put the open ones into a pool, which is dealt anew each round, whole sequences together
+(by turns in order of their room and at random), and packed again; a new packing replaces the old one only if it needs fewer sequences. This goes on until the pool is
+empty, fits one partition, meets its own bound, or until MOST_ROUNDS rounds in a row have each closed less
+than a hundredth of the gap between the two; what is open then stays as it is.
 
 Defined cases: null and empty texts are the end id alone; repeated rows are packed once each; ties go to the
 lower rows of the partition; an empty table gives no rows.
@@ -13,6 +15,7 @@ lower rows of the partition; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -26,10 +29,10 @@ from .common import whole_text, written
 
 SEQUENCE, END_ID = 1024, 2
 PARTITION_PIECES = 65_536
-MOST_ROUNDS = 4
+MOST_ROUNDS = 4  # in a row that may gain nothing
 _CHUNK = 1 << 20  # characters encoded at a time
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = f"{PIECES}, sequence_id long, offset long, loose boolean"
+PACKED = f"{PIECES}, sequence_id long, offset long, room long, loose boolean"
 
 
 def _cut(path: str, size: int, end_id: int):
@@ -67,15 +70,13 @@ def _cut(path: str, size: int, end_id: int):
     return run
 
 
-def lower_bound(lengths: np.ndarray, size: int) -> int:
-    """Sequences that any packing needs: the best of two families of dual feasible functions.
+def bound_tokens(count: np.ndarray, size: int) -> int:
+    """Tokens of room that any packing needs, from the number of pieces of each length (0 to size): the best of two
+    families of dual feasible functions.
 
     The first lets lengths over size - x count as a whole sequence and drops those under x; the second rounds
     k + 1 times the length down to whole sequences (a multiple stays as it is).
     """
-    if not len(lengths):
-        return 0
-    count = np.bincount(lengths, minlength=size + 1).astype(np.int64)
     tokens = count * np.arange(size + 1)
     number, total = np.append(0, np.cumsum(count)), np.append(0, np.cumsum(tokens))
     x = np.arange(0, size // 2 + 1)
@@ -86,7 +87,12 @@ def lower_bound(lengths: np.ndarray, size: int) -> int:
         whole = (k + 1) * each
         value = np.where(whole % size == 0, k * each, whole // size * size)  # k times the function, so it stays whole
         best = max(best, -(-int((count * value).sum()) // k))
-    return -(-best // size)
+    return best
+
+
+def lower_bound(lengths: np.ndarray, size: int) -> int:
+    """Sequences that any packing needs."""
+    return -(-bound_tokens(np.bincount(lengths, minlength=size + 1).astype(np.int64), size) // size) if len(lengths) else 0
 
 
 def best_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -127,10 +133,11 @@ def _pack(size: int, round: int, last: bool):
             if used >= len(np.unique(old)):
                 sequence, offset = old.copy(), table.column("offset").to_numpy()
         _, which, count = np.unique(sequence, return_inverse=True, return_counts=True)
-        gap = len(count) > lower_bound(lengths, size) and not last
+        needed = bound_tokens(np.bincount(lengths, minlength=size + 1).astype(np.int64), size)
+        gap = len(count) * size > needed and not last
         filled = np.bincount(which, weights=lengths)
         loose = (filled[which] < size) & gap
-        for name, values in (("sequence_id", sequence), ("offset", offset), ("loose", loose)):
+        for name, values in (("sequence_id", sequence), ("offset", offset), ("room", size - filled[which].astype(np.int64)), ("loose", loose)):
             if name in table.column_names:
                 table = table.drop_columns([name])
             table = table.append_column(name, pa.array(values))
@@ -144,21 +151,33 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int =
     return read.mapInArrow(_cut(tokenizer, size, end_id), PIECES)
 
 
+def _pool(loose: DataFrame, size: int) -> tuple[int, int]:
+    """Rows of the pool, and its sequences beyond its own bound; from one row a length, so at most `size` of them."""
+    count, used = np.zeros(size + 1, dtype=np.int64), 0
+    firsts = F.count(F.when(F.col("offset") == 0, 1))
+    for length, rows, first in loose.groupBy("length").agg(F.count("*"), firsts).collect():
+        count[length], used = rows, used + first
+    return int(count.sum()), used + (-bound_tokens(count, size) // size)
+
+
 def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    loose = written(pieces(docs, tokenizer, size, end_id))
-    done = None
-    for round in range(MOST_ROUNDS):
-        rows = loose.count()
-        if round and not rows:
-            break
-        parts = max(1, math.ceil(rows / PARTITION_PIECES))
-        last = parts == 1 or round == MOST_ROUNDS - 1
-        dealt = loose.repartition(parts, "sequence_id") if round else loose.repartition(parts)
-        packed = written(dealt.mapInArrow(_pack(size, round, last), PACKED))
-        settled = packed.filter("not loose")
-        done = settled if done is None else done.unionByName(settled)
+    cut = written(pieces(docs, tokenizer, size, end_id))
+    parts = max(1, math.ceil(cut.count() / PARTITION_PIECES))
+    dealt, done, gap, idle = cut.repartition(parts), None, None, 0
+    for round in itertools.count():
+        packed = written(dealt.mapInArrow(_pack(size, round, parts == 1), PACKED))
         loose = packed.filter("loose")
-        if last:
-            break
-    return done.drop("loose")
+        rows, left = (0, 0) if parts == 1 else _pool(loose, size)
+        idle = idle + 1 if gap is not None and 100 * (gap - left) < gap else 0
+        gap, parts = left, math.ceil(rows / PARTITION_PIECES)
+        ended = not rows or not left or idle == MOST_ROUNDS
+        settled = packed if ended else packed.filter("not loose")
+        done = settled if done is None else done.unionByName(settled)
+        if ended:
+            return done.drop("room", "loose")
+        # by turns those with most room together, where it adds up to whole sequences, and each with new others
+        if round % 2:
+            dealt = loose.repartition(parts, F.xxhash64("sequence_id", F.lit(round)))
+        else:
+            dealt = loose.repartitionByRange(parts, "room", "sequence_id")
