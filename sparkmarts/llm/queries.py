@@ -91,17 +91,19 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = syncmers.with_next(documents(spark, sf_dir), carry=["doc_id"])
-    rows = rows.withColumn("edited", syncmers.edited(F.col("text"), F.col("next_text"))).drop("next_text")
-    rows = syncmers.with_fingerprint(rows, "edited", "edited_print")
-    own = F.col("print")
+    rows = rows.withColumn("edited", syncmers.edited(F.col("text"), F.col("next_text")))
+    rows = syncmers.with_distinct(rows, "edited", "edited_anchors")
+    own = ("text", "anchors")
+    rows = syncmers.with_near(rows, own, ("edited", "edited_anchors"), "near_edited")
+    rows = syncmers.with_near(rows, own, ("next_text", "next_anchors"), "near_next")
     return rows.select(
         "row.doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        syncmers.shown(own).alias("fingerprint"),
-        syncmers.shown(F.col("edited_print")).alias("edited_fingerprint"),
-        syncmers.likeness(own, F.col("edited_print")).alias("near_edited"),
-        syncmers.likeness(own, F.col("next_print")).alias("near_next"),
+        syncmers.shown(syncmers.smallest(F.col("anchors"))).alias("fingerprint"),
+        syncmers.shown(syncmers.smallest(F.col("edited_anchors"))).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
     )
 
 

@@ -2,14 +2,22 @@
 
 A run of k words is an anchor if the smallest of its runs of s words (by hash) is its first or its last. That
 depends on the run alone, not on its surroundings, so an edit moves no anchor outside of it, and two texts that
-share a passage share its anchors. The fingerprint is the list of the smallest distinct anchor hashes, each with
-the place (word number) of its first occurrence; likeness is the share of common anchors among the smallest of
-both together, an estimate of the Jaccard similarity of the texts' anchors.
+share a passage share its anchors: of any k - s runs in a row one is an anchor, so 5 equal words always share one.
+
+Two texts are compared by all their anchors, matched by place (`with_likeness`). Each distinct hash stands in the
+place (word number) of its first occurrence. Anchors that both texts have and that follow one another at the same
+shift are a run; the heaviest chain of runs that have one order in both texts counts, so anchors that only occur
+in both somewhere do not. Likeness is the number of matched anchors over the distinct anchors of both texts. Where
+one of the texts has fewer than FEW distinct anchors (short texts, scripts without spaces), both are compared in the same way by
+their runs of 3 characters (`with_near`).
+
+The fingerprint that is shown or stored is the list of the smallest anchors, with their places; `likeness` of two
+such lists estimates the share of common anchors without the texts.
 
 Words are lowered and separated by ASCII white space. Everything is array expressions on the JVM.
 
 Defined cases: null text counts as empty; a text with fewer than k words is one anchor, an empty one has none and
-the empty fingerprint; two empty fingerprints are alike (1.0), an empty and another are not (0.0).
+the empty fingerprint; two empty texts are alike (1.0), an empty and another are not (0.0).
 """
 
 from __future__ import annotations
@@ -20,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, carried, shuffle_tasks, whole_text
 
 K, S, KEPT = 4, 2, 64
+FEW, CHARACTERS = 8, (3, 2)
+_PLACE = 2**31 - 1
 
 
 def _short(hash: Column) -> Column:
@@ -50,9 +60,9 @@ def _computed(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
-def with_anchors(rows: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
-    """Adds `out`: the anchors of the text column in order, each as hash * 2^31 + place."""
-    rows = _computed(rows, "_w", _words(whole_text(text)))
+def _anchored(rows: DataFrame, units: Column, out: str, k: int, s: int) -> DataFrame:
+    """Adds `out`: the anchors of the units (hashes) in order, each as hash * 2^31 + place."""
+    rows = _computed(rows, "_w", units)
     rows = _computed(rows, "_s", _runs(F.col("_w"), s))
     inner = k - s + 1
 
@@ -67,6 +77,11 @@ def with_anchors(rows: DataFrame, text: str, out: str, k: int = K, s: int = S) -
     return _computed(rows, out, F.when(F.size("_w") >= k, found).otherwise(short)).drop("_w", "_s")
 
 
+def with_anchors(rows: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
+    """Adds `out`: the anchors of the text column in order, each as hash * 2^31 + place."""
+    return _anchored(rows, _words(whole_text(text)), out, k, s)
+
+
 def _packed(hash: Column, place: Column) -> Column:
     return F.shiftleft(_short(hash), 31) + place
 
@@ -76,15 +91,97 @@ def _hash(anchor: Column) -> Column:
 
 
 def _place(anchor: Column) -> Column:
-    return anchor.bitwiseAND(F.lit(2**31 - 1))
+    return anchor.bitwiseAND(F.lit(_PLACE))
+
+
+def _distinct(rows: DataFrame, anchors: str, out: str) -> DataFrame:
+    """Adds `out`: the distinct anchors by hash, each in its first place."""
+    rows = _computed(rows, "_sorted", F.sort_array(anchors))
+    new = F.filter("_sorted", lambda x, i: (i == 0) | (_hash(F.get("_sorted", i - 1)) != _hash(x)))
+    return _computed(rows, out, new).drop("_sorted")
+
+
+def with_distinct(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds `out`: all distinct anchors of the text by hash, each in its first place."""
+    return _distinct(with_anchors(rows, text, "_anchors"), "_anchors", out).drop("_anchors")
 
 
 def with_fingerprint(rows: DataFrame, text: str, out: str, kept: int = KEPT) -> DataFrame:
     """Adds `out`: the anchors with the smallest distinct hashes, each in its first place."""
-    rows = with_anchors(rows, text, "_anchors")
-    rows = _computed(rows, "_sorted", F.sort_array("_anchors"))
-    new = F.filter("_sorted", lambda x, i: (i == 0) | (_hash(F.get("_sorted", i - 1)) != _hash(x)))
-    return _computed(rows, out, F.slice(new, 1, kept)).drop("_anchors", "_sorted")
+    return with_distinct(rows, text, "_all").withColumn(out, smallest(F.col("_all"), kept)).drop("_all")
+
+
+def smallest(anchors: Column, kept: int = KEPT) -> Column:
+    """The fingerprint out of all distinct anchors."""
+    return F.slice(anchors, 1, kept)
+
+
+def _sided(anchors: Column, side: int) -> Column:
+    """Hash, side and place in one number, so that equal hashes of both sides sort next to one another."""
+    return F.transform(anchors, lambda x: F.shiftleft(_hash(x), 32).bitwiseOR(F.lit(side << 31)).bitwiseOR(_place(x)))
+
+
+def _chained(pairs: str) -> Column:
+    """Most pairs in runs of one shift that have the same order in both texts; pairs are place * 2^31 + place, in order.
+
+    Of the chains that end before a place only those are kept that no other beats in both end and weight.
+    """
+    here, there = (lambda x: F.shiftright(x, 31)), _place
+    moved = lambda x: there(x) - here(x)
+    starts = F.filter(F.transform(pairs, lambda x, i: F.when((i == 0) | (moved(x) != moved(F.get(pairs, i - 1))), i)), lambda i: i.isNotNull())
+
+    def runs(starts: Column) -> Column:
+        end = lambda j: F.coalesce(F.get(starts, j + 1), F.size(pairs))
+        return F.transform(
+            starts,
+            lambda i, j: F.struct(
+                there(F.get(pairs, i)).alias("first"), there(F.get(pairs, end(j) - 1)).alias("last"), (end(j) - i).cast("long").alias("n")
+            ),
+        )
+
+    def taken(chains: Column, run: Column) -> Column:
+        before = F.array_max(F.transform(F.filter(chains, lambda c: c["last"] < run["first"]), lambda c: c["n"]))
+        new = F.struct(run["last"].alias("last"), (run["n"] + F.coalesce(before, F.lit(0).cast("long"))).alias("n"))
+        left = F.transform(F.array(new), lambda m: F.concat(F.filter(chains, lambda c: (c["last"] < m["last"]) | (c["n"] > m["n"])), F.array(m)))
+        return F.get(left, 0)
+
+    none = F.array().cast("array<struct<last:bigint,n:bigint>>")
+    best = F.transform(F.array(starts), lambda s: F.aggregate(runs(s), none, taken, lambda chains: F.array_max(F.transform(chains, lambda c: c["n"]))))
+    return F.coalesce(F.get(best, 0), F.lit(0).cast("long"))
+
+
+def with_likeness(rows: DataFrame, one: Column, two: Column, out: str) -> DataFrame:
+    """Adds `out`: matched anchors of two arrays of distinct anchors over all of both."""
+    rows = _computed(rows, "_both", F.sort_array(F.concat(_sided(one, 0), _sided(two, 1))))
+
+    def pair(x: Column, i: Column) -> Column:
+        after = F.get("_both", i + 1)
+        same = F.shiftrightunsigned(x, 32) == F.shiftrightunsigned(after, 32)
+        return F.when(same, F.shiftleft(_place(x), 31).bitwiseOR(_place(after)))
+
+    rows = _computed(rows, "_size", F.size("_both"))
+    rows = _computed(rows, "_pairs", F.sort_array(F.filter(F.transform("_both", pair), lambda p: p.isNotNull()))).drop("_both")
+    crossed = F.exists(F.transform("_pairs", lambda x, i: (i > 0) & (_place(x) <= _place(F.get("_pairs", i - 1)))), lambda c: c)
+    matched = F.when(crossed, _chained("_pairs")).otherwise(F.size("_pairs"))
+    near = F.when(F.col("_size") == 0, F.lit(1.0)).otherwise(matched / (F.col("_size") - F.size("_pairs")))
+    return _computed(rows, out, near).drop("_size", "_pairs")
+
+
+def _characters(text: str, where: Column) -> Column:
+    """Hashes of the characters of the lowered words, one blank between words; none where the condition fails."""
+    words = F.array_join(F.array_remove(F.split(F.lower(whole_text(text)), f"{SPACE}+"), ""), " ")
+    units = F.transform(F.array_remove(F.split(words, ""), ""), lambda c: F.xxhash64(c))
+    return F.when(where, units).otherwise(F.array().cast("array<bigint>"))
+
+
+def with_near(rows: DataFrame, one: tuple[str, str], two: tuple[str, str], out: str) -> DataFrame:
+    """Adds `out`: the likeness of two texts, each given by the names of its text and of its distinct anchors."""
+    rows = _computed(rows, "_few", F.least(F.size(one[1]), F.size(two[1])) < FEW)
+    compared = []
+    for (text, anchors), name in ((one, "_one"), (two, "_two")):
+        rows = _distinct(_anchored(rows, _characters(text, F.col("_few")), "_c", *CHARACTERS), "_c", name).drop("_c")
+        compared.append(F.when(F.col("_few"), F.col(name)).otherwise(F.col(anchors)))
+    return with_likeness(rows, *compared, out).drop("_few", "_one", "_two")
 
 
 def likeness(one: Column, two: Column, kept: int = KEPT) -> Column:
@@ -126,9 +223,9 @@ def _blocks(docs: DataFrame) -> Column:
 
 
 def with_next(docs: DataFrame, text: str = "text", id: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
-    """Per input row: `row`, text, print, and next_text, next_print of the document before it in descending id order.
+    """Per input row: `row`, text, anchors (all distinct ones), and next_text, next_anchors of the next document in descending id order.
 
-    Rows are dealt once, by ranges of the id. Inside a range the next row is a neighbour; the last row of a
+    Rows are dealt once, by ranges of the id, and only then anchored, so that texts alone are moved. Inside a range the next row is a neighbour; the last row of a
     range takes the first of the next range, of which there is one for each range.
     """
     tied = docs.select(
@@ -136,23 +233,23 @@ def with_next(docs: DataFrame, text: str = "text", id: str = "doc_id", carry: li
     )
     block = _blocks(tied.select("order"))
     tied = tied.withColumn("block", block)
-    printed = with_fingerprint(tied, "text", "print")
+    dealt = with_distinct(tied.repartition("block"), "text", "anchors")
 
     firsts = tied.groupBy("block").agg(F.max(F.struct("order", "tie")).alias("first"))
     first_rows = tied.join(
         F.broadcast(firsts.select(F.col("block").alias("of"), "first.*").withColumnsRenamed({"order": "o", "tie": "t"})),  # a row for each range
         (F.col("block") == F.col("of")) & F.col("order").eqNullSafe(F.col("o")) & (F.col("tie") == F.col("t")),
     )
-    first_rows = with_fingerprint(first_rows.groupBy("block").agg(F.first("text").alias("text")), "text", "print")
+    first_rows = with_distinct(first_rows.groupBy("block").agg(F.first("text").alias("text")), "text", "anchors")
     in_turn = Window.orderBy("block")  # over the ranges
     wrapped = F.last("first").over(in_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    entry = first_rows.select("block", F.struct("text", "print").alias("first"))
+    entry = first_rows.select("block", F.struct("text", "anchors").alias("first"))
     entry = entry.select("block", F.coalesce(F.lag("first").over(in_turn), wrapped).alias("entry"))
 
     down = Window.partitionBy("block").orderBy(F.col("order").desc_nulls_last(), F.col("tie").desc())
-    following = F.lead(F.struct("text", "print")).over(down)
-    paired = printed.withColumn("next", following).join(entry, "block").withColumn("next", F.coalesce("next", "entry"))
-    return paired.select("row", "text", "print", F.col("next.text").alias("next_text"), F.col("next.print").alias("next_print"))
+    following = F.lead(F.struct("text", "anchors")).over(down)
+    paired = dealt.withColumn("next", following).join(entry, "block").withColumn("next", F.coalesce("next", "entry"))
+    return paired.select("row", "text", "anchors", F.col("next.text").alias("next_text"), F.col("next.anchors").alias("next_anchors"))
 
 
 def edited(text: Column, following: Column) -> Column:

@@ -1,10 +1,12 @@
 """Secret scan, pseudonyms and fingerprints."""
 
 import hashlib
+import random
 import re
 
 import odd_documents as odd
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -223,6 +225,94 @@ def test_likeness(spark):
     assert shown[4] == "" and shown[6] == shown[7] != shown[8]
 
 
+def plain_hash(values):
+    """Spark's xxhash64 of a string or of numbers in turn."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else v.to_bytes(8, "little"), seed)
+    return seed
+
+
+def plain_anchors(units, k, s=2):
+    """Distinct hashes of closed syncmers with their first places."""
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    units = [plain_hash([u]) for u in units]
+    runs = [plain_hash(p) for p in zip(units, units[1:], strict=False)]
+    out = {}
+    if 0 < len(units) < k:
+        out[plain_hash(units) >> 32] = 0
+    for i in range(len(units) - k + 1):
+        inner = [signed(h) for h in runs[i : i + k - s + 1]]
+        if min(inner) in (inner[0], inner[-1]):
+            out.setdefault(plain_hash(runs[i : i + k - s + 1]) >> 32, i)
+    return out
+
+
+def plain_near(one, two):
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t.lower()) for t in (one, two)]
+    a, b = (plain_anchors(w, 4) for w in words)
+    if min(len(a), len(b)) < syncmers.FEW:
+        a, b = (plain_anchors(list(" ".join(w)), 3) for w in words)
+    if not a and not b:
+        return 1.0
+    pairs = sorted((a[h], b[h]) for h in a.keys() & b.keys())
+    runs = []
+    for x, y in pairs:
+        if runs and runs[-1][1] - runs[-1][3] == y - x:
+            runs[-1][1:] = [y, runs[-1][2] + 1, x]
+        else:
+            runs.append([y, y, 1, x])
+    weights = []
+    for i, (first, _, n, _) in enumerate(runs):
+        weights.append(n + max((weights[j] for j in range(i) if runs[j][1] < first), default=0))
+    matched = max(weights, default=0)
+    return matched / len(a.keys() | b.keys())
+
+
+def test_near_by_brute_force(spark):
+    pick = random.Random(5)
+    base = odd.prose(21, 120).split()
+    moved = base[60:] + base[:60]
+    blocks = [base[i : i + 10] for i in range(0, 120, 10)]
+    mixed = [w for b in pick.sample(blocks, len(blocks)) for w in b]
+    edits = [w if i % 9 else f"new{i}" for i, w in enumerate(base)]
+    texts = [base, moved, mixed, edits, base * 2, base[:50], base[:10], base[:7], ["x"] * 40, [], base[3:9], ["每个文档都没有空格"], ["每个文档都没有词语"], ["AB"]]
+    texts = [" ".join(t) for t in texts] + [" \n", "a", "ab cd"]
+    rows = odd.of(spark, texts)
+    rows = syncmers.with_distinct(rows, "text", "all").select("doc_id", "text", "all")
+    two = rows.toDF("id2", "text2", "all2")
+    found = syncmers.with_near(rows.crossJoin(two), ("text", "all"), ("text2", "all2"), "near").select("doc_id", "id2", "near").collect()
+    assert len(found) == len(texts) ** 2
+    for i, j, near in found:
+        assert near == pytest.approx(plain_near(texts[i], texts[j])), (texts[i], texts[j])
+    near = {(i, j): n for i, j, n in found}
+    assert near[0, 0] == near[9, 14] == 1.0 and near[0, 9] == 0.0
+    assert near[0, 1] == pytest.approx(near[0, 5], abs=0.2) and near[0, 2] < near[0, 1] < near[0, 4]
+    assert near[11, 12] > 0.2
+
+
+def test_near_columns_of_the_query(spark, documents):
+    rows = {r["doc_id"]: r["text"] or "" for r in queries.documents(spark, documents).collect()}
+    ids = sorted(rows, reverse=True)
+    after = {i: rows[ids[(n + 1) % len(ids)]] for n, i in enumerate(ids)}
+    for r in queries.op9_syncmer_fingerprints(spark, documents).collect():
+        text, following = rows[r["doc_id"]], after[r["doc_id"]]
+        half = len(text) // 2
+        changed = text[: len(text) - half] + following[:half]
+        assert r["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+        assert r["near_edited"] == pytest.approx(plain_near(text, changed))
+        assert r["near_next"] == pytest.approx(plain_near(text, following))
+        assert r["near_edited"] > 0 or len(text.split()) < 2
+
+
+def test_half_of_a_short_text_is_near(spark):
+    texts = [odd.prose(n, n) for n in range(2, 60)]
+    rows = odd.of(spark, texts).withColumn("edited", syncmers.edited(F.col("text"), F.lit("0123456789 " * 60)))
+    rows = syncmers.with_distinct(syncmers.with_distinct(rows, "text", "a"), "edited", "b")
+    for r in syncmers.with_near(rows, ("text", "a"), ("edited", "b"), "near").collect():
+        assert r["near"] > 0, r["text"]
+
+
 def test_registered_queries(spark, documents):
     rows = {r["doc_id"]: r["text"] or "" for r in queries.documents(spark, documents).collect()}
     for r in queries.op1_secret_scan(spark, documents).collect():
