@@ -1,4 +1,5 @@
-"""Toxicity by class-conditional Kneser-Ney models of words and word pairs.
+"""Toxicity by class-conditional models of words and word pairs after Kneser and Ney, with two departures: lower
+orders use document counts, not numbers of contexts, and discounts are fixed.
 
 For each class, an expression (a word, its stem, or a pair of words) counts the training documents that hold it. Counts
 are discounted; the mass so freed, which is pooled over both classes, backs off from the pair to the word, from the word to its stem (its first
