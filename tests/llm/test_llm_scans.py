@@ -305,6 +305,17 @@ def test_near_columns_of_the_query(spark, documents):
         assert r["near_edited"] > 0 or len(text.split()) < 2
 
 
+def test_near_of_odd_rows_and_of_none(odd_rows, no_rows):
+    for docs, n in ((odd_rows, len(odd.TEXTS)), (no_rows, 0)):
+        rows = syncmers.with_near(syncmers.with_next(docs), ("text", "anchors"), ("next_text", "next_anchors"), "near")
+        found = rows.select("text", "next_text", "near").collect()
+        assert len(found) == n
+        for r in found:
+            assert 0 <= r["near"] <= 1
+            if max(len(r["text"]), len(r["next_text"])) < 5000 and (r["text"] + r["next_text"]).isascii():
+                assert r["near"] == pytest.approx(plain_near(r["text"], r["next_text"]))
+
+
 def test_half_of_a_short_text_is_near(spark):
     texts = [odd.prose(n, n) for n in range(2, 60)]
     rows = odd.of(spark, texts).withColumn("edited", syncmers.edited(F.col("text"), F.lit("0123456789 " * 60)))
