@@ -19,6 +19,7 @@ from ..operators.versions import (
     resolve_versions,
 )
 from ..schemas import EVENT_KEY, EVENT_TS, EVENTS, SNAPSHOT_TABLES
+from ..session import measured_broadcasts
 from ..sources.scan import Period, scan_events, scan_snapshot
 from ..sources.store import CommitConflict, TableStore
 
@@ -62,6 +63,11 @@ def upsert_events(store: TableStore, df: DataFrame, name: str = EVENTS) -> dict[
     The batch is reduced to one row per id and staged once; every check runs on the staged rows before the
     first write to the table.
     """
+    with measured_broadcasts(store.spark):
+        return _upsert_events(store, df, name)
+
+
+def _upsert_events(store: TableStore, df: DataFrame, name: str) -> dict[str, int]:
     key, ts = EVENT_KEY, EVENT_TS
     check_columns(df, key, ts)
     with store.stage(resolve_versions(df, key, ts)) as staged:

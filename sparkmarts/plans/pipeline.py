@@ -16,7 +16,7 @@ from ..config import lookback
 from ..functions import BUSINESS_TZ, business_date, epoch_to_timestamp, fingerprint
 from ..operators.versions import merge_by_key
 from ..schemas import EVENT_KEY, EVENT_TS, EVENTS, GOLD_NAMES, RAW_SCHEMAS
-from ..session import in_threads, pin_utc
+from ..session import in_threads, measured_broadcasts, pin_utc
 from ..sources.store import TableStore
 from . import bronze, gold, incremental, silver  # noqa: F401  (register the relations)
 from .counts import COUNTS
@@ -107,8 +107,9 @@ def build_events(
     `invalidate`, ids whose newest raw version lost its session or name also leave the table, which by default
     takes a full refresh.
     """
-    version = _build_events(store, full_refresh, lookback_seconds, invalidate)
-    incremental.refresh(store, threads)
+    with measured_broadcasts(store.spark):
+        version = _build_events(store, full_refresh, lookback_seconds, invalidate)
+        incremental.refresh(store, threads)
     return version
 
 
@@ -167,6 +168,12 @@ def build(
         if test:
             _tested(store, layer, layers[layer], marts, always=full_refresh)
 
+    with measured_broadcasts(store.spark):
+        _build(store, full_refresh, lookback_seconds, threads, check, invalidate)
+    return Marts(StoredTables(store))
+
+
+def _build(store: TableStore, full_refresh: bool, lookback_seconds: int | None, threads: int, check, invalidate: bool) -> None:
     check("raw", Marts(StoredTables(store)))
     build_events(store, full_refresh, lookback_seconds, invalidate, threads)
     stored = StoredTables(store, hide=GOLD_NAMES)
@@ -186,7 +193,6 @@ def build(
         check("gold", Marts(ChainMap(shared, StoredTables(store))))
     for name in (SILVER_EVENTS, *incremental.DAILY_SILVER, *COUNTS, *GOLD_NAMES):
         store.expire(name)
-    return Marts(StoredTables(store))
 
 
 def materialize(store: TableStore, name: str, df: DataFrame) -> None:

@@ -14,6 +14,7 @@ from sparkmarts.config import Settings
 from sparkmarts.operators.versions import BatchError
 from sparkmarts.plans import ingest, pipeline
 from sparkmarts.schemas import EVENT_TS, EVENTS, SNAPSHOT_TABLES
+from sparkmarts.session import BROADCAST, MEASURED_BROADCAST
 from sparkmarts.sources import scan
 from sparkmarts.sources.store import CommitConflict, MissingTable, TableStore
 
@@ -289,3 +290,35 @@ def test_run_ingest(spark, store):
     assert again["events"][EVENTS]["source_ids"] == 1  # the newest event alone
     assert store.read(EVENTS).count() == len({row[0] for row in clickstream()})
     assert store.read(EVENTS).filter(F.col("session_id").isNull()).count() == 1
+
+
+def test_loads_and_builds_broadcast_only_what_was_measured(spark, store, monkeypatch):
+    """Many keys are few bytes in a compressed file: its size must not decide for a broadcast, in a load or in a build."""
+    store.overwrite("keys", spark.range(400_000).select(F.col("id"), (F.col("id") % 3).alias("other")))
+    joins, take = [], []
+    original = ingest.compare_versions, pipeline.unlike_stored
+
+    def seen(function):
+        def run(*args):
+            keys = store.read("keys").select("id")
+            joined = store.read("keys").join(keys, "id", "left_semi")
+            joined.write.format("noop").mode("overwrite").save()
+            joins.append(plan_text(joined))
+            take.append(joined.count())
+            return function(*args)
+
+        return run
+
+    monkeypatch.setattr(ingest, "compare_versions", seen(original[0]))
+    monkeypatch.setattr(pipeline, "unlike_stored", seen(original[1]))
+    before = spark.conf.get(BROADCAST)
+    spark.conf.set(BROADCAST, str(4 << 20))  # above the file's column, below its rows
+    try:
+        for shift in (0, 10):
+            ingest.upsert_events(store, events(spark, *(view(i, BASE + i + shift) for i in range(3))))
+            pipeline.build_events(store, lookback_seconds=7200)
+        assert spark.conf.get(BROADCAST) == str(4 << 20) and spark.conf.get(MEASURED_BROADCAST, None) is None
+    finally:
+        spark.conf.set(BROADCAST, before)
+    assert len(joins) == 2 and take == [400_000] * 2
+    assert not any("Broadcast" in plan for plan in joins)
