@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sparkmarts.llm import packing, passages, queries, tokens
+from sparkmarts.llm import blocks, packing, passages, queries, tokens
 
 # ---------------------------------------------------------------- passages
 
@@ -192,9 +192,41 @@ def test_passage_whose_seeds_begin_elsewhere(spark):
     assert not any(found[i] for i in range(len(pieces)))
 
 
+@given(st.lists(st.lists(st.integers(-(2**63), 2**63 - 1), min_size=1, max_size=20), max_size=5))
+@settings(max_examples=60, deadline=None)
+def test_steps_are_taken_back(parts):
+    made = [blocks.stepped(np.array(p, dtype=np.int64)) for p in parts]
+    table = passages.pa.table({"c0": passages.pa.array(made, passages.pa.binary())})
+    assert blocks.stepped_column(table, 0, np.int64).tolist() == [x for p in parts for x in p]
+
+
+def test_shuffled_seeds_are_small():
+    """What a seed takes in the shuffle, which compresses by lz4: 4 bytes of hash, one around, and little for its place."""
+    pick = random.Random(3)
+    texts = [" ".join(str(pick.randrange(10**6)) for _ in range(300)) for _ in range(800)]
+    table = passages.pa.table({"text": texts, "doc_id": [10**9 + 7 * i for i in range(800)]})
+    size = sum(len(passages.pa.compress(b, "lz4", asbytes=True)) for batch in passages._seeds(4, 32)(table.to_batches()) for c in batch.columns[1:] for b in c.to_pylist())
+    assert size < 8 * 297 * 800
+
+
 # ---------------------------------------------------------------- packing
 
 
+def test_remembered_pieces_take_little_memory():
+    import tracemalloc
+
+    encoder, pick = tokens.Encoder(queries.tokenizer()), random.Random(5)
+    texts = [" ".join(f"{pick.getrandbits(40):x}".translate(str.maketrans("0123456789", "ghijklmnop")) for _ in range(1000)) for _ in range(100)]
+    tracemalloc.start()
+    try:
+        for text in texts:
+            encoder.encode([text])
+        held, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert 95_000 < len(encoder.begin) and held < 80 * len(encoder.begin) and most < 200 * len(encoder.begin)
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     made = Tokenizer.from_file(queries.tokenizer())
