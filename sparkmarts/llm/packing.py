@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text, written
+from .common import release_memory, whole_text, written
 
 SEQUENCE, END_ID = 1024, 2
 PARTITION_PIECES = 65_536
@@ -50,6 +50,7 @@ def _cut(path: str, size: int, end_id: int):
             room += len(t or "")
 
     def run(batches):
+        release_memory()
         for batch in batches:
             if not batch.num_rows:
                 continue

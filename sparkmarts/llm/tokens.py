@@ -18,6 +18,7 @@ from .hashing import mix, run_hashes
 
 LETTER, NUMBER, OTHER, WHITE = range(4)
 MOST_PIECES = 1_000_000  # remembered by a worker; then it starts anew
+_LEARNED = 4096  # pieces encoded at a time: the tokenizer's own records of a piece take about a kilobyte
 _WHITE = "\t\n\x0b\f\r \x85\xa0                　"
 
 
@@ -76,20 +77,26 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        # Arrays, ordered by key: a dictionary of a million pieces would take ten times their memory.
+        self.keys, self.slots = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.begin, self.used = np.zeros(1, dtype=np.int64), 0
 
-    def _learn(self, pieces: list[str], keys: list[int]) -> None:
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        flat = np.array([i for ids in made for i in ids], dtype=np.uint32)
-        while self.used + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + len(flat)] = flat
-        ends = self.used + np.cumsum([len(ids) for ids in made])
-        self.slots.update(zip(keys, range(len(self.begin) - 1, len(self.begin) - 1 + len(keys)), strict=True))
-        self.begin = np.concatenate([self.begin, ends])
-        self.used += len(flat)
+    def _learn(self, pieces: list[str], keys: np.ndarray) -> None:
+        """Takes in pieces not met before, in order of their keys."""
+        counts = []
+        for a in range(0, len(pieces), _LEARNED):
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[a : a + _LEARNED], add_special_tokens=False)]
+            flat = np.array([i for ids in made for i in ids], dtype=np.uint32)
+            if self.used + len(flat) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(flat)), dtype=np.uint32)])
+            self.flat[self.used : self.used + len(flat)] = flat
+            self.used += len(flat)
+            counts += [len(ids) for ids in made]
+        slots = np.arange(len(self.begin) - 1, len(self.begin) - 1 + len(keys), dtype=np.int32)
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.slots = np.insert(self.keys, at, keys), np.insert(self.slots, at, slots)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
@@ -102,13 +109,16 @@ class Encoder:
         ends = np.append(starts[1:], len(signs))
         keys = run_hashes(mix(signs.astype(np.uint64) + np.uint64(1)), starts, ends)
         distinct, sample, which = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.slots) > MOST_PIECES:
+        if len(self.keys) > MOST_PIECES:
             self.forget()
-        keys_list = distinct.tolist()
-        new = [i for i, k in enumerate(keys_list) if k not in self.slots]
-        if new:
-            self._learn([joined[starts[sample[i]] : ends[sample[i]]] for i in new], [keys_list[i] for i in new])
-        slot = np.array([self.slots[k] for k in keys_list], dtype=np.int64)[which]
+        at = np.searchsorted(self.keys, distinct)
+        known = np.zeros(len(distinct), dtype=bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == distinct[inside]
+        if not known.all():
+            first = sample[~known]
+            self._learn([joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], distinct[~known])
+        slot = self.slots[np.searchsorted(self.keys, distinct)][which]
         first, count = self.begin[slot], self.begin[slot + 1] - self.begin[slot]
         place = np.cumsum(count)
         ids = self.flat[np.repeat(first - place + count, count) + np.arange(place[-1])]
