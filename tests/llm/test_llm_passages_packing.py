@@ -209,6 +209,41 @@ def test_shuffled_seeds_are_small():
     assert size < 8 * 297 * 800
 
 
+@given(st.lists(st.tuples(st.integers(-(2**63), 2**63 - 1), st.integers(0, 3), st.integers(-3, 3)), max_size=30), st.booleans())
+@settings(max_examples=100, deadline=None)
+def test_rows_are_ordered_once(rows, near):
+    rows = [(a % 5 - 2 if near else a, b, c) for a, b, c in rows]
+    columns = [np.array([r[i] for r in rows], dtype=t) for i, t in enumerate((np.int64, np.uint32, np.int32))]
+    found = blocks.ordered(*columns)
+    assert [c.dtype for c in found] == [c.dtype for c in columns]
+    assert list(zip(*(c.tolist() for c in found), strict=True)) == sorted(set(rows))
+    order = blocks.order_of(*columns)
+    assert sorted(order.tolist()) == list(range(len(rows))) and [rows[i] for i in order] == sorted(rows)
+
+
+def test_shuffled_matches_are_small():
+    """Runs of matches of one shift: less than 5 bytes each, where rows of two longs and two ints took 11."""
+    pick = random.Random(7)
+    n = 40_000
+    doc, owner = np.repeat(np.arange(n // 40) + 10**9, 40), np.repeat([pick.randrange(10**9) for _ in range(n // 40)], 40)
+    place, shift = np.tile(np.arange(40) * 8, n // 40), np.repeat([pick.randrange(300) for _ in range(n // 40)], 40)
+    mixed = np.array(pick.sample(range(n), n))
+    columns = [c[mixed].astype(t) for c, t in ((doc, np.int64), (owner, np.int64), (place + shift, np.int32), (place, np.int32))]
+    table = passages.pa.table(dict(zip(("doc", "owner", "place", "owner_place"), columns, strict=True)))
+    dealt = passages._dealt(lambda t: t, 4)(table)
+    assert sum(len(passages.pa.compress(b, "lz4", asbytes=True)) for c in dealt.columns[1:] for b in c.to_pylist()) < 5 * n
+
+
+@given(st.lists(st.tuples(st.integers(1, 30), st.integers(1, 30)), min_size=2, max_size=25))
+@settings(max_examples=100, deadline=None)
+def test_rising_matches_chain_as_over_places(steps):
+    """Matches that rise in both texts need no tree; an unrelated match far behind brings the tree back."""
+    x, y = (np.cumsum([s[i] for s in steps]) + 1000 for i in (0, 1))
+    plain = passages.chains(x, y, 4)
+    beside = passages.chains(np.append(x, x[-1] + 10**6), np.append(y, 0), 4)
+    assert plain == [c for c in beside if c != [len(x)]]
+
+
 # ---------------------------------------------------------------- packing
 
 
