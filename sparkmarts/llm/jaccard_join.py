@@ -39,6 +39,7 @@ from .components import components
 
 WORDS, PERCENT = 5, 80
 SLICE = np.uint64(62)  # the first count takes hashes whose top two bits are 0
+SHORTER = np.uint64(22)  # and of them the next 40 bits
 MOST_SMALL = 16  # above this size subsets never cost less than lists
 ROUNDS = 2  # of pivots, before the remaining pairs are listed
 _FLUSH = 1 << 20
@@ -58,6 +59,13 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]
             yield first + i, np.unique(hashes[bounds[i] : bounds[i + 1]])
 
 
+def _in_slice(members: np.ndarray) -> np.ndarray:
+    """What the first count takes of a set: the distinct beginnings of its hashes in the slice. Each that no other set
+    has belongs to a shingle that none has."""
+    part = members[members >> SLICE == 0] >> SHORTER
+    return part[blocks.group_starts(part)]
+
+
 def _set_id(members: np.ndarray) -> int:
     total = np.add.reduce(hashing.mix(members ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)
     return int(hashing.mix(np.array([total + np.uint64(len(members))], dtype=np.uint64)).view(np.int64)[0])
@@ -66,7 +74,7 @@ def _set_id(members: np.ndarray) -> int:
 def _summaries(words: int):
     def run(batches):
         for batch in batches:
-            rows = [(i, len(s), _set_id(s), int((s >> SLICE == 0).sum())) for i, s in _sets(batch, words)]
+            rows = [(i, len(s), _set_id(s), len(_in_slice(s))) for i, s in _sets(batch, words)]
             at, size, sid, part = zip(*rows, strict=True) if rows else ((), (), (), ())
             ids = batch.column("doc_id").take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -78,24 +86,27 @@ def _summaries(words: int):
 
 
 def _postings(words: int, parts: int):
-    """Blocks of (shingle, set) of the slice."""
+    """Blocks of (shingle, set) of the slice: 4 bytes and 1 of a shingle."""
+
+    def flushed(hashes, sids):
+        h = np.concatenate(hashes)
+        columns = [(h >> np.uint64(8)).astype(np.uint32), h.astype(np.uint8), np.concatenate(sids)]
+        return blocks.dealt(columns, hashing.mix(h), parts, repeats=(2,))
 
     def run(batches):
         hashes, sids, held = [], [], 0
         for batch in batches:
             for _, s in _sets(batch, words):
-                part = s[s >> SLICE == 0]
+                part = _in_slice(s)
                 if len(part):
                     hashes.append(part)
                     sids.append(np.full(len(part), _set_id(s), dtype=np.int64))
                     held += len(part)
                 if held >= _FLUSH:
-                    h = np.concatenate(hashes)
-                    yield blocks.dealt([h, np.concatenate(sids)], h, parts)
+                    yield flushed(hashes, sids)
                     hashes, sids, held = [], [], 0
         if held:
-            h = np.concatenate(hashes)
-            yield blocks.dealt([h, np.concatenate(sids)], h, parts)
+            yield flushed(hashes, sids)
 
     return run
 
@@ -113,7 +124,8 @@ def _counted(hashes: np.ndarray, sids: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _shared_in_slice(table: pa.Table) -> pa.Table:
-    _, sids, df = _counted(blocks.column(table, 0, np.uint64), blocks.column(table, 1, np.int64))
+    shingles = blocks.column(table, 0, np.uint32).astype(np.uint64) << np.uint64(8) | blocks.column(table, 1, np.uint8)
+    _, sids, df = _counted(shingles, blocks.repeated_column(table, 2, np.int64))
     sid, n = np.unique(sids[df > 1], return_counts=True)
     return pa.table({"sid": pa.array(sid, pa.int64()), "shared": pa.array(n, pa.int64())})
 
@@ -140,7 +152,7 @@ def _all_postings(parts: int):
                 continue
             h = np.frombuffer(b"".join(members), dtype=np.uint64)
             sizes = np.array(sizes, dtype=np.int64)
-            yield blocks.dealt([h, np.repeat(np.array(sids, dtype=np.int64), sizes), np.repeat(sizes, sizes).astype(np.int32)], h, parts)
+            yield blocks.dealt([h, np.repeat(np.array(sids, dtype=np.int64), sizes), np.repeat(sizes, sizes).astype(np.int32)], h, parts, repeats=(1, 2))
 
     return run
 
@@ -149,15 +161,19 @@ def _shared(parts: int):
     """Blocks by set of the shingles that more than one set has."""
 
     def run(table: pa.Table) -> pa.Table:
-        hashes, sids, sizes = blocks.column(table, 0, np.uint64), blocks.column(table, 1, np.int64), blocks.column(table, 2, np.int32)
+        hashes = blocks.column(table, 0, np.uint64)
+        sids, sizes = blocks.repeated_column(table, 1, np.int64), blocks.repeated_column(table, 2, np.int32)
         order = np.argsort(hashes, kind="stable")
-        h, s, n = hashes[order], sids[order], sizes[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        same = hashes[order][1:] == hashes[order][:-1]
+        order = order[(np.append(same, False) | np.append(False, same))[: len(order)]]
+        h, s, n = blocks.ordered(hashes[order], sids[order], sizes[order])  # a set may be there more than once
+        first = blocks.group_starts(h)
         count = np.diff(np.append(first, len(h)))
         df = np.repeat(count, count)
-        keep = df > 1
-        h, s, n, df = h[keep], s[keep], n[keep], df[keep].astype(np.int64)
-        return pa.Table.from_batches([blocks.dealt([h, s, n, df], hashing.mix(s.view(np.uint64)), parts)])
+        keep = np.flatnonzero(df > 1)
+        keep = keep[np.argsort(s[keep], kind="stable")]  # those of a set together
+        h, s, n, df = h[keep], s[keep], n[keep], df[keep].astype(np.int32)
+        return pa.Table.from_batches([blocks.dealt([h, s, n, df], hashing.mix(s.view(np.uint64)), parts, steps=(3,), repeats=(1, 2))])
 
     return run
 
@@ -166,8 +182,8 @@ def _prefixes(percent: int):
     """The rarest shared shingles of each set that can have a partner."""
 
     def run(table: pa.Table) -> pa.Table:
-        h, s = blocks.column(table, 0, np.uint64), blocks.column(table, 1, np.int64)
-        n, df = blocks.column(table, 2, np.int32).astype(np.int64), blocks.column(table, 3, np.int64)
+        h, s = blocks.column(table, 0, np.uint64), blocks.repeated_column(table, 1, np.int64)
+        n, df = blocks.repeated_column(table, 2, np.int32).astype(np.int64), blocks.stepped_column(table, 3, np.int32).astype(np.int64)
         order = np.lexsort((h, df, s))
         h, s, n, df = h[order], s[order], n[order], df[order]
         first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, int)
@@ -306,7 +322,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
     classes = rows.filter("n > 0").groupBy("sid", "n", "n_slice").agg(F.min("doc_id").alias("low"))
     classes = written(classes)
 
-    dealt = read.mapInArrow(_postings(words, parts), blocks.schema(2))
+    dealt = read.mapInArrow(_postings(words, parts), blocks.schema(3))
     shared = dealt.groupBy("part").applyInArrow(_shared_in_slice, "sid long, shared long")
     shared = shared.groupBy("sid").agg(F.sum("shared").alias("shared"))
     spare = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
@@ -317,10 +333,9 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
     sets = again.filter("possible").select("doc_id", "text").mapInArrow(
         _set_rows(words), "doc_id long, sid long, n long, members binary"
     )
-    sets = sets.join(left, (sets["sid"] == left["sid"]) & sets["doc_id"].eqNullSafe(left["low"])).select(
-        sets["sid"], "n", "members"
-    )
-    sets = written(sets.dropDuplicates(["sid"]))
+    # Not joined with those that are left, as that would shuffle the sets: the few beside them, which the filter lets
+    # through, and sets that come again (under a repeated or null doc_id) change no component.
+    sets = written(sets.filter("n > 0").select("sid", "n", "members"))
 
     postings = sets.mapInArrow(_all_postings(parts), blocks.schema(3))
     by_set = postings.groupBy("part").applyInArrow(_shared(parts), blocks.schema(4))
