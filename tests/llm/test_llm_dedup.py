@@ -5,11 +5,15 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import odd_documents as odd
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sparkmarts.llm import bloom, components, exact_dedup, jaccard_join, queries
+from sparkmarts.llm import blocks, bloom, components, exact_dedup, jaccard_join, queries
 
 
 def bare(text):
@@ -104,6 +108,34 @@ def test_components_match_brute_force(spark, monkeypatch, rounds):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
 
 
+def test_repeated_rows_and_null_ids_change_no_component(spark):
+    """Rows that come twice, and null ids beside a class of null ids alone, so all their texts are posted."""
+    texts = list(enumerate(near_copies()[:60]))
+    rows = [*texts, *texts[::2], (None, odd.prose(5, 30)), (None, odd.edited(odd.prose(5, 30), 0)), (None, ""), (None, None)]
+    found = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    expected = brute_components(texts)
+    assert all((r["n_shingles"], r["component_id"]) == expected[r["doc_id"]] for r in found if r["doc_id"] is not None)
+    assert sorted(r["n_shingles"] for r in found if r["doc_id"] is None) == [0, 0, 26, 26]
+
+
+def test_postings_of_the_first_count_are_small():
+    """5 bytes of a shingle and each set once per run; a hash and a set in full took 16 before compression."""
+    table = pa.table({"doc_id": range(200), "text": [odd.prose(i, 400) for i in range(200)]})
+    made = list(jaccard_join._postings(5, 4)(table.to_batches()))
+    size = sum(len(b) for batch in made for c in batch.columns[1:] for b in c.to_pylist())
+    postings = sum(len(b) for batch in made for b in batch.column("c1").to_pylist())
+    assert postings > 15_000 and size < 7 * postings
+
+
+@given(st.lists(st.lists(st.integers(-3, 3), max_size=300), max_size=4))
+@settings(max_examples=60, deadline=None)
+def test_repeats_are_taken_back(parts):
+    made = [blocks.repeated(np.array(p, dtype=np.int64)) for p in parts]
+    table = pa.table({"c0": pa.array(made, pa.binary())})
+    assert blocks.repeated_column(table, 0, np.int64).tolist() == [x for p in parts for x in p]
+
+
 def test_subsets_and_lists_agree(spark, monkeypatch):
     """All sets as large, then all up to 16 shingles as small."""
     texts = [t for t in near_copies() if len(t.split()) <= 20]
