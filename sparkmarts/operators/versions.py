@@ -92,11 +92,10 @@ def resolve_versions(df: DataFrame, key: str = EVENT_KEY, ts: str = EVENT_TS) ->
     df = canonical_payload(df)
     columns = df.columns
     payload = [c for c in columns if c != key]
-    # Computed ahead of the aggregation, once per row for the three states that read them.
+    # Computed ahead of the aggregation, once per row for the states that read them.
     marked = df.withColumns({"_at": _seconds(ts), "_mark": _mark(payload, df.schema)})
     resolved = marked.groupBy(key).agg(
-        F.max_by(F.struct(*payload), F.struct("_at", "_mark")).alias("_newest"),
-        F.max(F.struct("_at", "_mark")).alias("_last"),
+        F.max_by(F.struct(*payload, "_mark"), F.struct("_at", "_mark")).alias("_newest"),
         F.min(F.struct((-F.col("_at")).alias("_before"), "_mark")).alias("_first"),
         F.count("*").alias("_rows"),
         F.count_if(_bad_seconds(ts)).alias("_bad_rows"),
@@ -105,7 +104,7 @@ def resolve_versions(df: DataFrame, key: str = EVENT_KEY, ts: str = EVENT_TS) ->
         *(F.col(c) if c == key else F.col(f"_newest.{c}").alias(c) for c in columns),
         "_rows",
         "_bad_rows",
-        (F.col("_last._mark") != F.col("_first._mark")).alias("_conflict"),
+        (F.col("_newest._mark") != F.col("_first._mark")).alias("_conflict"),
     )
 
 

@@ -107,6 +107,17 @@ def _laptop_brands(bronze_laptop_model: DataFrame) -> DataFrame:
     )
 
 
+def _brands_of_sets(counts: DataFrame, brand_of: DataFrame) -> DataFrame:
+    """Brands of each set of laptops, with their number of laptops in it; of a set once, however many sessions have it."""
+    sets = counts.select("laptops").distinct()
+    return (
+        sets.select("laptops", F.explode("laptops").alias("laptop_model_id"))
+        .join(brand_of, "laptop_model_id")
+        .groupBy("laptops", "brand_id")
+        .agg(F.count("*").alias("n_laptops"))
+    )
+
+
 def _component_trend(views: DataFrame, laptops: DataFrame, component: str) -> DataFrame:
     """Views, sessions and products of a month, component and brand.
 
@@ -183,12 +194,8 @@ def gold_brand_interest(
         "brand_id", "session_id", F.col("n").alias("views"), F.lit(0).cast("bigint").alias("comparisons")
     )
     # An event with several laptops of one brand counts once for it.
-    comparisons = (
-        comparison_counts.select("session_id", "laptops", "n", F.explode("laptops").alias("laptop_model_id"))
-        .join(brand_of, "laptop_model_id")
-        .groupBy("brand_id", "session_id", "laptops")
-        .agg(F.max("n").alias("comparisons"))
-        .select("brand_id", "session_id", F.lit(0).cast("bigint").alias("views"), "comparisons")
+    comparisons = comparison_counts.join(_brands_of_sets(comparison_counts, brand_of), "laptops").select(
+        "brand_id", "session_id", F.lit(0).cast("bigint").alias("views"), F.col("n").alias("comparisons")
     )
     per_session = (
         views.unionByName(comparisons)
@@ -231,32 +238,32 @@ def gold_brand_comparison(compared_day_counts: DataFrame, bronze_laptop_model: D
     """Unordered brand pairs whose laptops were compared in the same session-day.
 
     Laptop pairs are never listed. Days on which a session compared the same laptops are one row with their
-    number; its laptops are counted by brand. Two brands with m and n laptops make m*n pairs a day, one brand
-    with n laptops makes n*(n-1)/2. A laptop without a brand pairs with a branded one under that brand.
+    number; the laptops of a set are counted by brand, once for all sessions that have it. Two brands with m and n
+    laptops make m*n pairs a day, one brand with n laptops makes n*(n-1)/2. A laptop without a brand pairs with a
+    branded one under that brand.
     """
-    group = ["session_id", "laptops"]
-    per_brand = (
-        compared_day_counts.select(*group, F.col("n").alias("days"), F.explode("laptops").alias("laptop_model_id"))
-        .join(_laptop_brands(bronze_laptop_model).select("laptop_model_id", "brand_id"), "laptop_model_id")
-        .groupBy(*group, "brand_id")
-        .agg(F.count("*").alias("n"), F.max("days").alias("days"))
-    )
-    # The window and the join below it share one partitioning and sort by session and laptops.
-    unbranded = F.sum(F.when(F.col("brand_id").isNull(), F.col("n"))).over(Window.partitionBy(*group))
+    brand_of = _laptop_brands(bronze_laptop_model).select("laptop_model_id", "brand_id")
+    per_brand = _brands_of_sets(compared_day_counts, brand_of)
+    # The window and the join below it share one partitioning and sort by laptops.
+    unbranded = F.sum(F.when(F.col("brand_id").isNull(), F.col("n_laptops"))).over(Window.partitionBy("laptops"))
     branded = per_brand.withColumn("n_unbranded", F.coalesce(unbranded, F.lit(0))).filter("brand_id is not null")
     side = lambda s: branded.select(
-        *group, F.col("brand_id").alias(f"brand_{s}_id"), F.col("n").alias(f"n_{s}"),
-        F.col("n_unbranded").alias(f"n0_{s}"), F.col("days").alias(f"days_{s}"),
+        "laptops", F.col("brand_id").alias(f"brand_{s}_id"), F.col("n_laptops").alias(f"n_{s}"),
+        F.col("n_unbranded").alias(f"n0_{s}"),
     )
     a, b = F.col("brand_a_id"), F.col("brand_b_id")
     # Both sides read the same columns, so the shuffles below the join are done once for the two.
     pairs = F.when(a == b, F.expr("(n_a * (n_b - 1) + n_a * n0_b + n_b * n0_a) div 2")).otherwise(F.expr("n_a * n_b"))
-    counted = (
+    set_pairs = (
         side("a")
-        .join(side("b"), group)
+        .join(side("b"), "laptops")
         .filter(a <= b)
-        .select("brand_a_id", "brand_b_id", "session_id", F.col("days_a").alias("days"), pairs.alias("pairs"))
+        .select("laptops", "brand_a_id", "brand_b_id", pairs.alias("pairs"))
         .filter("pairs > 0")
+    )
+    counted = (
+        compared_day_counts.withColumnRenamed("n", "days")
+        .join(set_pairs, "laptops")
         .groupBy("brand_a_id", "brand_b_id", "session_id")
         .agg(F.sum("days").alias("days"), F.sum(F.col("pairs") * F.col("days")).alias("pairs"))
         .groupBy("brand_a_id", "brand_b_id")

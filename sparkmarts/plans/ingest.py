@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import ExitStack
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import lookback
@@ -95,16 +95,19 @@ def _upsert_events(store: TableStore, df: DataFrame, name: str) -> dict[str, int
         with ExitStack() as staged_choices:
 
             def winners(stored: DataFrame) -> DataFrame:
-                compared = staged_choices.enter_context(store.stage(compare_versions(latest, stored, key, ts)))
-                outcome = compared.agg(
-                    F.count_if("_older").alias("older"), F.count_if("_clash").alias("clashes")
-                ).first()
+                # Counted while they are compared: replays are not staged, and their days are left as they are.
+                seen = Observation()
+                compared = compare_versions(latest, stored, key, ts).observe(
+                    seen, F.count_if("_older").alias("older"), F.count_if("_clash").alias("clashes")
+                )
+                news = compared.filter(~F.col("_older") & ~F.col("_same")).drop("_older", "_clash", "_same")
+                chosen = staged_choices.enter_context(store.stage(news))
+                outcome = seen.get
                 if outcome["clashes"]:
                     raise BatchError(f"{outcome['clashes']} ids are stored with the same timestamp but another payload")
                 counts["older_ids_skipped"] = outcome["older"]
-                counts["written_ids"] = counts["source_ids"] - outcome["older"]
-                # A replay counts as written, but its days are left as they are.
-                return compared.filter(~F.col("_older") & ~F.col("_same")).drop("_older", "_clash", "_same")
+                counts["written_ids"] = counts["source_ids"] - outcome["older"]  # a replay counts as written
+                return chosen
 
             store.merge(name, latest, key, event_day(ts), choose=winners)
         return counts

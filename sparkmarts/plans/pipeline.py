@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import ChainMap
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from contextlib import ExitStack
 from datetime import datetime, timedelta, timezone
 from functools import partial
@@ -21,11 +21,11 @@ from ..sources.store import TableStore
 from . import bronze, gold, incremental, silver  # noqa: F401  (register the relations)
 from .counts import COUNTS
 from .quality import run_tests
-from .registry import Marts
+from .registry import Marts, inputs_of
 
 SILVER_EVENTS = "silver_user_event_tracking"
-# Read by several marts and tests, so written to scratch for the length of a build.
-SHARED = ("silver_laptop_model",)
+# Written to scratch for the length of a build in which several marts read them; counts only if segments have to be added.
+SHARED = ("silver_laptop_model", "silver_laptop_benchmark_result", "view_counts", "comparison_counts")
 
 
 class StoredTables(Mapping):
@@ -84,13 +84,17 @@ def silver_incremental(raw: DataFrame, stored: DataFrame, lookback_seconds: int)
 
 
 def unlike_stored(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows that are not stored already, as they are; a row of other columns is never the same."""
+    """Rows that are not stored already, as they are; a row of other columns is never the same.
+
+    They are joined on the key alone, the marks are compared beside it: rows that come dealt by key, as those of
+    `silver_event_table` do, are not shuffled again.
+    """
     if set(rows.columns) != set(stored.columns):
         return rows
     values = [F.col(c) for c in rows.columns if c != EVENT_KEY]
     marks = stored.select(F.col(EVENT_KEY).alias("_key"), fingerprint(*values).alias("_mark"))
     marked = rows.withColumn("_own_mark", fingerprint(*values))
-    same = (F.col(EVENT_KEY) == F.col("_key")) & (F.col("_own_mark") == F.col("_mark"))
+    same = (F.col(EVENT_KEY) == F.col("_key")) & (F.col("_own_mark").bitwiseXOR(F.col("_mark")) == 0)
     return marked.join(marks, same, "left_anti").drop("_own_mark")
 
 
@@ -122,12 +126,15 @@ def _build_events(store: TableStore, full_refresh: bool, lookback_seconds: int |
     first_day = None if newest is None else business_day(newest - timedelta(seconds=reach))
     recent = recent_events(store.read(EVENTS, from_day=first_day), newest, reach)
     rejected = recent.filter("event_name is null or session_id is null") if invalidate else None
-    with store.stage(silver.silver_event_table(recent)) as fresh, ExitStack() as staged:
+    fresh = silver.silver_event_table(recent)
+    with ExitStack() as staged:
 
         def news(stored: DataFrame) -> DataFrame:
             return staged.enter_context(store.stage(unlike_stored(fresh, stored)))
 
-        version = store.merge(SILVER_EVENTS, fresh, EVENT_KEY, _server_day(), choose=news)
+        # The keys come straight from the raw table: only what is new is parsed into a staged table.
+        keys = silver.eligible_events(recent).select(EVENT_KEY)
+        version = store.merge(SILVER_EVENTS, keys, EVENT_KEY, _server_day(), choose=news)
     if rejected is not None:
         version = store.delete(SILVER_EVENTS, rejected.select(EVENT_KEY), EVENT_KEY)
     return version
@@ -173,6 +180,11 @@ def build(
     return Marts(StoredTables(store))
 
 
+def _is_shared(store: TableStore, name: str, marts: Iterable[str]) -> bool:
+    readers = sum(name in inputs_of(mart) for mart in marts)
+    return readers > 1 and (name not in COUNTS or len(store.days(name)) > 1)
+
+
 def _build(store: TableStore, full_refresh: bool, lookback_seconds: int | None, threads: int, check, invalidate: bool) -> None:
     check("raw", Marts(StoredTables(store)))
     build_events(store, full_refresh, lookback_seconds, invalidate, threads)
@@ -181,7 +193,7 @@ def _build(store: TableStore, full_refresh: bool, lookback_seconds: int | None,
     states = incremental.stale_marts(store, all_time, always=full_refresh)
     with ExitStack() as stack:
         source = Marts(stored)
-        frames = {name: source[name] for name in SHARED if states}
+        frames = {name: source[name] for name in SHARED if _is_shared(store, name, states)}
         # Each table is registered by the job that wrote it, so it goes even if another job fails.
         jobs = [lambda frame=frame: stack.enter_context(store.stage(frame)) for frame in frames.values()]
         shared = dict(zip(frames, in_threads(store.spark, threads, jobs)))

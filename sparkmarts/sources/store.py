@@ -288,9 +288,9 @@ class TableStore:
     ) -> int:
         """Delete-and-insert by key, rewriting only days that hold an old or a new version of a key.
 
-        `rows` is read more than once, so it should be a staged table. `choose(stored)` sees the stored rows of
-        those keys' days before anything is written and returns the rows to merge. A writer that lost the race
-        for the commit merges again onto the winner's version.
+        `rows` is read more than once, so it should be a stored or staged table. `choose(stored)` sees the stored rows of
+        those keys' days before anything is written and returns the rows to merge; of `rows` only the keys are read
+        then. A writer that lost the race for the commit merges again onto the winner's version.
         """
         return self._retry(name, lambda base: self._merge_once(name, base, rows, key, day, choose))
 

@@ -181,6 +181,17 @@ def test_marts_over_counts_scan_no_events(site):
         assert "Expand" not in plan, name
 
 
+def test_what_several_marts_read_is_made_once(site, raw):
+    """Benchmarks of three marts, and counts with segments to add; a single segment is read as it is."""
+    shared = lambda names=MARTS: {n for n in pipeline.SHARED if pipeline._is_shared(site.store, n, names)}
+    added = lambda name: "Exchange" in harness.plan_text(incremental.read_count(site.store, name))
+    assert shared() == {"silver_laptop_model", "silver_laptop_benchmark_result"}
+    assert not shared(("gold_battery_vs_interest", "gold_user_os")) and not any(map(added, COUNTS))
+    site.load(raw[EVENTS].filter(F.col(EVENT_TS) < catalog.LATE + 86400))
+    site.extend()
+    assert shared() == set(pipeline.SHARED) and all(map(added, COUNTS))
+
+
 def test_snapshots_are_read_once(spark, store, raw):
     """The write takes the measures; an empty source and equal content commit nothing and leave no files."""
     brands = raw["brand"]

@@ -322,3 +322,21 @@ def test_loads_and_builds_broadcast_only_what_was_measured(spark, store, monkeyp
         spark.conf.set(BROADCAST, before)
     assert len(joins) == 2 and take == [400_000] * 2
     assert not any("Broadcast" in plan for plan in joins)
+
+
+def test_replays_and_older_rows_are_compared_but_not_staged(spark, store, monkeypatch):
+    """Of a batch that repeats what is stored only the news are written out a second time."""
+    ingest.upsert_events(store, events(spark, *(view(i, BASE + i) for i in range(5))))
+    staged, stage = [], store.stage
+
+    def counted(df):
+        made = stage(df)
+        staged.append(made.frame.count())
+        return made
+
+    monkeypatch.setattr(store, "stage", counted)
+    batch = [*(view(i, BASE + i) for i in range(3)), view(3, BASE + 1), view(4, BASE + 50), view(5, BASE + 60)]
+    counts = ingest.upsert_events(store, events(spark, *batch))
+    assert counts == {"source_rows": 6, "source_ids": 6, "older_ids_skipped": 1, "written_ids": 5}
+    assert staged == [6, 2]
+    assert [(row[0], row[1]) for row in stored(store)] == [(0, BASE), (1, BASE + 1), (2, BASE + 2), (3, BASE + 3), (4, BASE + 50), (5, BASE + 60)]

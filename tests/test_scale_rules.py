@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from sparkmarts.operators.ranking import add_ranks
 from sparkmarts.operators.versions import newest_per_key
-from sparkmarts.plans import pipeline  # noqa: F401  (registers the relations)
+from sparkmarts.plans import pipeline, silver
 from sparkmarts.plans.registry import Marts
+from sparkmarts.session import BROADCAST
 
 SF_DIR = os.path.join(harness.TESTDATA, "sf0.001")
 QUIET = dict(deadline=None, suppress_health_check=list(HealthCheck))
@@ -88,6 +89,90 @@ def day_of(number):
     return date(2026, 1, number)
 
 
+COUNT_ROWS = st.dictionaries(
+    st.tuples(st.sampled_from(["s1", "s2", "s3"]), st.sets(st.integers(1, 9), min_size=1, max_size=5).map(lambda s: tuple(sorted(s)))),
+    st.integers(1, 3),
+    min_size=1,
+    max_size=12,
+)
+
+
+@settings(max_examples=10, **QUIET)
+@given(counts=COUNT_ROWS)
+def test_brands_of_compared_sets_equal_counting_every_session(spark, counts):
+    """Laptop 8 is in the catalog twice with one brand, 9 is not in it, 7 has no brand."""
+    catalog = [(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 3), (7, None), (8, 3), (8, 3)]
+    totals, sessions = {}, {}
+    for (session, laptops), n in counts.items():
+        for brand in {b for l, b in catalog if l in laptops and b}:
+            totals[brand] = totals.get(brand, 0) + n
+            sessions.setdefault(brand, set()).add(session)
+    pairs = {}
+    for (session, laptops), n in counts.items():
+        places = [b for l, b in catalog if l in laptops]
+        for x, y in combinations(places, 2):
+            if given := [b for b in (x, y) if b]:
+                pairs.setdefault((min(given), max(given)), []).append((session, laptops, n))
+    expected = {
+        pair: (len({s for s, _, _ in found}), sum(n for _, _, n in set(found)), sum(n for _, _, n in found))
+        for pair, found in pairs.items()
+    }
+    keyed = "session_id string, laptops array<int>, n bigint"
+    compared = spark.createDataFrame([(s, list(laptops), n) for (s, laptops), n in counts.items()], keyed)
+    given_tables = {
+        "view_counts": spark.createDataFrame([], "month date, laptop_model_id int, session_id string, n bigint"),
+        "comparison_counts": compared,
+        "compared_day_counts": compared,
+        "bronze_laptop_model": spark.createDataFrame([(l, b, True) for l, b in catalog], "id int, brand_id int, is_active boolean"),
+        "silver_brand": spark.createDataFrame([(b, f"B{b}") for b in (1, 2, 3)], "brand_id int, brand_name string"),
+    }
+    marts = Marts(given_tables)
+    interest = {r["brand_id"]: (r["total_comparisons"], r["comparison_sessions"]) for r in marts["gold_brand_interest"].collect()}
+    assert interest == {b: (totals.get(b, 0), len(sessions.get(b, ()))) for b in (1, 2, 3)}
+    got = {(r[0], r[1]): tuple(r)[4:7] for r in marts["gold_brand_comparison"].collect()}
+    assert got == expected
+
+
+def test_sets_of_laptops_are_listed_without_their_sessions(spark):
+    """What is exploded to find the brands of a set is the set, not every session that has it."""
+    compared = spark.createDataFrame([("s", [1, 2], 1)], "session_id string, laptops array<int>, n bigint")
+    marts = Marts(
+        {
+            "view_counts": spark.createDataFrame([("s", 1, day_of(1), 1)], "session_id string, laptop_model_id int, month date, n bigint"),
+            "comparison_counts": compared,
+            "compared_day_counts": compared,
+            "bronze_laptop_model": spark.createDataFrame([(1, 1, True)], "id int, brand_id int, is_active boolean"),
+            "silver_brand": spark.createDataFrame([(1, "B1")], "brand_id int, brand_name string"),
+        }
+    )
+    for name in ("gold_brand_interest", "gold_brand_comparison"):
+        generates = [line for line in harness.plan_text(marts[name]).splitlines() if line.startswith("Arguments: explode(")]
+        assert generates and not any("session_id" in line for line in generates), name
+
+
+def test_news_are_found_without_shuffling_parsed_rows(spark):
+    """The event table comes dealt by id from its window: beside that, only ids and marks of the stored rows move."""
+    before = [(i, f"s{i}", "pageview", 0.0, 1_700_000_000.0 + i, '{"page_name":"Home"}', "{}") for i in range(6)]
+    columns = (
+        "id bigint, session_id string, event_name string, event_local_timestamp double, "
+        "event_received_on_server_timestamp double, event_data string, device string"
+    )
+    later = [*before[:4], (*before[4][:5], '{"page_name":"DeviceDetail"}', "{}"), (*before[5][:6], '{"os":"X"}'), (6, *before[0][1:])]
+    stored = silver.silver_event_table(spark.createDataFrame(before, columns)).cache()
+    fresh = silver.silver_event_table(spark.createDataFrame(later, columns))
+    threshold = spark.conf.get(BROADCAST)
+    spark.conf.set(BROADCAST, "-1")
+    try:
+        news = pipeline.unlike_stored(fresh, stored)
+        moved = re.findall(r"^Arguments: hashpartitioning\((.*?), \d+\)", harness.plan_text(news), re.M)
+        assert sorted(row["id"] for row in news.collect()) == [4, 5, 6]
+    finally:
+        spark.conf.set(BROADCAST, threshold)
+        stored.unpersist()
+    assert len([keys for keys in moved if "_key" in keys]) == 1 and not any("_own_mark" in keys for keys in moved)
+    assert news.columns == fresh.columns
+
+
 def test_newest_per_key_limits_groups_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 3 as k", "id as v")
     newest = newest_per_key(df, ["k"], [F.desc("v")])
